@@ -27,17 +27,25 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return best.select(*keys, "row.*").select(*df.columns)
 
 
-def replace_documents(stored: DataFrame | None, arrived: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Replace by key: arrivals beat stored rows whole; among arrivals the last wins."""
-    columns = [c for c in arrived.columns if c not in order or c == key]
-    rest = [c for c in columns if c != key]
-    rank = F.struct(F.lit(1).alias("fresh"), *order)
-    rows = arrived.select(key, rank.alias("rank"), F.struct(*rest).alias("doc"))
+def replace_documents(
+    stored: DataFrame | None, arrived: DataFrame, key: str, order: list[str], keep: list[str] | None = None
+) -> DataFrame:
+    """Replace by key: an arrival beats the stored row whole; among arrivals the last wins.
+
+    ``order`` ranks arrivals; ``keep`` names the document's columns besides the
+    key (all of them by default).  One shuffle joins old and new.
+    """
+    keep = keep or [c for c in arrived.columns if c != key]
+    rows = arrived.select(key, order_of(order).alias("rank"), F.struct(*keep).alias("doc"))
     if stored is not None:
-        empty = [F.lit(None).cast(arrived.schema[c].dataType).alias(c) for c in order]
-        old = stored.select(key, F.struct(F.lit(0).alias("fresh"), *empty).alias("rank"), F.struct(*rest).alias("doc"))
-        rows = rows.unionByName(old)
-    return rows.groupBy(key).agg(F.max_by("doc", "rank").alias("doc")).select(key, "doc.*").select(*columns)
+        # a null rank is only ever read where no arrival has one
+        rank = F.lit(None).cast(rows.schema["rank"].dataType).alias("rank")
+        rows = rows.unionByName(stored.select(key, rank, F.struct(*keep).alias("doc")))
+    merged = rows.groupBy(key).agg(
+        F.max_by("doc", "rank").alias("fresh"),
+        F.any_value(F.when(F.col("rank").isNull(), F.col("doc")), ignoreNulls=True).alias("old"),
+    )
+    return merged.select(key, F.coalesce("fresh", "old").alias("doc")).select(key, "doc.*")
 
 
 # --- accumulators ---------------------------------------------------------------------

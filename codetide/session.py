@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", app: str = "codetide", **extra: str) -
     settings = {
         **RECOMMENDED,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         **extra,

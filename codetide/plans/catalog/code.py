@@ -1,3 +1,298 @@
-"""."""
-QUERIES = {}
-ORACLES = {}
+"""The extractor over one small Python file per part.
+
+Which of four shapes a file has follows from the part's size; names and numbers
+in it come from the part.  What each shape must yield was worked out by hand and
+stands in the SQL as plain rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from codetide.operators import calls, checks, fold
+from codetide.operators.control_flow import control_flow_edges
+from codetide.operators.data_flow import data_flow_edges
+from codetide.operators.edges import all_edges, external_symbols
+from codetide.operators.syntax import FILE, node_rows
+from codetide.plans.catalog.common import hash_sql, table, text
+from codetide.plans.extract import extract, parsed_rows
+from codetide.session import stage
+
+STRAIGHT = """import os.path as p{k}, sys
+def f{k}(a, *, b={s}):
+    c = a + b
+    d = c
+    return d
+x{k} = f{k}({s})
+print(x{k}, sys)
+"""
+BRANCH = """def g{k}(a):
+    if a > {s}:
+        b = a
+    elif a:
+        b = 0
+    return b
+class K{k}:
+    y = g{k}({s})
+K{k}.y.bit_length()
+"""
+LOOP = """def h{k}(n):
+    t = 0
+    for i in range(n):
+        while i:
+            if i > {s}:
+                break
+            i -= 1
+        else:
+            continue
+        t += i
+    else:
+        t = -t
+    return t
+h{k}(h{k}({s}))
+"""
+TRY = """class C{k}:
+    def m(self, a):
+        try:
+            with self.n(a) as r:
+                pass
+        except ValueError as e:
+            raise e
+        except TypeError:
+            r = {s}
+        else:
+            self.q()
+        finally:
+            print(a)
+        return r
+    def n(self, x):
+        return lambda z: z + x
+"""
+SHAPES = (STRAIGHT, BRANCH, LOOP, TRY)
+
+
+def code_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source file per part."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    shape = F.element_at(F.array(*[F.lit(s) for s in SHAPES]), F.pmod("p_size", F.lit(len(SHAPES))) + 1)
+    named = F.replace(shape, F.lit("{k}"), F.col("p_partkey").cast("string"))
+    source = F.replace(named, F.lit("{s}"), F.col("p_size").cast("string"))
+    return parts.select(
+        F.col("p_brand").alias("repository"),
+        F.concat(F.lit("src/m"), "p_partkey", F.lit(".py")).alias("file_path"),
+        F.encode(source, "utf-8").alias("content"),
+    )
+
+
+def _ends(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges with kind and place of both ends."""
+    for end in ("src", "dst"):
+        place = rows.select(
+            *FILE,
+            F.col("node_id").alias(f"{end}_node_id"),
+            F.col("kind").alias(f"{end}_kind"),
+            F.col("start_line").alias(f"{end}_line"),
+            F.col("start_col").alias(f"{end}_col"),
+        )
+        edges = edges.join(place, [*FILE, f"{end}_node_id"])
+    return edges
+
+
+def code_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = node_rows(parsed_rows(code_corpus(spark, sf_dir)))
+    return checks.count_by(nodes, "file_path", "node_type")
+
+
+def code_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Functions and classes of each file with scope and first line."""
+    nodes = node_rows(parsed_rows(code_corpus(spark, sf_dir)))
+    return nodes.filter(F.col("node_type").isin("FunctionDef", "ClassDef")).select(
+        "file_path", "node_type", "name", "scope", "properties.qualified_name", "start_line"
+    )
+
+
+def code_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = all_edges(parsed_rows(code_corpus(spark, sf_dir)))
+    return checks.count_by(edges, "file_path", "edge_type")
+
+
+def code_cfg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parsed_rows(code_corpus(spark, sf_dir))
+    return _ends(rows, control_flow_edges(rows)).select(
+        "file_path", "src_kind", "src_line", "branch", "dst_kind", "dst_line"
+    )
+
+
+def code_dfg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parsed_rows(code_corpus(spark, sf_dir))
+    return _ends(rows, data_flow_edges(rows)).select(
+        "file_path", "anchor", "src_kind", "src_line", "dst_kind", "dst_line"
+    )
+
+
+def code_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = parsed_rows(code_corpus(spark, sf_dir))
+    found = stage(calls.resolved_calls(rows), "calls")
+    owner = rows.select(*FILE, F.col("pos").alias("owner_pos"), F.col("kind").alias("caller_kind"))
+    callee = node_rows(rows).select(*FILE, F.col("node_id").alias("dst_node_id"), "node_type").unionByName(
+        calls.external_nodes(found.filter("is_external")).select(
+            *FILE, F.col("node_id").alias("dst_node_id"), "node_type"
+        )
+    )
+    return (
+        found.join(owner, [*FILE, "owner_pos"])
+        .join(callee, [*FILE, "dst_node_id"])
+        .select("file_path", "caller_kind", "target", F.col("start_line").alias("call_line"),
+                F.col("node_type").alias("callee_type"))
+    )
+
+
+def code_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metadata = extract(code_corpus(spark, sf_dir)).metadata
+    return metadata.select("repository", "file_path", "file_id", "content_sha256", "loc", "size_bytes", "counts.*")
+
+
+def code_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per file: does the syntax tree add up; and how many files disagree with their metadata."""
+    graph = extract(code_corpus(spark, sf_dir))
+    tree = checks.tree_invariant(graph.nodes, graph.edges, FILE)
+    differing = checks.cross_view(graph.metadata, graph.edges, FILE)
+    repeated = fold.duplicates(graph.nodes, ["node_id"]).select("n").unionByName(
+        fold.duplicates(graph.edges, ["edge_id"]).select("n")
+    )
+    count = lambda df, what: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(what).alias("what"), "n")
+    return (
+        count(tree.filter("holds"), "trees that add up")
+        .unionByName(count(tree.filter("not holds"), "trees that do not"))
+        .unionByName(count(differing, "files unlike their metadata"))
+        .unionByName(count(repeated, "repeated ids"))
+    )
+
+
+def code_externals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = all_edges(parsed_rows(code_corpus(spark, sf_dir)))
+    return external_symbols(edges).select("repository", "file_path", "node_id", "name", "scope")
+
+
+QUERIES = {
+    "code_nodes": code_nodes,
+    "code_functions": code_functions,
+    "code_edges": code_edges,
+    "code_cfg": code_cfg,
+    "code_dfg": code_dfg,
+    "code_calls": code_calls,
+    "code_externals": code_externals,
+    "code_metadata": code_metadata,
+    "code_checks": code_checks,
+}
+
+
+def _expected(columns: str, *shapes: list[tuple]) -> str:
+    """Rows every file of a shape must yield, as a derived table joined to ``part``."""
+    values = ", ".join(
+        "(" + ", ".join([str(i)] + [repr(v) if isinstance(v, str) else "null" if v is None else str(v) for v in row]) + ")"
+        for i, rows in enumerate(shapes)
+        for row in rows
+    )
+    return f"part join (values {values}) e(shape, {columns}) on p_size % 4 = e.shape"
+
+
+_PATH = "'src/m' || p_partkey || '.py' as file_path"
+_K = "replace({}, '#', p_partkey::varchar)"
+
+_NODE_COUNTS: tuple[dict[str, int], ...] = (
+    # shape 0
+    {"Module": 1, "Import": 1, "alias": 2, "FunctionDef": 1, "arguments": 1, "arg": 2, "Constant": 2, "Assign": 3,
+     "Name": 11, "Load": 8, "Store": 3, "BinOp": 1, "Add": 1, "Return": 1, "Call": 2, "Expr": 1},
+    # shape 1
+    {"Module": 1, "FunctionDef": 1, "arguments": 1, "arg": 1, "If": 2, "Compare": 1, "Gt": 1, "Constant": 3, "Assign": 3,
+     "Name": 9, "Load": 8, "Store": 3, "Return": 1, "ClassDef": 1, "Call": 2, "Expr": 1, "Attribute": 2},
+    # shape 2
+    {"Module": 1, "FunctionDef": 1, "arguments": 1, "arg": 1, "Assign": 2, "Name": 14, "Store": 5, "Load": 9,
+     "Constant": 4, "For": 1, "Call": 3, "While": 1, "If": 1, "Compare": 1, "Gt": 1, "Break": 1, "AugAssign": 2,
+     "Sub": 1, "Add": 1, "Continue": 1, "UnaryOp": 1, "USub": 1, "Return": 1, "Expr": 1},
+    # shape 3
+    {"Module": 1, "ClassDef": 1, "FunctionDef": 2, "arguments": 3, "arg": 5, "Try": 1, "With": 1, "withitem": 1,
+     "Call": 3, "Attribute": 2, "Name": 13, "Load": 13, "Store": 2, "Pass": 1, "ExceptHandler": 2, "Raise": 1,
+     "Assign": 1, "Constant": 1, "Expr": 2, "Return": 2, "Lambda": 1, "BinOp": 1, "Add": 1},
+)
+_FUNCTIONS = (
+    [("FunctionDef", "f#", "<module>", "f#", 2)],
+    [("FunctionDef", "g#", "<module>", "g#", 1), ("ClassDef", "K#", "<module>", "K#", 7)],
+    [("FunctionDef", "h#", "<module>", "h#", 1)],
+    [("ClassDef", "C#", "<module>", "C#", 1), ("FunctionDef", "m", "C#", "C#.m", 2), ("FunctionDef", "n", "C#", "C#.n", 15)],
+)
+_CFG = (
+    [("Import", 1, "NEXT", "FunctionDef", 2), ("FunctionDef", 2, "NEXT", "Assign", 6), ("Assign", 6, "NEXT", "Expr", 7),
+     ("Assign", 3, "NEXT", "Assign", 4), ("Assign", 4, "NEXT", "Return", 5)],
+    [("FunctionDef", 1, "NEXT", "ClassDef", 7), ("ClassDef", 7, "NEXT", "Expr", 9), ("If", 2, "TRUE", "Assign", 3),
+     ("If", 2, "FALSE", "If", 4), ("Assign", 3, "NEXT", "Return", 6), ("If", 4, "TRUE", "Assign", 5),
+     ("If", 4, "FALSE", "Return", 6), ("Assign", 5, "NEXT", "Return", 6)],
+    [("FunctionDef", 1, "NEXT", "Expr", 14), ("Assign", 2, "NEXT", "For", 3), ("For", 3, "LOOP_BODY", "While", 4),
+     ("For", 3, "LOOP_EXIT", "Assign", 12), ("While", 4, "LOOP_BODY", "If", 5), ("While", 4, "LOOP_EXIT", "Continue", 9),
+     ("If", 5, "TRUE", "Break", 6), ("If", 5, "FALSE", "AugAssign", 7), ("Break", 6, "BREAK", "AugAssign", 10),
+     ("AugAssign", 7, "NEXT", "While", 4), ("Continue", 9, "CONTINUE", "For", 3), ("AugAssign", 10, "NEXT", "For", 3),
+     ("Assign", 12, "NEXT", "Return", 13)],
+    [("FunctionDef", 2, "NEXT", "FunctionDef", 15), ("Try", 3, "TRY", "With", 4), ("With", 4, "ENTER", "Pass", 5),
+     ("Pass", 5, "NEXT", "Expr", 11), ("Try", 3, "EXCEPT", "ExceptHandler", 6), ("Try", 3, "EXCEPT", "ExceptHandler", 8),
+     ("ExceptHandler", 6, "HANDLE", "Raise", 7), ("ExceptHandler", 8, "HANDLE", "Assign", 9), ("Assign", 9, "NEXT", "Expr", 13),
+     ("Expr", 11, "NEXT", "Expr", 13), ("Expr", 13, "NEXT", "Return", 14)],
+)
+_DFG = (
+    [("f#", "FunctionDef", 2, "Name", 6), ("x#", "Name", 6, "Name", 7), ("sys", "Import", 1, "Name", 7),
+     ("a", "arg", 2, "Name", 3), ("b", "arg", 2, "Name", 3), ("c", "Name", 3, "Name", 4), ("d", "Name", 4, "Name", 5)],
+    [("K#", "ClassDef", 7, "Name", 9), ("a", "arg", 1, "Name", 2), ("a", "arg", 1, "Name", 3), ("a", "arg", 1, "Name", 4),
+     ("b", "Name", 5, "Name", 6)],
+    [("h#", "FunctionDef", 1, "Name", 14), ("h#", "FunctionDef", 1, "Name", 14), ("n", "arg", 1, "Name", 3),
+     ("i", "Name", 3, "Name", 4), ("i", "Name", 3, "Name", 5), ("aug:i", "Name", 3, "Name", 7), ("i", "Name", 7, "Name", 10),
+     ("aug:t", "Name", 2, "Name", 10), ("t", "Name", 10, "Name", 12), ("t", "Name", 12, "Name", 13)],
+    [("self", "arg", 2, "Name", 4), ("a", "arg", 2, "Name", 4), ("self", "arg", 2, "Name", 11), ("a", "arg", 2, "Name", 13),
+     ("r", "Name", 4, "Name", 14)],
+)
+_CALLS = (
+    [("Module", "f#", 6, "FunctionDef"), ("Module", "print", 7, "ExternalSymbol")],
+    [("Module", "g#", 8, "FunctionDef"), ("Module", "K#.y.bit_length", 9, "ExternalSymbol")],
+    [("FunctionDef", "range", 3, "ExternalSymbol"), ("Module", "h#", 14, "FunctionDef"), ("Module", "h#", 14, "FunctionDef")],
+    [("FunctionDef", "self.n", 4, "FunctionDef"), ("FunctionDef", "self.q", 11, "ExternalSymbol"),
+     ("FunctionDef", "print", 13, "ExternalSymbol")],
+)
+# per shape: syntax nodes, external symbols, control-flow, data-flow and call edges
+_SIZES = [
+    (sum(nodes.values()), len({c[1] for c in call if c[3] == "ExternalSymbol"}), len(cfg), len(dfg), len(call))
+    for nodes, cfg, dfg, call in zip(_NODE_COUNTS, _CFG, _DFG, _CALLS)
+]
+_SOURCE = (
+    "replace(replace(case p_size % 4 "
+    + " ".join(f"when {i} then '{s}'" for i, s in enumerate(SHAPES))
+    + " end, '{k}', p_partkey::varchar), '{s}', p_size::varchar)"
+)
+_EXTERNAL = hash_sql("n", text("p_brand"), text("file_path"), text("'external-symbol'"), text("name"))
+
+ORACLES = {
+    "code_nodes": f"""select {_PATH}, node_type, n::bigint as n
+        from {_expected('node_type, n', *[list(d.items()) for d in _NODE_COUNTS])}""",
+    "code_functions": f"""select {_PATH}, node_type, {_K.format('name')} as name, {_K.format('scope')} as scope,
+        {_K.format('qn')} as qualified_name, start_line
+        from {_expected('node_type, name, scope, qn, start_line', *_FUNCTIONS)}""",
+    "code_edges": f"""select {_PATH}, edge_type, n::bigint as n from {_expected('edge_type, n', *[
+        [("AST_CHILD", n - 1), ("CFG", c), ("DFG", d), ("CALL", k)] for n, _, c, d, k in _SIZES])}""",
+    "code_cfg": f"""select {_PATH}, src_kind, src_line, branch, dst_kind, dst_line
+        from {_expected('src_kind, src_line, branch, dst_kind, dst_line', *_CFG)}""",
+    "code_dfg": f"""select {_PATH}, {_K.format('anchor')} as anchor, src_kind, src_line, dst_kind, dst_line
+        from {_expected('anchor, src_kind, src_line, dst_kind, dst_line', *_DFG)}""",
+    "code_calls": f"""select {_PATH}, caller_kind, {_K.format('target')} as target, call_line, callee_type
+        from {_expected('caller_kind, target, call_line, callee_type', *_CALLS)}""",
+    "code_externals": f"""select p_brand as repository, file_path, {_EXTERNAL} as node_id, name, '<external>' as scope from (
+        select p_brand, {_PATH}, {_K.format('target')} as name from {_expected('target', *[
+            sorted({(c[1],) for c in call if c[3] == "ExternalSymbol"}) for call in _CALLS])})""",
+    "code_metadata": f"""select repository, file_path, {hash_sql('f', text('repository'), text('file_path'))} as file_id,
+        sha256(source) as content_sha256, len(string_split(source, chr(10))) ::int - 1 as loc, strlen(source)::bigint as size_bytes,
+        (n + x)::int as nodes, (n - 1 + c + d + k)::int as edges, (n - 1)::int as ast_child_edges, c as cfg_edges,
+        d as dfg_edges, k as call_edges
+        from (select p_brand as repository, {_PATH}, {_SOURCE} as source, n, x, c, d, k
+              from {_expected('n, x, c, d, k', *[[s] for s in _SIZES])})""",
+    "code_checks": """
+        select 'trees that add up' as what, count(*) as n from part
+        union all select 'trees that do not', 0 union all select 'files unlike their metadata', 0
+        union all select 'repeated ids', 0""",
+}

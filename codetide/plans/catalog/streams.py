@@ -1,3 +1,150 @@
-"""."""
-QUERIES = {}
-ORACLES = {}
+"""Streaming jobs over events that land in two drops."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from codetide import contract
+from codetide.operators import checks
+from codetide.plans.catalog import folds
+from codetide.plans.catalog.common import table
+from codetide.session import fresh_path
+from codetide.sources.events import decode, envelope_line, open_envelopes, read_landing
+from codetide.streaming.views import (
+    REQUIRED_FIELD,
+    GraphSnapshots,
+    MessageLog,
+    document_rows,
+    document_view,
+    start_log,
+)
+
+CUT = "2024-01-16"
+TOPIC = "user.events"
+DOCUMENT = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("at", T.StringType()),
+    ]
+)
+# the sequence an event carries, so that order of arrival does not matter
+CARRIED = {"ts": "timestamp", "event_id": "bigint"}
+
+
+def _before() -> Column:
+    return F.col("ts") < F.lit(CUT).cast("timestamp")
+
+
+def _drop(lines: DataFrame, landing: str, number: int) -> None:
+    """Land lines as new files: a file source never rereads a path it has seen."""
+    lines.select("line").write.text(f"{landing}/drop={number}")
+
+
+def _drain(spark: SparkSession, landing: str, log: MessageLog, checkpoint: str, extra: dict[str, str] | None = None,
+           required: dict[str, str] | None = None) -> list[int]:
+    """Consume all that has landed, then stop; returns the batches that ran."""
+    messages = open_envelopes(read_landing(spark, landing), extra=extra)
+    query = start_log(messages, log, checkpoint, key_path=required or {TOPIC: "$.user_id"}, once=True)
+    query.awaitTermination()
+    return [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
+
+
+def _user_log(spark: SparkSession, sf_dir: str) -> MessageLog:
+    """Three starts of one query: a drop, a second drop, and nothing new."""
+    events = table(spark, sf_dir, "events")
+    value = F.to_json(
+        F.struct("user_id", "event_id", "event_type", contract.event_time(F.col("ts")).alias("at"), "props")
+    )
+    lines = events.withColumn("line", envelope_line(F.lit(TOPIC), F.col("user_id").cast("string"), value))
+    root = fresh_path(spark, "user-stream")
+    log = MessageLog(spark, f"{root}/log")
+    for number, part in ((1, lines.filter(_before())), (2, lines.filter(~_before()))):
+        _drop(part, f"{root}/landing", number)
+        _drain(spark, f"{root}/landing", log, f"{root}/checkpoint")
+    idle = _drain(spark, f"{root}/landing", log, f"{root}/checkpoint")
+    if idle:
+        raise RuntimeError(f"a restart without new input ran batches {idle}")
+    return log
+
+
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document view after both drops."""
+    rows = document_rows(_user_log(spark, sf_dir).read([TOPIC]), DOCUMENT, "user_id")
+    return document_view(rows, ["batch_id", "at", "event_id"], ["event_id", "event_type", "at"])
+
+
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages each batch added to the log."""
+    return checks.batch_deltas(_user_log(spark, sf_dir).read([TOPIC]))
+
+
+def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph view from a stream: a snapshot after the first drop, then newer batches.
+
+    The later half of the month lands first, so the fold also meets late events.
+    """
+    nodes, edges = folds.split_topics(folds._events(spark, sf_dir))
+
+    def lines(rows: DataFrame, topic: str, key: str, version: Column) -> DataFrame:
+        body = [c for c in rows.columns if c not in folds.ORDER]
+        order = {"ts": F.col("ts"), "event_id": F.col("event_id")}
+        return rows.select(
+            "ts", envelope_line(F.lit(topic), F.col(key), F.to_json(F.struct(version, *body)), order).alias("line")
+        )
+
+    version = F.lit(contract.SCHEMA_VERSION).alias("schema_version")
+    every = lines(nodes, contract.NODE_TOPIC, "file_path", version).unionByName(
+        lines(edges, contract.EDGE_TOPIC, "src_node_id", version)
+    )
+    root = fresh_path(spark, "graph-stream")
+    log = MessageLog(spark, f"{root}/log", ", ".join(f"{n} {t}" for n, t in CARRIED.items()))
+    snapshots = GraphSnapshots(spark, f"{root}/snapshots", folds.ORDER)
+    for number, part in ((1, every.filter(~_before())), (2, every.filter(_before()))):
+        _drop(part, f"{root}/landing", number)
+        _drain(spark, f"{root}/landing", log, f"{root}/checkpoint", CARRIED, REQUIRED_FIELD)
+        if number == 1:
+            snapshots.compact(log, 0)
+    view_nodes, view_edges, _ = snapshots.view(log)
+    return folds.graph_rows(view_nodes, view_edges)
+
+
+def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that cannot be applied end up in the log's dead-letter topic, with a reason."""
+    events = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    value = (
+        F.when(kind == "error", F.lit('{"user_id":'))
+        .when(kind == "purchase", F.to_json(F.struct("event_id")))
+        .otherwise(F.to_json(F.struct("event_id", "user_id")))
+    )
+    line = F.to_json(F.struct(F.lit(TOPIC).alias("topic"), F.col("event_id").cast("string").alias("key"), value.alias("value")))
+    root = fresh_path(spark, "bad-stream")
+    log = MessageLog(spark, f"{root}/log")
+    _drop(events.select(line.alias("line")), f"{root}/landing", 1)
+    _drain(spark, f"{root}/landing", log, f"{root}/checkpoint")
+    return log.dead_letters().select(F.col("key").cast("bigint").alias("event_id"), "reason", "source_topic")
+
+
+QUERIES = {
+    "stream_resume": stream_resume,
+    "stream_batches": stream_batches,
+    "stream_graph": stream_graph,
+    "stream_dead_letters": stream_dead_letters,
+}
+
+ORACLES = {
+    "stream_resume": """
+        select user_id::varchar as _id, event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') as at from events
+        qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
+    "stream_batches": f"""
+        select (case when ts < timestamp '{CUT}' then 0 else 1 end)::bigint as batch_id, count(*) as messages
+        from events group by 1""",
+    "stream_graph": folds.GRAPH_SQL + folds.GRAPH_ROWS_SQL,
+    "stream_dead_letters": """
+        select event_id, case event_type when 'error' then 'malformed' else 'missing key' end as reason,
+          'user.events' as source_topic
+        from events where event_type in ('error', 'purchase')""",
+}

@@ -38,13 +38,16 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: s
                          F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"))
 
 
-def open_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Envelope text to (topic, key, value); ``value`` stays JSON text."""
+def open_envelopes(lines: DataFrame, column: str = "value", extra: dict[str, str] | None = None) -> DataFrame:
+    """Envelope text to (topic, key, value); ``value`` stays JSON text.
+
+    ``extra`` names further top-level fields, with their types, such as the
+    sequence an event carries.
+    """
     text = F.col(column).cast("string")
     return lines.select(
-        F.get_json_object(text, "$.topic").alias("topic"),
-        F.get_json_object(text, "$.key").alias("key"),
-        F.get_json_object(text, "$.value").alias("value"),
+        *[F.get_json_object(text, f"$.{name}").alias(name) for name in ("topic", "key", "value")],
+        *[F.get_json_object(text, f"$.{name}").try_cast(kind).alias(name) for name, kind in (extra or {}).items()],
     )
 
 
@@ -72,9 +75,12 @@ def bad_message_reason(value: Column, parsed_key: Column) -> Column:
     return F.when(~is_object, F.lit("malformed")).when(parsed_key.isNull(), F.lit("missing key"))
 
 
-def envelope_line(topic: Column, key: Column, value: Column) -> Column:
+def envelope_line(topic: Column, key: Column, value: Column, extra: dict[str, Column] | None = None) -> Column:
     """``{"topic":…,"key":…,"value":…}`` with the JSON text of ``value`` put in as it stands."""
-    head = F.to_json(F.struct(topic.alias("topic"), key.alias("key")))
+    more = [column.alias(name) for name, column in (extra or {}).items()]
+    head = F.to_json(F.struct(topic.alias("topic"), key.alias("key"), *more), {
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    })
     return F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"value":'), value, F.lit("}"))
 
 

@@ -28,8 +28,8 @@ def _json_array(parts: list[Column | Number]) -> Column:
 
     def close_run() -> None:
         if run:
-            quoted = F.to_json(F.array(*run))
-            pieces.append(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
+            # a part starts and ends with a quote (or is null), so only the brackets go
+            pieces.append(F.btrim(F.to_json(F.array(*run)), F.lit("[]")))
             run.clear()
 
     for part in parts:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from codetide.contract import MODULE_SCOPE
 from codetide.functions.text import preview
+from codetide.operators.flatten import SIGNATURE_WIDTH
 
 DEFINITIONS = ("FunctionDef", "AsyncFunctionDef", "ClassDef")
-SIGNATURE_WIDTH = 120  # fixed value: characters of a constant that enter its signature
 
 
 def qualified(scope: Column, name: Column) -> Column:

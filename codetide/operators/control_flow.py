@@ -3,15 +3,19 @@
 A statement flows to its next sibling.  The last statement of a block flows to
 what the block's role says (a loop body back to its loop, a try body to its
 ``else`` or ``finally``), else to wherever the statement that owns the block
-flows, and so on outwards.  The flattener records the enclosing blocks of each
-statement, so "and so on outwards" is one join and one ``min_by``: no recursion.
+flows, and so on outwards.
+
+Every statement has an address: parent, field of the parent, index in the field.
+The flattener records with each statement the places of its enclosing blocks,
+so where it flows to is an address worked out by a projection, and one join
+turns all addresses of all edges into ids.  No recursion, no repeated joins.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from codetide.operators.syntax import FILE
+from codetide.operators.syntax import FILE, lookup
 
 # fixed values: which statements open blocks, and what their blocks mean
 LOOPS = ("For", "AsyncFor", "While")
@@ -45,126 +49,96 @@ def flow_statements(rows: DataFrame) -> DataFrame:
     """
     known = F.forall("path", lambda p: p["role"].isin(*BLOCK_ROLES))
     return rows.filter(F.col("path").isNotNull() & known).select(
-        *FILE, "pos", "parent_pos", "field", "idx", "kind", "node_id", "path"
+        *FILE, "pos", "parent_pos", "field", "idx", "kind", "node_id", "is_last", "has_else", "has_final", "path"
     )
 
 
-def block_table(statements: DataFrame) -> DataFrame:
-    """Per statement: id, next sibling and the first statement of each of its blocks."""
-    ordered = next_in_block(statements, [*FILE, "parent_pos", "field"], ["idx"], "node_id", "next_id")
-    first = lambda field: F.max(
-        F.when((F.col("field") == field) & (F.col("idx") == 0), F.col("node_id"))
-    )
-    entries = (
-        statements.filter((F.col("idx") == 0) & F.col("field").isin("body", "orelse", "finalbody"))
-        .groupBy(*FILE, "parent_pos")
-        .agg(
-            first("body").alias("body_id"),
-            first("orelse").alias("else_id"),
-            first("finalbody").alias("final_id"),
-        )
-        .withColumnRenamed("parent_pos", "pos")
+def _address(parent: Column, field: Column | str, idx: Column | int) -> Column:
+    return F.struct(
+        parent.alias("parent_pos"),
+        (F.lit(field) if isinstance(field, str) else field).alias("field"),
+        (F.lit(idx) if isinstance(idx, int) else idx).cast("int").alias("idx"),
     )
-    return ordered.join(entries, [*FILE, "pos"], "left")
 
 
-def exit_target(role: Column) -> Column:
+def _sibling(place: Column) -> Column:
+    """Address of the statement after ``place``; null when it is the last of its block."""
+    return F.when(~place["is_last"], _address(place["parent_pos"], place["field"], place["idx"] + 1))
+
+
+def _leaving(block: Column) -> Column:
     """Where the end of an enclosing block leads, before asking further out."""
+    role = block["role"]
+    orelse = F.when(block["has_else"], _address(block["pos"], "orelse", 0))
+    final = F.when(block["has_final"], _address(block["pos"], "finalbody", 0))
     return (
-        F.when(role.isin(*LOOP_BODIES), F.col("around.node_id"))
-        .when(role == "Try.body", F.coalesce("around.else_id", "around.final_id", "around.next_id"))
-        .when(
-            role.isin("Try.orelse", "Try.handlers"), F.coalesce("around.final_id", "around.next_id")
-        )
-        # a handler is no flow target itself: what follows it is asked of its try
-        .when(role == "ExceptHandler.body", F.lit(None).cast("string"))
-        .otherwise(F.col("around.next_id"))
+        F.when(role.isin(*LOOP_BODIES), _address(block["parent_pos"], block["field"], block["idx"]))
+        .when(role == "Try.body", F.coalesce(orelse, final, _sibling(block)))
+        .when(role.isin("Try.orelse", "Try.handlers"), F.coalesce(final, _sibling(block)))
+        # a handler's neighbour is another handler, never a target: its try decides
+        .when(role != "ExceptHandler.body", _sibling(block))
     )
 
 
-def follow_targets(blocks: DataFrame) -> DataFrame:
-    """``(file, pos, follow_id)`` for every statement that flows on."""
-    around = blocks.select(*FILE, F.col("pos").alias("around_pos"), F.struct(
-        "node_id", "next_id", "else_id", "final_id").alias("around"))
-    last = blocks.filter(F.col("next_id").isNull() | (F.col("kind") == "ExceptHandler"))
-    climbs = last.select(*FILE, "pos", F.posexplode("path").alias("level", "step"))
-    outward = (
-        climbs.select(*FILE, "pos", "level", F.col("step.role").alias("role"), F.col("step.pos").alias("around_pos"))
-        .join(around, [*FILE, "around_pos"])
-        .withColumn("target", exit_target(F.col("role")))
-        .groupBy(*FILE, "pos")
-        .agg(F.min_by("target", F.when(F.col("target").isNotNull(), F.col("level"))).alias("climbed_id"))
-    )
-    return (
-        blocks.join(outward, [*FILE, "pos"], "left")
-        .select(
-            *FILE,
-            "pos",
-            "parent_pos",
-            "kind",
-            "node_id",
-            "body_id",
-            "else_id",
-            "final_id",
-            "path",
-            F.coalesce(
-                F.when(F.col("kind") != "ExceptHandler", F.col("next_id")), F.col("climbed_id")
-            ).alias("follow_id"),
-        )
-    )
+def _outwards(path: Column) -> Column:
+    """The first answer from the enclosing blocks, innermost first."""
+    answers = F.filter(F.transform(path, _leaving), lambda a: a.isNotNull())
+    return F.try_element_at(answers, F.lit(1))
 
 
-def control_flow_edges(rows: DataFrame) -> DataFrame:
+def flow_addresses(statements: DataFrame) -> DataFrame:
+    """One row per edge: own id, address of the other end, branch, and which end is the source."""
     c = F.col
-    flow = follow_targets(block_table(flow_statements(rows)))
-    loop = F.element_at(F.filter("path", lambda p: p["role"].isin(*LOOP_BODIES)), 1)["pos"]
-    asked = flow.withColumn(
-        "ask_pos",
-        F.when(c("kind").isin("Break", "Continue"), loop).when(c("kind") == "ExceptHandler", c("parent_pos")),
+    kind, path = c("kind"), c("path")
+    place = F.struct("parent_pos", "field", "idx", "is_last")
+    climbed = _outwards(path)
+    follow = F.when(kind == "ExceptHandler", climbed).otherwise(F.coalesce(_sibling(place), climbed))
+    first = lambda field: _address(c("pos"), field, 0)
+    orelse = F.when(c("has_else"), first("orelse"))
+
+    depth = F.array_position(F.transform(path, lambda p: p["role"].isin(*LOOP_BODIES)), True).cast("int")
+    loop = F.try_element_at(path, F.nullif(depth, F.lit(0)))
+    after_loop = F.coalesce(_sibling(loop), _outwards(F.slice(path, depth + 1, F.size(path))))
+    head = F.try_element_at(path, F.lit(1))
+
+    link = lambda to, label, into=False: F.struct(
+        to.alias("to"), F.lit(label).alias("branch"), F.lit(into).alias("into")
     )
-    answers = flow.filter(c("kind").isin(*LOOPS, "Try")).select(
-        *FILE,
-        c("pos").alias("ask_pos"),
-        c("node_id").alias("asked_id"),
-        c("follow_id").alias("asked_follow_id"),
-    )
-    known = asked.join(answers, [*FILE, "ask_pos"], "left")
-
-    link = lambda src, dst, label: F.struct(
-        src.alias("src_node_id"), dst.alias("dst_node_id"), F.lit(label).alias("branch")
-    )
-    me, follow, kind = c("node_id"), c("follow_id"), c("kind")
+    owner = lambda block: _address(block["parent_pos"], block["field"], block["idx"])
     links = (
-        F.when(
-            kind == "If",
-            F.array(
-                link(me, F.coalesce("body_id", "follow_id"), "TRUE"),
-                link(me, F.coalesce("else_id", "follow_id"), "FALSE"),
-            ),
-        )
+        F.when(kind == "If", F.array(link(first("body"), "TRUE"), link(F.coalesce(orelse, follow), "FALSE")))
         .when(
             kind.isin(*LOOPS),
-            F.array(
-                link(me, F.coalesce("body_id", "node_id"), "LOOP_BODY"),
-                link(me, F.coalesce("else_id", "follow_id"), "LOOP_EXIT"),
-            ),
+            F.array(link(first("body"), "LOOP_BODY"), link(F.coalesce(orelse, follow), "LOOP_EXIT")),
         )
-        .when(kind.isin(*WITHS), F.array(link(me, F.coalesce("body_id", "follow_id"), "ENTER")))
-        .when(kind == "Try", F.array(link(me, F.coalesce("body_id", "else_id", "final_id"), "TRY")))
+        .when(kind.isin(*WITHS), F.array(link(first("body"), "ENTER")))
+        .when(kind == "Try", F.array(link(first("body"), "TRY")))
         .when(
             kind == "ExceptHandler",
-            F.array(
-                link(c("asked_id"), me, "EXCEPT"),
-                link(me, F.coalesce("body_id", "follow_id"), "HANDLE"),
-            ),
+            F.array(link(owner(head), "EXCEPT", into=True), link(first("body"), "HANDLE")),
         )
-        .when(kind == "Break", F.array(link(me, c("asked_follow_id"), "BREAK")))
-        .when(kind == "Continue", F.array(link(me, c("asked_id"), "CONTINUE")))
-        .when(~kind.isin(*SILENT), F.array(link(me, follow, "NEXT")))
+        .when((kind == "Break") & (depth > 0), F.array(link(after_loop, "BREAK")))
+        .when((kind == "Continue") & (depth > 0), F.array(link(owner(loop), "CONTINUE")))
+        .when(~kind.isin("Break", "Continue", *SILENT), F.array(link(follow, "NEXT")))
     )
     return (
-        known.select(*FILE, F.explode(links).alias("l"))
-        .select(*FILE, "l.*")
-        .filter(c("dst_node_id").isNotNull())
-        .select(*FILE, F.lit("CFG").alias("edge_type"), "src_node_id", "dst_node_id", c("branch").alias("anchor"), "branch")
+        statements.select(*FILE, "node_id", F.explode(links).alias("l"))
+        .select(*FILE, "node_id", "l.to.*", "l.branch", "l.into")
+        .filter(c("parent_pos").isNotNull())
+    )
+
+
+def control_flow_edges(rows: DataFrame) -> DataFrame:
+    """CFG edges; an address that holds no statement gives none."""
+    c = F.col
+    statements = flow_statements(rows)
+    where = statements.select(*FILE, "parent_pos", "field", "idx", c("node_id").alias("other_id"))
+    joined = lookup(flow_addresses(statements), where, [*FILE, "parent_pos", "field", "idx"])
+    return joined.select(
+        *FILE,
+        F.lit("CFG").alias("edge_type"),
+        F.when(c("into"), c("other_id")).otherwise(c("node_id")).alias("src_node_id"),
+        F.when(c("into"), c("node_id")).otherwise(c("other_id")).alias("dst_node_id"),
+        c("branch").alias("anchor"),
+        "branch",
     )

@@ -24,10 +24,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from codetide.functions.ids import content_sha256
 from codetide.functions.text import byte_count, line_count
 
-PREVIEW_WIDTH = 160  # fixed value: characters of a constant's repr that are kept
+# fixed values: characters of a constant's repr that are kept, and that tell it from others
+PREVIEW_WIDTH, SIGNATURE_WIDTH = 160, 120
 BATCH_ROWS = 16_384
 
 _S, _I = T.StringType(), T.IntegerType()
+# An enclosing block: its role (kind and field of its owner) and the owner's own place.
+BLOCK = T.StructType(
+    [
+        T.StructField("role", _S),
+        T.StructField("pos", _I),
+        T.StructField("parent_pos", _I),
+        T.StructField("field", _S),
+        T.StructField("idx", _I),
+        T.StructField("is_last", T.BooleanType()),
+        T.StructField("has_else", T.BooleanType()),
+        T.StructField("has_final", T.BooleanType()),
+    ]
+)
 SCHEMA = T.StructType(
     [
         T.StructField("repository", _S),
@@ -42,6 +56,8 @@ SCHEMA = T.StructType(
         T.StructField("asname", _S),
         T.StructField("ctx", _S),
         T.StructField("shape_hash", _S),
+        # running number among visits of the same scope, kind and signature
+        T.StructField("occurrence", _I),
         T.StructField("value_type", _S),
         T.StructField("value_preview", _S),
         T.StructField("decorators", T.ArrayType(_S)),
@@ -58,10 +74,12 @@ SCHEMA = T.StructType(
         T.StructField("stmt_pos", _I),
         T.StructField("flow_scope_pos", _I),
         T.StructField("flow_ok", T.BooleanType()),
-        # statements and handlers: enclosing blocks up to the running scope, innermost first
-        T.StructField(
-            "path", T.ArrayType(T.StructType([T.StructField("role", _S), T.StructField("pos", _I)]))
-        ),
+        # statements and handlers: place in the block, blocks of its own, and the enclosing
+        # blocks up to the running scope, innermost first
+        T.StructField("is_last", T.BooleanType()),
+        T.StructField("has_else", T.BooleanType()),
+        T.StructField("has_final", T.BooleanType()),
+        T.StructField("path", T.ArrayType(BLOCK)),
         T.StructField("start_line", _I),
         T.StructField("end_line", _I),
         T.StructField("start_col", _I),
@@ -84,14 +102,25 @@ SCHEMA = T.StructType(
         ),
     ]
 )
-_NAMES = SCHEMA.names
 # Executors get this one module inside the task, so they need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+_FIELDLESS: dict[str, str] = {}  # hashes of kinds without fields, such as Load()
 _DEFS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
 _FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.Lambda)
 
 
+def _shape_hash(shape: str) -> str:
+    """The id rule of the library for one text part."""
+    known = _FIELDLESS.get(shape)
+    if known is None:
+        framed = f"[{json.dumps(shape, ensure_ascii=False)}]"
+        known = "ast:" + hashlib.sha256(framed.encode("utf-8")).hexdigest()
+        if shape.endswith("()") and shape[:-2].isidentifier():
+            _FIELDLESS[shape] = known
+    return known
+
+
 def dotted_name(expr: ast.AST) -> str:
     """Readable name of an expression: ``a.b``, ``f()``, ``x`` for ``x[0]``, else empty."""
     suffixes: list[str] = []
@@ -123,13 +152,13 @@ class _Walk:
     def __init__(self) -> None:
         self.rows: list[dict] = []
 
-    def visit(self, node, parent, field, idx, scope, owner, stmt, block) -> str:
+    def visit(self, node, parent, field, idx, is_last, scope, owner, stmt, block) -> str:
         """``stmt`` = (pos, scope pos, ok) for expressions; ``block`` = (scope pos, path)."""
         pos = len(self.rows)
         kind = type(node).__name__
         is_stmt = isinstance(node, ast.stmt)
         if is_stmt:
-            ok = not any(role.startswith(("ExceptHandler", "match_case")) for role, _ in block[1])
+            ok = not any(b["role"].startswith(("ExceptHandler", "match_case")) for b in block[1])
             stmt = (pos, block[0], ok)
         row = {
             "pos": pos,
@@ -149,7 +178,10 @@ class _Walk:
         }
         self.rows.append(row)
         if is_stmt or isinstance(node, ast.ExceptHandler):
-            row["path"] = [{"role": role, "pos": at} for role, at in block[1]]
+            row["is_last"] = is_last
+            row["has_else"] = bool(getattr(node, "orelse", None))
+            row["has_final"] = bool(getattr(node, "finalbody", None))
+            row["path"] = block[1]
         if isinstance(node, (*_FUNCTIONS, ast.Module)):
             owner = pos
         row["owner_pos"] = owner
@@ -168,28 +200,37 @@ class _Walk:
             value = getattr(node, name, None)
             if value is None and getattr(type(node), name, ...) is None:
                 continue
-            inner = (pos, ()) if isinstance(node, (*_DEFS, ast.Module)) else (
-                block[0],
-                ((f"{kind}.{name}", pos), *block[1]),
-            )
             if isinstance(value, ast.AST):
-                text = self.visit(value, pos, name, None, below, owner, stmt, inner)
+                text = self.visit(value, pos, name, None, True, below, owner, stmt, block)
             elif isinstance(value, list):
+                inner = self._enter(node, row, name, value, block)
+                end = len(value) - 1
                 text = "[%s]" % ", ".join(
-                    self.visit(item, pos, name, i, below, owner, stmt, inner)
-                    if isinstance(item, ast.AST)
-                    else repr(item)
-                    for i, item in enumerate(value)
+                    [
+                        self.visit(item, pos, name, i, i == end, below, owner, stmt, inner)
+                        if isinstance(item, ast.AST)
+                        else repr(item)
+                        for i, item in enumerate(value)
+                    ]
                 )
             else:
                 text = repr(value)
             parts.append(f"{name}={text}")
         shape = f"{kind}({', '.join(parts)})"
         if "ident" not in row and kind not in ("Constant", "Module"):
-            framed = json.dumps([shape], ensure_ascii=False)
-            row["shape_hash"] = "ast:" + hashlib.sha256(framed.encode("utf-8")).hexdigest()
+            row["shape_hash"] = _shape_hash(shape)
         return shape
 
+    @staticmethod
+    def _enter(node: ast.AST, row: dict, field: str, items: list, block: tuple) -> tuple:
+        """The block context of a list field: a new scope, one block deeper, or unchanged."""
+        if isinstance(node, (*_DEFS, ast.Module)):
+            return (row["pos"], ())
+        if not items or not isinstance(items[0], (ast.stmt, ast.ExceptHandler, ast.match_case)):
+            return block
+        names = ("pos", "parent_pos", "field", "idx", "is_last", "has_else", "has_final")
+        return (block[0], ({"role": f"{row['kind']}.{field}", **{n: row.get(n) for n in names}}, *block[1]))
+
     @staticmethod
     def _identify(node: ast.AST, row: dict) -> None:
         match node:
@@ -213,6 +254,28 @@ class _Walk:
                 row["imports"] = [{"name": a.name, "asname": a.asname} for a in node.names]
 
 
+def number_repeats(rows: list[dict]) -> None:
+    """Count visits that look alike, in visiting order.
+
+    All rows of a file are at hand here and in order, so numbering them now saves
+    shuffling the whole flattened corpus for a window.
+    """
+    seen: dict[tuple, int] = {}
+    for row in rows:
+        preview = row.get("value_preview")
+        like = (
+            row["scope"],
+            row["kind"],
+            row.get("ident"),
+            row.get("asname"),
+            row.get("ctx"),
+            row.get("value_type"),
+            preview and preview[:SIGNATURE_WIDTH],
+            row.get("shape_hash"),
+        )
+        row["occurrence"] = seen[like] = seen.get(like, -1) + 1
+
+
 def file_rows(file_path: str, content: bytes) -> list[dict]:
     """Rows of one file, or one error row; a bad file never raises."""
     started = time.perf_counter()
@@ -221,8 +284,9 @@ def file_rows(file_path: str, content: bytes) -> list[dict]:
             warnings.simplefilter("ignore")
             tree = ast.parse(content.decode("utf-8"), filename=file_path, type_comments=True)
         walk = _Walk()
-        walk.visit(tree, None, None, None, "<module>", None, (None, None, False), (None, ()))
+        walk.visit(tree, None, None, None, True, "<module>", None, (None, None, False), (None, ()))
         walk.rows[0]["parse_duration_ms"] = round((time.perf_counter() - started) * 1000, 3)
+        number_repeats(walk.rows)
         return walk.rows
     except Exception as error:  # noqa: BLE001 - any failure becomes a row
         classes = [c.__name__ for c in type(error).__mro__]
@@ -232,32 +296,30 @@ def file_rows(file_path: str, content: bytes) -> list[dict]:
 
 def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = to_arrow_schema(SCHEMA)
-    columns: dict[str, list] = {name: [] for name in _NAMES}
 
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
-        )
-        for values in columns.values():
-            values.clear()
-        return out
+    def pack(rows: list[dict]) -> pa.RecordBatch:
+        arrays = [pa.array([row.get(n) for row in rows], type=t) for n, t in zip(schema.names, schema.types)]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     sys.setrecursionlimit(max(sys.getrecursionlimit(), 3000))
+    pending: list[dict] = []
     for batch in batches:
+        names = batch.schema.names
+        # one file's content at a time becomes a Python object
         for i in range(batch.num_rows):
-            facts = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+            facts = {name: column[i].as_py() for name, column in zip(names, batch.columns)}
             content = facts.pop("content")
             rows = file_rows(facts["file_path"], content if content is not None else b"")
-            rows[0].update({k: v for k, v in facts.items()})
+            key = {"repository": facts["repository"], "file_path": facts["file_path"]}
             for row in rows:
-                for name in _NAMES:
-                    columns[name].append(row.get(name))
-                columns["repository"][-1] = facts["repository"]
-                columns["file_path"][-1] = facts["file_path"]
-            if len(columns["pos"]) >= BATCH_ROWS:
-                yield flush()
-    if columns["pos"]:
-        yield flush()
+                row.update(key)
+            rows[0].update(facts)
+            pending += rows
+            if len(pending) >= BATCH_ROWS:
+                yield pack(pending)
+                pending = []
+    if pending:
+        yield pack(pending)
 
 
 def flatten(corpus: DataFrame, spread: int | None = None) -> DataFrame:

@@ -85,6 +85,18 @@ def merge_node_accumulators(parts: DataFrame) -> DataFrame:
     )
 
 
+def node_deletes(node_events: DataFrame, order: list[str]) -> DataFrame:
+    """Last delete per node, straight from the events that delete."""
+    is_upsert = F.coalesce(F.col("event_type") == contract.NODE_UPSERT, F.lit(False))
+    gone = node_events.filter(~is_upsert & F.col("node_id").isNotNull())
+    return gone.groupBy("node_id").agg(F.max(order_of(order)).alias("delete_seq"))
+
+
+def accumulated_deletes(accumulated: DataFrame) -> DataFrame:
+    """The same from node accumulators."""
+    return accumulated.filter(F.col("delete_seq").isNotNull()).select("node_id", "delete_seq")
+
+
 def edge_accumulators(edge_events: DataFrame, order: list[str]) -> DataFrame:
     c = F.col
     seq = order_of(order)
@@ -135,9 +147,11 @@ def node_view(accumulated: DataFrame) -> DataFrame:
     )
 
 
-def live_properties(properties: DataFrame, accumulated: DataFrame) -> DataFrame:
-    """Merged properties: last value per key since the node's last delete; null removes."""
-    deletes = accumulated.filter(F.col("delete_seq").isNotNull()).select("node_id", "delete_seq")
+def live_properties(properties: DataFrame, deletes: DataFrame) -> DataFrame:
+    """Merged properties: last value per key since the node's last delete; null removes.
+
+    ``properties`` is already down to one row per node and key.
+    """
     return (
         properties.join(deletes, "node_id", "left")
         .filter(F.col("value").isNotNull() & (F.col("delete_seq").isNull() | (F.col("seq") > F.col("delete_seq"))))
@@ -145,7 +159,7 @@ def live_properties(properties: DataFrame, accumulated: DataFrame) -> DataFrame:
     )
 
 
-def edge_view(edges: DataFrame, accumulated: DataFrame, salts: int = 8) -> DataFrame:
+def edge_view(edges: DataFrame, deletes: DataFrame, salts: int = 8) -> DataFrame:
     """Edges whose last event is an upsert newer than any delete of either end.
 
     Only deleted nodes can end an edge, so only they are looked up.  A hub may be
@@ -155,11 +169,11 @@ def edge_view(edges: DataFrame, accumulated: DataFrame, salts: int = 8) -> DataF
     c = F.col
     salt = F.pmod(F.xxhash64("edge_id"), F.lit(salts)).cast("int")
     live = edges.filter("last.live").select("edge_id", "seq", "last.attributes.*").withColumn("salt", salt)
-    deletes = accumulated.filter(c("delete_seq").isNotNull()).select(
+    spread = deletes.select(
         "node_id", "delete_seq", F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("salt")
     )
     for end in ("src_node_id", "dst_node_id"):
-        gone = deletes.select(c("node_id").alias(end), "salt", c("delete_seq").alias("end_delete_seq"))
+        gone = spread.select(c("node_id").alias(end), "salt", c("delete_seq").alias("end_delete_seq"))
         live = live.join(gone, [end, "salt"], "left").filter(
             c("end_delete_seq").isNull() | (c("seq") > c("end_delete_seq"))
         ).drop("end_delete_seq")
@@ -170,7 +184,7 @@ def graph_view(node_events: DataFrame, edge_events: DataFrame, order: list[str])
     """Current nodes and edges of two event streams under one total order."""
     nodes = node_accumulators(node_events, edge_events, order)
     edges = edge_accumulators(edge_events, order)
-    return node_view(nodes), edge_view(edges, nodes)
+    return node_view(nodes), edge_view(edges, node_deletes(node_events, order))
 
 
 def duplicates(df: DataFrame, key: list[str]) -> DataFrame:

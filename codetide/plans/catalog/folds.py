@@ -69,8 +69,7 @@ def node_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def property_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = node_events(_events(spark, sf_dir))
-    nodes = fold.node_accumulators(events, None, ORDER)
-    return fold.live_properties(fold.property_accumulators(events, ORDER), nodes)
+    return fold.live_properties(fold.property_accumulators(events, ORDER), fold.node_deletes(events, ORDER))
 
 
 def graph_rows(nodes: DataFrame, edges: DataFrame) -> DataFrame:

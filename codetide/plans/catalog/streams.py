@@ -31,7 +31,7 @@ DOCUMENT = T.StructType(
     ]
 )
 # the sequence an event carries, so that order of arrival does not matter
-CARRIED = {"ts": "timestamp", "event_id": "bigint"}
+CARRIED = {"micros": "bigint", "event_id": "bigint"}
 
 
 def _before() -> Column:
@@ -90,7 +90,7 @@ def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def lines(rows: DataFrame, topic: str, key: str, version: Column) -> DataFrame:
         body = [c for c in rows.columns if c not in folds.ORDER]
-        order = {"ts": F.col("ts"), "event_id": F.col("event_id")}
+        order = {"micros": F.unix_micros(F.col("ts").cast("timestamp")), "event_id": F.col("event_id")}
         return rows.select(
             "ts", envelope_line(F.lit(topic), F.col(key), F.to_json(F.struct(version, *body)), order).alias("line")
         )
@@ -101,7 +101,7 @@ def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = fresh_path(spark, "graph-stream")
     log = MessageLog(spark, f"{root}/log", ", ".join(f"{n} {t}" for n, t in CARRIED.items()))
-    snapshots = GraphSnapshots(spark, f"{root}/snapshots", folds.ORDER)
+    snapshots = GraphSnapshots(spark, f"{root}/snapshots", list(CARRIED))
     for number, part in ((1, every.filter(~_before())), (2, every.filter(_before()))):
         _drop(part, f"{root}/landing", number)
         _drain(spark, f"{root}/landing", log, f"{root}/checkpoint", CARRIED, REQUIRED_FIELD)

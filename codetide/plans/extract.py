@@ -10,7 +10,7 @@ from codetide.operators.delta import error_rows
 from codetide.operators.edges import all_edges, external_symbols, file_metadata
 from codetide.operators.flatten import flatten
 from codetide.operators.syntax import FILE, identify, node_rows
-from codetide.session import stage
+from codetide.session import StagingArea, stage
 
 
 @dataclass(frozen=True)
@@ -21,11 +21,11 @@ class Graph:
     errors: DataFrame
 
 
-def parsed_rows(corpus: DataFrame, spread: int | None = None) -> DataFrame:
+def parsed_rows(corpus: DataFrame, spread: int | None = None, area: StagingArea | None = None) -> DataFrame:
     """Identified syntax rows in a staged table, so that no branch parses again."""
     if spread is None:
         spread = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stage(identify(flatten(corpus, spread)), "rows")
+    return stage(identify(flatten(corpus, spread)), "rows", area)
 
 
 def parse_errors(rows: DataFrame) -> DataFrame:
@@ -43,10 +43,10 @@ def parse_errors(rows: DataFrame) -> DataFrame:
     )
 
 
-def extract(corpus: DataFrame, spread: int | None = None) -> Graph:
+def extract(corpus: DataFrame, spread: int | None = None, area: StagingArea | None = None) -> Graph:
     """Nodes, edges, file metadata and errors of ``corpus(repository, file_path, content)``."""
-    rows = parsed_rows(corpus, spread)
-    edges = stage(all_edges(rows), "edges")
+    rows = parsed_rows(corpus, spread, area)
+    edges = stage(all_edges(rows), "edges", area)
     nodes = node_rows(rows).unionByName(external_symbols(edges))
     files = rows.filter((F.col("pos") == 0) & F.col("error").isNull()).select(
         *FILE, "loc", "size_bytes", "content_sha256", "parse_duration_ms"

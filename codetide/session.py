@@ -63,13 +63,31 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, area: StagingArea | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several branches read the same expensive rows.  The table cuts
     the lineage, outlives any executor, and lets every branch scan only the
     columns it names.
     """
-    path = fresh_path(df.sparkSession, label)
+    path = area.path(label) if area else fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class StagingArea:
+    """A folder for the staged tables of one run, given back as a whole when it is over."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.root = fresh_path(spark, "staging")
+        self._count = 0
+
+    def path(self, label: str) -> str:
+        self._count += 1
+        return f"{self.root}/{self._count:02d}-{label}"
+
+    def release(self) -> None:
+        """Delete the staged tables; frames that still read them are of no use afterwards."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

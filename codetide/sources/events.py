@@ -78,9 +78,7 @@ def bad_message_reason(value: Column, parsed_key: Column) -> Column:
 def envelope_line(topic: Column, key: Column, value: Column, extra: dict[str, Column] | None = None) -> Column:
     """``{"topic":…,"key":…,"value":…}`` with the JSON text of ``value`` put in as it stands."""
     more = [column.alias(name) for name, column in (extra or {}).items()]
-    head = F.to_json(F.struct(topic.alias("topic"), key.alias("key"), *more), {
-        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    })
+    head = F.to_json(F.struct(topic.alias("topic"), key.alias("key"), *more))
     return F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"value":'), value, F.lit("}"))
 
 

@@ -175,10 +175,11 @@ class GraphSnapshots:
     def view(self, log: MessageLog) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Current nodes, edges and properties."""
         state = self.accumulators(log)
+        deletes = fold.accumulated_deletes(state["nodes"])
         return (
             fold.node_view(state["nodes"]),
-            fold.edge_view(state["edges"], state["nodes"]),
-            fold.live_properties(state["properties"], state["nodes"]),
+            fold.edge_view(state["edges"], deletes),
+            fold.live_properties(state["properties"], deletes),
         )
 
 

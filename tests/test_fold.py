@@ -73,9 +73,11 @@ def frames(spark, events):
 def views(spark, nodes, edges):
     state = fold.node_accumulators(nodes, edges, ORDER)
     got_nodes = {r["node_id"]: None if r["is_stub"] else (r["name"], int(r["updated_at"])) for r in fold.node_view(state).collect()}
+    deletes = fold.node_deletes(nodes, ORDER)
+    assert {tuple(r) for r in deletes.collect()} == {tuple(r) for r in fold.accumulated_deletes(state).collect()}
     got_edges = {r["edge_id"]: (r["src_node_id"], r["dst_node_id"], int(r["updated_at"]))
-                 for r in fold.edge_view(fold.edge_accumulators(edges, ORDER), state).collect()}
-    props = fold.live_properties(fold.property_accumulators(nodes, ORDER), state)
+                 for r in fold.edge_view(fold.edge_accumulators(edges, ORDER), deletes).collect()}
+    props = fold.live_properties(fold.property_accumulators(nodes, ORDER), deletes)
     return got_nodes, {tuple(r) for r in props.collect()}, got_edges
 
 

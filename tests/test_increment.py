@@ -120,6 +120,17 @@ def test_a_run_that_dies_before_its_commit_leaves_the_old_state(spark, corpus, p
     assert again.log.filter("event_type = 'source_upsert'").count() == 1
 
 
+def test_released_runs_leave_log_and_state(spark, corpus, place):
+    from codetide.sources.files import exists
+
+    state, log = place
+    result = run(corpus({"a.py": SAMPLE}), state, log, 1, event_time=AT)
+    assert exists(spark, result.area.root)
+    result.release()
+    assert not exists(spark, result.area.root)
+    assert result.log.count() > 0 and state.ids("nodes").count() > 0
+
+
 def test_two_repositories_do_not_share_state(corpus, place):
     state, log = place
     one = corpus({"a.py": SAMPLE}, "one").unionByName(corpus({"a.py": "y = 2\n"}, "two"))

@@ -12,6 +12,7 @@ import time
 from collections import Counter
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
 from codetide.plans.catalog import ORACLES, QUERIES  # noqa: E402
@@ -52,9 +53,13 @@ def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("--partitions", default="8")
+    parser.add_argument("--plain", action="store_true", help="a session without any of our settings")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = local_session(8, **{"spark.sql.shuffle.partitions": args.partitions})
+    if args.plain:
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+    else:
+        spark = local_session(8, **{"spark.sql.shuffle.partitions": args.partitions})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     failed = 0

@@ -157,6 +157,26 @@ class _Walk:
         pos = len(self.rows)
         kind = type(node).__name__
         is_stmt = isinstance(node, ast.stmt)
+        if not node._fields and not is_stmt:
+            # contexts and operators: a quarter of all visits, with nothing below them
+            shape = f"{kind}()"
+            self.rows.append(
+                {
+                    "pos": pos,
+                    "parent_pos": parent,
+                    "parent_kind": self.rows[parent]["kind"],
+                    "field": field,
+                    "idx": idx,
+                    "kind": kind,
+                    "scope": scope,
+                    "owner_pos": owner,
+                    "stmt_pos": stmt[0],
+                    "flow_scope_pos": stmt[1],
+                    "flow_ok": stmt[2],
+                    "shape_hash": _shape_hash(shape),
+                }
+            )
+            return shape
         if is_stmt:
             ok = not any(b["role"].startswith(("ExceptHandler", "match_case")) for b in block[1])
             stmt = (pos, block[0], ok)

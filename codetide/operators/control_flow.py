@@ -13,7 +13,7 @@ turns all addresses of all edges into ids.  No recursion, no repeated joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from codetide.operators.syntax import FILE, lookup
 
@@ -53,78 +53,86 @@ def flow_statements(rows: DataFrame) -> DataFrame:
     )
 
 
-def _address(parent: Column, field: Column | str, idx: Column | int) -> Column:
-    return F.struct(
-        parent.alias("parent_pos"),
-        (F.lit(field) if isinstance(field, str) else field).alias("field"),
-        (F.lit(idx) if isinstance(idx, int) else idx).cast("int").alias("idx"),
-    )
+# The address arithmetic is SQL text: one expression per branch of the rule table, and
+# one call to build each, where column objects would take hundreds.
+def _in(names: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+def _address(parent: str, field: str, idx: str) -> str:
+    return f"named_struct('parent_pos', {parent}, 'field', {field}, 'idx', {idx})"
+
+
+def _own(place: str) -> str:
+    """Address of the owner of a block, or of the loop a statement sits in."""
+    return _address(f"{place}.parent_pos", f"{place}.field", f"{place}.idx")
 
 
-def _sibling(place: Column) -> Column:
+def _sibling(place: str = "") -> str:
     """Address of the statement after ``place``; null when it is the last of its block."""
-    return F.when(~place["is_last"], _address(place["parent_pos"], place["field"], place["idx"] + 1))
+    dot = f"{place}." if place else ""
+    return f"if({dot}is_last, null, {_address(f'{dot}parent_pos', f'{dot}field', f'{dot}idx + 1')})"
 
 
-def _leaving(block: Column) -> Column:
-    """Where the end of an enclosing block leads, before asking further out."""
-    role = block["role"]
-    orelse = F.when(block["has_else"], _address(block["pos"], "orelse", 0))
-    final = F.when(block["has_final"], _address(block["pos"], "finalbody", 0))
-    return (
-        F.when(role.isin(*LOOP_BODIES), _address(block["parent_pos"], block["field"], block["idx"]))
-        .when(role == "Try.body", F.coalesce(orelse, final, _sibling(block)))
-        .when(role.isin("Try.orelse", "Try.handlers"), F.coalesce(final, _sibling(block)))
-        # a handler's neighbour is another handler, never a target: its try decides
-        .when(role != "ExceptHandler.body", _sibling(block))
-    )
+def _first(pos: str, field: str) -> str:
+    return _address(pos, f"'{field}'", "0")
+
+
+# Where the end of an enclosing block b leads, before asking further out.  A handler's
+# neighbour is another handler, never a target: its try decides.
+_LEAVING = f"""
+  case
+    when b.role in {_in(LOOP_BODIES)} then {_own('b')}
+    when b.role = 'ExceptHandler.body' then null
+    when b.role = 'Try.body' and b.has_else then {_first('b.pos', 'orelse')}
+    when b.role in ('Try.body', 'Try.orelse', 'Try.handlers') and b.has_final then {_first('b.pos', 'finalbody')}
+    else {_sibling('b')}
+  end"""
 
 
-def _outwards(path: Column) -> Column:
+def _outwards(path: str) -> str:
     """The first answer from the enclosing blocks, innermost first."""
-    answers = F.filter(F.transform(path, _leaving), lambda a: a.isNotNull())
-    return F.try_element_at(answers, F.lit(1))
+    return f"try_element_at(filter(transform({path}, b -> {_LEAVING}), a -> a is not null), 1)"
+
+
+_PLACES = {
+    # where a statement flows on to
+    "follow": f"coalesce(if(kind = 'ExceptHandler', null, {_sibling()}), {_outwards('path')})",
+    "else_or_follow": f"if(has_else, {_first('pos', 'orelse')}, follow)",
+    "body": _first("pos", "body"),
+    # depth and block of the innermost loop body around a statement
+    "depth": f"cast(array_position(transform(path, b -> b.role in {_in(LOOP_BODIES)}), true) as int)",
+    "loop": "try_element_at(path, nullif(depth, 0))",
+    "after_loop": f"coalesce({_sibling('loop')}, {_outwards('slice(path, depth + 1, size(path))')})",
+    "head": "try_element_at(path, 1)",
+}
+
+
+def _link(to: str, label: str, into: bool = False) -> str:
+    return f"named_struct('to', {to}, 'branch', '{label}', 'into', {str(into).lower()})"
+
+
+_LINKS = f"""
+  case
+    when kind = 'If' then array({_link('body', 'TRUE')}, {_link('else_or_follow', 'FALSE')})
+    when kind in {_in(LOOPS)} then array({_link('body', 'LOOP_BODY')}, {_link('else_or_follow', 'LOOP_EXIT')})
+    when kind in {_in(WITHS)} then array({_link('body', 'ENTER')})
+    when kind = 'Try' then array({_link('body', 'TRY')})
+    when kind = 'ExceptHandler' then array({_link(_own('head'), 'EXCEPT', into=True)}, {_link('body', 'HANDLE')})
+    when kind = 'Break' and depth > 0 then array({_link('after_loop', 'BREAK')})
+    when kind = 'Continue' and depth > 0 then array({_link(_own('loop'), 'CONTINUE')})
+    when kind not in {_in(('Break', 'Continue', *SILENT))} then array({_link('follow', 'NEXT')})
+  end"""
 
 
 def flow_addresses(statements: DataFrame) -> DataFrame:
     """One row per edge: own id, address of the other end, branch, and which end is the source."""
-    c = F.col
-    kind, path = c("kind"), c("path")
-    place = F.struct("parent_pos", "field", "idx", "is_last")
-    climbed = _outwards(path)
-    follow = F.when(kind == "ExceptHandler", climbed).otherwise(F.coalesce(_sibling(place), climbed))
-    first = lambda field: _address(c("pos"), field, 0)
-    orelse = F.when(c("has_else"), first("orelse"))
-
-    depth = F.array_position(F.transform(path, lambda p: p["role"].isin(*LOOP_BODIES)), True).cast("int")
-    loop = F.try_element_at(path, F.nullif(depth, F.lit(0)))
-    after_loop = F.coalesce(_sibling(loop), _outwards(F.slice(path, depth + 1, F.size(path))))
-    head = F.try_element_at(path, F.lit(1))
-
-    link = lambda to, label, into=False: F.struct(
-        to.alias("to"), F.lit(label).alias("branch"), F.lit(into).alias("into")
-    )
-    owner = lambda block: _address(block["parent_pos"], block["field"], block["idx"])
-    links = (
-        F.when(kind == "If", F.array(link(first("body"), "TRUE"), link(F.coalesce(orelse, follow), "FALSE")))
-        .when(
-            kind.isin(*LOOPS),
-            F.array(link(first("body"), "LOOP_BODY"), link(F.coalesce(orelse, follow), "LOOP_EXIT")),
-        )
-        .when(kind.isin(*WITHS), F.array(link(first("body"), "ENTER")))
-        .when(kind == "Try", F.array(link(first("body"), "TRY")))
-        .when(
-            kind == "ExceptHandler",
-            F.array(link(owner(head), "EXCEPT", into=True), link(first("body"), "HANDLE")),
-        )
-        .when((kind == "Break") & (depth > 0), F.array(link(after_loop, "BREAK")))
-        .when((kind == "Continue") & (depth > 0), F.array(link(owner(loop), "CONTINUE")))
-        .when(~kind.isin("Break", "Continue", *SILENT), F.array(link(follow, "NEXT")))
-    )
+    for name, sql in _PLACES.items():
+        statements = statements.withColumn(name, F.expr(sql))
     return (
-        statements.select(*FILE, "node_id", F.explode(links).alias("l"))
+        statements.select(*FILE, "node_id", F.explode(F.expr(_LINKS)).alias("l"))
         .select(*FILE, "node_id", "l.to.*", "l.branch", "l.into")
-        .filter(c("parent_pos").isNotNull())
+        .filter(F.col("parent_pos").isNotNull())
     )
 
 

@@ -48,10 +48,13 @@ def _line_graph(corpus: DataFrame) -> LineGraph:
     """Lines as nodes and line order as edges: one file is one input row, so groups stay small."""
     c = F.col
     lines = corpus.select(*FILE, "lang", F.posexplode(F.split("content", "\n")).alias("pos", "line"))
-    counted = with_occurrence(lines, [*FILE, "line"], ["pos"])
-    identified = counted.withColumn(
+    # one exchange by file serves both windows
+    counted = with_occurrence(lines.repartition(*[c(k) for k in FILE]), [*FILE, "line"], ["pos"])
+    named = counted.withColumn(
         "node_id", ids.node_id(c("repository"), c("file_path"), c("lang"), "Line", c("line"), c("occurrence"))
     )
+    # several branches read the ids: work them out once
+    identified = stage(next_in_block(named, FILE, ["pos"], "node_id", "dst_node_id"), "lines")
     nodes = identified.select(
         *FILE,
         "pos",
@@ -65,8 +68,7 @@ def _line_graph(corpus: DataFrame) -> LineGraph:
         F.length("line").alias("end_col"),
         F.struct(F.lit("text").alias("language"), "occurrence").alias("properties"),
     )
-    ahead = next_in_block(identified, FILE, ["pos"], "node_id", "dst_node_id").filter("dst_node_id is not null")
-    edges = ahead.select(
+    edges = identified.filter("dst_node_id is not null").select(
         *FILE,
         ids.edge_id("CFG", c("node_id"), c("dst_node_id"), "NEXT").alias("edge_id"),
         F.lit("CFG").alias("edge_type"),
@@ -106,7 +108,6 @@ def _run(spark: SparkSession, sf_dir: str) -> Run:
     processed = todo.filter(~unreadable)
     old = _line_graph(before)
     new = _line_graph(processed)
-    new = LineGraph(stage(new.nodes, "nodes"), stage(new.edges, "edges"))
     files = processed.select(
         *FILE,
         line_count(F.col("content")).alias("loc"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 # --- fixed values: the wire contract -------------------------------------------------
@@ -145,7 +145,7 @@ def within_retention(time: Column, topic: Column, now: Column, days: dict = RETE
     return keep
 
 
-def violations(events: "DataFrame", types: tuple[str, ...] = tuple(ROUTES)) -> "DataFrame":  # noqa: F821
+def violations(events: DataFrame, types: tuple[str, ...] = tuple(ROUTES)) -> DataFrame:
     """Rows that break the contract; a healthy stream gives none."""
     good = (
         F.col("schema_version").eqNullSafe(SCHEMA_VERSION)

@@ -34,7 +34,7 @@ def removed_ids(old: DataFrame, current: DataFrame, key: list[str], processed: D
                 processed_on: list[str] = FILE) -> DataFrame:
     """Rows of ``old`` whose id is gone, for files that were processed in this run."""
     candidates = old if processed is None else old.join(
-        processed.select(*processed_on).distinct(), processed_on, "left_semi"
+        processed.select(*processed_on), processed_on, "left_semi"
     )
     return candidates.join(current.select(*key), key, "left_anti")
 

@@ -328,8 +328,11 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         # one file's content at a time becomes a Python object
         for i in range(batch.num_rows):
             facts = {name: column[i].as_py() for name, column in zip(names, batch.columns)}
-            content = facts.pop("content")
-            rows = file_rows(facts["file_path"], content if content is not None else b"")
+            content, unread = facts.pop("content"), facts.pop("read_error")
+            if unread is not None:
+                rows = [{"error": {**unread, "classes": [unread["type"], "OSError"]}}]
+            else:
+                rows = file_rows(facts["file_path"], content if content is not None else b"")
             key = {"repository": facts["repository"], "file_path": facts["file_path"]}
             for row in rows:
                 row.update(key)
@@ -345,11 +348,15 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def flatten(corpus: DataFrame, spread: int | None = None) -> DataFrame:
     """One row per syntax visit of every file of ``corpus(repository, file_path, content)``.
 
+    A ``read_error(type, message)`` column, where there is one, marks files without content.
+
     Hashes and sizes are taken in the JVM before the rows cross over.  ``spread``
     shuffles the (small, unparsed) contents into that many tasks first; leave it
     out when the scan already gives enough.
     """
+    unread = F.col("read_error") if "read_error" in corpus.columns else F.lit(None)
     files = corpus.select(
+        unread.cast("struct<type string, message string>").alias("read_error"),
         "repository",
         "file_path",
         F.col("content").cast("binary").alias("content"),

@@ -264,7 +264,6 @@ def _absent(kind: str, key: str, a: int, b: int) -> str:
 
 
 _HEAD = f"'{{\"schema_version\":\"1.0.0\",\"event_time\":\"{EVENT_TIME}\",\"event_type\":\""
-_PATH = "','\"file_path\":' || to_json(file_path)"
 
 
 def _message(kind: str, *fields: str) -> str:

@@ -16,9 +16,6 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     # one Arrow row is a whole source file on the way into the flattener
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
-    # a table spread by (repository, file_path) then serves joins on
-    # (repository, file_path, pos) without a second exchange
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 _FALLBACK_ROOTS: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 from codetide import contract
 from codetide.operators.changelog import message_value
@@ -107,6 +108,11 @@ def write_kafka(log: DataFrame, servers: str) -> None:
     ).option("kafka.acks", "all").save()
 
 
+def capture(messages: DataFrame, name: str) -> StreamingQuery:
+    """Collect a stream into an in-memory table, for assertions on small inputs."""
+    return messages.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+
+
 def discard(df: DataFrame) -> None:
     """Run everything, keep nothing."""
     df.write.format("noop").mode("overwrite").save()

@@ -114,19 +114,8 @@ def graph_events(messages: DataFrame, order: list[str]) -> tuple[DataFrame, Data
     return part(contract.NODE_TOPIC, contract.NODE_SCHEMA), part(contract.EDGE_TOPIC, contract.EDGE_SCHEMA)
 
 
-class GraphSnapshots:
-    """Compacted fold state, so that reading a view does not refold the whole log.
-
-    A snapshot holds accumulators, not views: merging them with newer events gives
-    the same result as folding everything, late events included.
-    """
-
-    PARTS = ("nodes", "edges", "properties")
-    MERGE = {
-        "nodes": fold.merge_node_accumulators,
-        "edges": fold.merge_edge_accumulators,
-        "properties": fold.merge_property_accumulators,
-    }
+class _Snapshots:
+    """Numbered tables under one folder; a pointer row, written last, makes one current."""
 
     def __init__(self, spark: SparkSession, root: str, order: list[str]) -> None:
         self.spark = spark
@@ -134,13 +123,61 @@ class GraphSnapshots:
         self.order = order
 
     def latest(self) -> int | None:
-        """Number of the last complete snapshot (its pointer is written after its tables)."""
+        """Batch of the last complete snapshot."""
         path = f"{self.root}/pointers"
         if not exists(self.spark, path):
             return None
         row = self.spark.read.schema("batch bigint").parquet(path).agg(F.max("batch")).first()
         return row[0]
 
+    def _write(self, tables: dict[str, DataFrame], batch: int) -> None:
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{self.root}/{name}/at={batch}")
+        self.spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.root}/pointers")
+
+    def _read(self, name: str, schema: T.StructType, batch: int) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/at={batch}")
+
+
+class DocumentSnapshots(_Snapshots):
+    """The stored document view: replaced by key with what arrived since."""
+
+    def __init__(self, spark: SparkSession, root: str, order: list[str], topic: str = contract.METADATA_TOPIC,
+                 schema: T.StructType = contract.METADATA_SCHEMA, key: str = "file_path") -> None:
+        super().__init__(spark, root, order)
+        self.topic, self.schema, self.key = topic, schema, key
+
+    def view(self, log: MessageLog) -> DataFrame:
+        at = self.latest()
+        rows = document_rows(log.read([self.topic], at).select("value", *self.order), self.schema, self.key)
+        keep = self.schema.names
+        stored = None
+        if at is not None:
+            stored = self._read("documents", document_view(rows, self.order, keep).schema, at)
+        return document_view(rows, self.order, keep, stored)
+
+    def compact(self, log: MessageLog, batch: int) -> None:
+        previous = self.latest()
+        if previous is None or previous < batch:
+            self._write({"documents": self.view(_Until(log, batch))}, batch)
+
+
+class GraphSnapshots(_Snapshots):
+    """Compacted fold state, so that reading a view does not refold the whole log.
+
+    A snapshot holds accumulators, not views: merging them with newer events gives
+    the same result as folding everything, late events included.
+    """
+
+    PARTS = ("nodes", "edges", "properties")
+    MERGE = {
+        "nodes": fold.merge_node_accumulators,
+        "edges": fold.merge_edge_accumulators,
+        "properties": fold.merge_property_accumulators,
+    }
+
     def accumulators(self, log: MessageLog) -> dict[str, DataFrame]:
         at = self.latest()
         nodes, edges = graph_events(log.read([contract.NODE_TOPIC, contract.EDGE_TOPIC], at), self.order)
@@ -153,9 +190,7 @@ class GraphSnapshots:
             return fresh
         return {
             part: self.MERGE[part](
-                fresh[part].unionByName(
-                    self.spark.read.schema(fresh[part].schema).parquet(f"{self.root}/{part}/at={at}")
-                )
+                fresh[part].unionByName(self._read(part, fresh[part].schema, at))
             )
             for part in self.PARTS
         }
@@ -163,14 +198,8 @@ class GraphSnapshots:
     def compact(self, log: MessageLog, batch: int) -> None:
         """Fold everything up to ``batch`` into a new snapshot, then point to it."""
         previous = self.latest()
-        state = self.accumulators(_Until(log, batch))
-        if previous is not None and previous >= batch:
-            return
-        for part, df in state.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{part}/at={batch}")
-        self.spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/pointers")
+        if previous is None or previous < batch:
+            self._write(self.accumulators(_Until(log, batch)), batch)
 
     def view(self, log: MessageLog) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Current nodes, edges and properties."""

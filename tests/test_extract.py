@@ -7,7 +7,6 @@ import pathlib
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 import argparse
 import codecs
@@ -20,7 +19,7 @@ from codetide.operators import checks, fold
 from codetide.operators.flatten import file_rows
 from codetide.operators.syntax import FILE
 from codetide.plans.extract import extract
-from tests.model import Model, spot
+from tests.model import Model
 
 SAMPLE = """\
 def scale(value):

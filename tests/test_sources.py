@@ -62,6 +62,22 @@ def test_corpus_scan_manifest_and_discovery(spark, tmp_path):
             read_manifest(spark, str(manifest))
 
 
+def test_unreadable_files_become_read_errors(spark, tmp_path):
+    from codetide.plans.extract import extract
+
+    (tmp_path / "repo").mkdir()
+    (tmp_path / "repo" / "__init__.py").write_text("x = 1\n")
+    (tmp_path / "repo" / "gone.py").symlink_to(tmp_path / "nowhere.py")
+    listed = spark.createDataFrame([(str(tmp_path / "repo" / n),) for n in ("__init__.py", "gone.py")], "path string")
+    from codetide.sources.corpus import CORPUS_SCHEMA, _read
+
+    corpus = listed.mapInArrow(_read(str(tmp_path / "repo"), "r"), CORPUS_SCHEMA)
+    graph = extract(corpus)
+    assert [r["file_path"] for r in graph.metadata.collect()] == ["__init__.py"]
+    error = graph.errors.first()
+    assert (error["file_path"], error["stage"], error["content_sha256"]) == ("gone.py", "read_source", "")
+
+
 def test_paths(spark):
     given = ["a\\b.py", "./a//b.py", "a/../b.py", "/srv/repo/a.py", "../repo/a.py", "../x.py", "/etc/x.py", "a/../../repo2/x.py"]
     assert column(spark, given, paths.normalise(F.col("v")))[:3] == ["a/b.py", "a/b.py", "a/../b.py"]

@@ -10,7 +10,7 @@ from codetide.plans.increment import run
 from codetide.session import fresh_path
 from codetide.sources.events import envelope_line, open_envelopes, read_landing
 from codetide.sources.state import StateTables
-from codetide.streaming.views import REQUIRED_FIELD, GraphSnapshots, MessageLog, document_rows, document_view, start_log, stop
+from codetide.streaming.views import REQUIRED_FIELD, DocumentSnapshots, GraphSnapshots, MessageLog, document_rows, document_view, start_log, stop
 from tests.test_extract import SAMPLE
 from tests.test_increment import AT, EDITED
 
@@ -45,6 +45,8 @@ def test_views_follow_the_corpus_through_restarts(spark, corpus, root):
     assert drain(spark, root, log) == [(0, first.count())]
     assert drain(spark, root, log) == []  # a restart without input runs no batch
     snapshots.compact(log, 0)
+    documents = DocumentSnapshots(spark, f"{root}/documents", ["batch_id", *ORDER])
+    documents.compact(log, 0)
 
     second = run(corpus({"a.py": EDITED, "b.py": "x = 1\n"}), state, f"{root}/log", 2, skip_unchanged=True, event_time=AT).log
     land(second, root, 2)
@@ -57,6 +59,11 @@ def test_views_follow_the_corpus_through_restarts(spark, corpus, root):
     docs = document_view(document_rows(meta), ["batch_id", "run_id", "phase"], ["loc", "counts"])
     assert {r["_id"]: r["loc"] for r in docs.collect()} == {"a.py": 13, "b.py": 1}
 
+    stored = documents.view(log).collect()
+    assert {r["_id"]: r["loc"] for r in stored} == {"a.py": 13, "b.py": 1}
+    assert {r["_id"]: r["content_sha256"] for r in stored} == {
+        r["file_path"]: r["content_sha256"] for r in state.files().collect()}
+
     # graph: snapshot plus newer batch = fold of everything = current state
     nodes, edges, props = snapshots.view(log)
     whole = first.unionByName(second)
@@ -100,6 +107,14 @@ def test_bad_messages_become_dead_letters(spark, root):
     assert log.read([contract.NODE_TOPIC]).count() == 1
 
 
+def test_capture(spark, root):
+    from codetide.sources.events import capture
+
+    spark.createDataFrame([("{}",)], "line string").write.text(f"{root}/landing/1")
+    capture(read_landing(spark, f"{root}/landing"), "captured").awaitTermination()
+    assert [r["value"] for r in spark.table("captured").collect()] == ["{}"]
+
+
 def test_a_running_query_stops_and_resumes(spark, root):
     row = '{"topic":"cpg.node.events","key":"a","value":{"node_id":"n:1"}}'
     spark.createDataFrame([(row,)], "line string").write.text(f"{root}/landing/1")

@@ -23,7 +23,7 @@ def byte_count(content: Column) -> Column:
 
 def first_lines(text: Column, lines: int) -> Column:
     """The first ``lines`` lines; ``\\r\\n`` and a lone ``\\r`` also end a line."""
-    unified = F.regexp_replace(text, "\r\n?", "\n")
+    unified = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     return F.substring_index(unified, "\n", lines)
 
 

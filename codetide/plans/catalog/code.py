@@ -15,7 +15,7 @@ from codetide.operators.data_flow import data_flow_edges
 from codetide.operators.edges import all_edges, external_symbols
 from codetide.operators.syntax import FILE, node_rows
 from codetide.plans.catalog.common import hash_sql, table, text
-from codetide.plans.extract import extract, parsed_rows
+from codetide.plans.extract import extract, identified_rows, parsed_rows
 from codetide.session import stage
 
 STRAIGHT = """import os.path as p{k}, sys
@@ -99,13 +99,13 @@ def _ends(rows: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def code_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = node_rows(parsed_rows(code_corpus(spark, sf_dir)))
+    nodes = node_rows(identified_rows(code_corpus(spark, sf_dir)))
     return checks.count_by(nodes, "file_path", "node_type")
 
 
 def code_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Functions and classes of each file with scope and first line."""
-    nodes = node_rows(parsed_rows(code_corpus(spark, sf_dir)))
+    nodes = node_rows(identified_rows(code_corpus(spark, sf_dir)))
     return nodes.filter(F.col("node_type").isin("FunctionDef", "ClassDef")).select(
         "file_path", "node_type", "name", "scope", "properties.qualified_name", "start_line"
     )

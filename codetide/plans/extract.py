@@ -21,11 +21,16 @@ class Graph:
     errors: DataFrame
 
 
-def parsed_rows(corpus: DataFrame, spread: int | None = None, area: StagingArea | None = None) -> DataFrame:
-    """Identified syntax rows in a staged table, so that no branch parses again."""
+def identified_rows(corpus: DataFrame, spread: int | None = None) -> DataFrame:
+    """Identified syntax rows, not yet computed: enough where a single branch reads them."""
     if spread is None:
         spread = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stage(identify(flatten(corpus, spread)), "rows", area)
+    return identify(flatten(corpus, spread))
+
+
+def parsed_rows(corpus: DataFrame, spread: int | None = None, area: StagingArea | None = None) -> DataFrame:
+    """Identified syntax rows in a staged table, so that no branch parses again."""
+    return stage(identified_rows(corpus, spread), "rows", area)
 
 
 def parse_errors(rows: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from codetide.functions import ids, paths, text as facts
 from codetide.operators import discovery
 from codetide.plans.catalog.common import hash_sql, table, text
+from codetide.session import stage
 from codetide.sources.corpus import first_files, restrict
 
 # keep/exclude rules in words and names that web pages and prose do hold
@@ -79,7 +80,8 @@ def discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def discovery_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classified = _pages(spark, sf_dir)
+    # sorting samples its input first: contents are read once, before it
+    classified = stage(_pages(spark, sf_dir).select("file_path", "exclude_reasons", "excluded"), "classified")
     kept = discovery.kept(classified).withColumn("reasons", F.lit(""))
     out = discovery.excluded(classified).select("file_path", F.array_join("exclude_reasons", ",").alias("reasons"))
     return kept.unionByName(out)

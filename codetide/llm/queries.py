@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import language_id, quality
-from codetide.llm.common import HELD_OUT, fold, table
+from codetide.llm import language_id, licenses, mixing, packing, quality, sharding
+from codetide.llm.common import HELD_OUT, fold, numbered, table
 from codetide.session import StagingArea
 
 ORACLES: dict[str, str] = {}
+SHARDS = 24
+# words of lower-cased text, as the license contract has them
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +34,96 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, F.coalesce(fold() == HELD_OUT, F.lit(False)), fold() != HELD_OUT)
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARDS, StagingArea(spark))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = table(spark, sf_dir, "documents").select("doc_id", packing.n_tokens().alias("n_tokens"))
+    return packing.pack(lengths, StagingArea(spark))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    area = StagingArea(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.length("text").alias("chars"), "text")
+    copies = mixing.replicate(docs, area).drop("text").withColumn("place", mixing.place())
+    placed = numbered(copies, ["place", "doc_id", "copy"], area)
+    return placed.select("position", "doc_id", "source", "chars", "copy", "copies", F.round("rate", 9).alias("rate"))
+
+
+ORACLES["op7_licenses"] = rf"""
+with low as (
+  select doc_id, row_number() over () as row, translate(coalesce(text, ''), '{licenses.CAPITALS}', '{licenses.CAPITALS.lower()}') as low
+  from documents
+), worded as (
+  select *, regexp_extract_all(low, '{WORD}') as words from low
+), phrases as (
+  select unnest([{", ".join(repr(p.split()) for p in licenses.PHRASES)}]) as phrase,
+         unnest([{", ".join(repr(v) for v in licenses.PHRASES.values())}]) as label
+), base as (
+  select row, count(*) as n_base, min(spot) as first_word, max(spot) as last_word, list(distinct label) as labels
+  from (select row, words, unnest(range(len(words))) as spot from worded), phrases
+  where words[spot + 1 : spot + len(phrase)] = phrase
+  group by row
+), templates as (
+  select unnest([{", ".join(repr(k) for k in licenses.TEMPLATES)}]) as label,
+         unnest([{", ".join(repr(sorted(set(t.split()))) for t in licenses.TEMPLATES.values())}]) as held
+), blocks as (
+  select row, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '[.!?][ 	
+]+|
+')), '{WORD}')) as held from worded
+), hits as (
+  select b.row, list(distinct t.label) as labels, max(len(list_intersect(b.held, t.held)) / len(t.held)) as share
+  from blocks b, templates t
+  where len(list_intersect(b.held, t.held)) >= ceil({licenses.CONTAINMENT} * len(t.held) - 1e-9)
+  group by b.row
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') as base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(hits.labels, [])))), ',') as labels,
+       case when n_base > 0 then 1.0::double else coalesce(share, 0.0)::double end as score
+from worded left join base using (row) left join hits using (row)
+"""
+
+ORACLES["op8_mixing"] = f"""
+with per_source as (
+  select source, sum(coalesce(length(text), 0) + 1)::bigint as chars from documents group by source
+), totals as (
+  select sum(chars)::double as all_chars, count(*)::double as all_weight from per_source
+), rated as (
+  select source, all_chars * 1.0::double / all_weight / chars as rate from per_source, totals
+), parted as (
+  select *, greatest(ceil(rate / {mixing.PART}), 1)::int as parts from rated
+), mass as (
+  select source, k, exp(k * ln(rate / parts) - rate / parts - lgamma(k + 1)) as mass
+  from parted, unnest(range({mixing.TERMS})) as t(k)
+), cdf as (
+  select source, k, sum(mass) over (partition by source order by k) as cdf from mass
+), drawn as (
+  select d.doc_id, d.source, length(d.text) as chars, p.rate, part,
+         ('0x' || substr(md5('{mixing.SEED}|' || coalesce(d.doc_id::varchar, 'null') || '|' || part), 1, 13))::bigint / {float(1 << 52)} as u
+  from documents d join parted p on d.source is not distinct from p.source, unnest(range(1, p.parts + 1)) as t(part)
+), counted as (
+  select doc_id, drawn.source, chars, rate, count(k)::int as copies
+  from drawn left join cdf on drawn.source is not distinct from cdf.source and cdf.cdf <= u
+  group by doc_id, drawn.source, chars, rate
+), copied as (
+  select *, unnest(range(1, copies + 1))::int as copy from counted
+)
+select row_number() over (order by md5('{mixing.SEED}|order|' || coalesce(doc_id::varchar, 'null') || '|' || copy), doc_id, copy) - 1 as position,
+       doc_id, source, chars::int as chars, copy, copies, round(rate, 9) as rate
+from copied
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_language": op4_language,
+    "op5_sharding": op5_sharding,
+    "op6_packing": op6_packing,
+    "op7_licenses": op7_licenses,
+    "op8_mixing": op8_mixing,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import language_id, licenses, mixing, packing, quality, sharding
+from codetide.llm import fingerprint, language_id, licenses, mixing, packing, quality, sharding, token_files
 from codetide.llm.common import HELD_OUT, fold, numbered, table
 from codetide.session import StagingArea
 
@@ -55,6 +55,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("position", "doc_id", "source", "chars", "copy", "copies", F.round("rate", 9).alias("rate"))
 
 
+def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return token_files.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), StagingArea(spark))
+
+
 ORACLES["op7_licenses"] = rf"""
 with low as (
   select doc_id, row_number() over () as row, translate(coalesce(text, ''), '{licenses.CAPITALS}', '{licenses.CAPITALS.lower()}') as low
@@ -73,7 +84,7 @@ with low as (
   select unnest([{", ".join(repr(k) for k in licenses.TEMPLATES)}]) as label,
          unnest([{", ".join(repr(sorted(set(t.split()))) for t in licenses.TEMPLATES.values())}]) as held
 ), blocks as (
-  select row, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '[.!?][ 	
+  select row, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '[.!?][ 	
 ]+|
 ')), '{WORD}')) as held from worded
 ), hits as (
@@ -126,4 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_licenses": op7_licenses,
     "op8_mixing": op8_mixing,
+    "op9_fingerprint": op9_fingerprint,
+    "op10_token_files": op10_token_files,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import fingerprint, language_id, licenses, mixing, packing, quality, sharding, token_files
+from codetide.llm import embedding_dedup, fingerprint, language_id, licenses, mixing, packing, quality, sharding, token_files
 from codetide.llm.common import HELD_OUT, fold, numbered, table
 from codetide.session import StagingArea
 
@@ -16,6 +16,10 @@ SHARDS = 24
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"), StagingArea(spark))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = StagingArea(spark)
     got = quality.classify(
@@ -131,6 +135,7 @@ from copied
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality": op2_quality,
     "op4_language": op4_language,
     "op5_sharding": op5_sharding,

@@ -191,7 +191,8 @@ def learn(docs: DataFrame, labels: DataFrame, area, sample: int = SAMPLE, smooth
     order = F.xxhash64("doc_id")
     last = one.select(order.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     marked = one.withColumn("sampled", order <= F.lit(last if last is not None else 0))
-    joined = docs.select("doc_id", "text").join(marked, "doc_id")
+    # labels grow with the corpus, so they are never broadcast: the same plan at every size
+    joined = docs.select("doc_id", "text").join(marked.hint("merge"), "doc_id")
     gathered = stage(joined.mapInPandas(_gather, "label int, bucket long, n long, doc_id long, found binary"), "gathered", area)
 
     summed = gathered.filter("bucket is not null").groupBy("label", "bucket").agg(F.sum("n").alias("n")).toPandas()

@@ -31,8 +31,8 @@ from codetide.session import StagingArea, stage
 
 COSINE = 0.9
 TABLES = 8
-PROBES = 16
-SPACING = 0.26
+PROBES = 8
+SPACING = 0.42
 CELL_BLOCK = 4096
 CHUNK = 2048
 

@@ -7,7 +7,8 @@ import itertools
 import numpy as np
 
 DIMENSIONS = 8
-MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1) + i) % (1 << 64) | 1 for i in range(DIMENSIONS + 1)], np.uint64)
+# unrelated odd numbers: related ones would give one number to many points
+MULTIPLIERS = np.random.default_rng(2024).integers(0, 1 << 64, DIMENSIONS + 1, np.uint64) | np.uint64(1)
 
 
 def roots() -> np.ndarray:

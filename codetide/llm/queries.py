@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import embedding_dedup, fingerprint, language_id, licenses, mixing, packing, quality, sharding, token_files
+from codetide.llm import embedding_dedup, fingerprint, language_id, licenses, mixing, ngram_join, packing, quality, sharding, token_files
 from codetide.llm.common import HELD_OUT, fold, numbered, table
 from codetide.session import StagingArea
 
@@ -33,6 +33,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), StagingArea(spark))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, F.coalesce(fold() == HELD_OUT, F.lit(False)), fold() != HELD_OUT)
@@ -137,6 +141,7 @@ from copied
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality": op2_quality,
+    "op3_ngram_join": op3_ngram_join,
     "op4_language": op4_language,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,

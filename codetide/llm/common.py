@@ -24,8 +24,10 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def numbered(df: DataFrame, order: list, area: StagingArea, label: str = "numbered") -> DataFrame:
-    """Stage ``df`` in ``order`` and give every row its ``position`` from 0.
+def numbered(
+    df: DataFrame, order: list, area: StagingArea, label: str = "numbered", position: str = "position", piece: str = "piece"
+) -> DataFrame:
+    """Stage ``df`` in ``order`` and give every row its ``position`` from 0, and its ``piece``.
 
     Rows are dealt by range of ``order`` into even pieces and sorted inside them; Spark's
     increasing id is then (piece, place in the piece).  What crosses from piece to piece is one
@@ -35,19 +37,18 @@ def numbered(df: DataFrame, order: list, area: StagingArea, label: str = "number
     spread = df.repartitionByRange(tasks(df.sparkSession), *order).sortWithinPartitions(*order)
     placed = stage(spread.withColumn("__id", F.monotonically_increasing_id()), label, area)
     placed = placed.withColumns(
-        {"piece": F.shiftright("__id", 33).cast("int"), "__place": F.col("__id").bitwiseAND((1 << 33) - 1)}
+        {piece: F.shiftright("__id", 33).cast("int"), "__place": F.col("__id").bitwiseAND((1 << 33) - 1)}
     ).drop("__id")
-    return with_offset(placed, {"position": F.count(F.lit(1))}).withColumn(
-        "position", F.col("position") + F.col("__place")
-    ).drop("__place")
+    counted = with_offset(placed, {position: F.count(F.lit(1))}, piece)
+    return counted.withColumn(position, F.col(position) + F.col("__place")).drop("__place")
 
 
-def with_offset(pieced: DataFrame, totals: dict[str, Column]) -> DataFrame:
+def with_offset(pieced: DataFrame, totals: dict[str, Column], piece: str = "piece") -> DataFrame:
     """Add, under each name, the total of an aggregate over all earlier pieces."""
-    per_piece = pieced.groupBy("piece").agg(*[total.alias(f"__{n}") for n, total in totals.items()])
+    per_piece = pieced.groupBy(piece).agg(*[total.alias(f"__{n}") for n, total in totals.items()])
     # one row per piece: as many as the session has tasks, whatever the data
-    before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_piece.select(
-        "piece", *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(n) for n in totals]
+        piece, *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(n) for n in totals]
     )
-    return pieced.join(F.broadcast(offsets), "piece")
+    return pieced.join(F.broadcast(offsets), piece)

@@ -110,15 +110,16 @@ def pack(docs: DataFrame, area: StagingArea, buckets: int = BUCKETS, budget: int
     widths = F.array(*[F.lit(w).cast("long") for w in chosen.widths] or [F.lit(0).cast("long")])
     rows = F.array(*[F.lit(r).cast("long") for r in chosen.rows] or [F.lit(1).cast("long")])
     dealt = measured.withColumn("bucket", F.size(F.filter(widths, lambda w: w < F.col("n_tokens"))))
-    placed = numbered(dealt, ["bucket", F.col("doc_id").asc_nulls_first(), "n_tokens"], area, "by-bucket").drop("piece")
+    order = ["bucket", F.col("doc_id").asc_nulls_first(), "n_tokens"]
+    placed = numbered(dealt, order, area, "by-bucket", "__position", "__piece").drop("__piece")
     # a row per bucket
-    sizes = sorted(tuple(r) for r in placed.groupBy("bucket").agg(F.min("position"), F.count("*")).collect())
+    sizes = sorted(tuple(r) for r in placed.groupBy("bucket").agg(F.min("__position"), F.count("*")).collect())
     first, batches, at = [0] * max(1, len(chosen.widths)), [0] * max(1, len(chosen.widths)), 0
     for bucket, start, n in sizes:
         first[bucket], batches[bucket] = start, at
         at += -(-n // chosen.rows[bucket])
     longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
-    index = F.col("position") - F.get(longs(first), F.col("bucket"))
+    index = F.col("__position") - F.get(longs(first), F.col("bucket"))
     per_batch = F.get(rows, F.col("bucket"))
     return placed.withColumns(
         {
@@ -127,4 +128,4 @@ def pack(docs: DataFrame, area: StagingArea, buckets: int = BUCKETS, budget: int
             "slot": index % per_batch,
             "padding": F.get(widths, F.col("bucket")) - F.col("n_tokens"),
         }
-    ).drop("position")
+    ).drop("__position")

@@ -199,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, area, sample: int = SAMPLE, smooth
     texts = {0: 0, 1: 0}
     counts = np.zeros((2, 1 << BITS))
     for label in (0, 1):
-        own = summed[summed["label"] == label]
+        own = summed[summed["label"] == label].astype("int64")
         texts[label] = int(own.loc[own["bucket"] < 0, "n"].sum())
         own = own[own["bucket"] >= 0]
         counts[label, own["bucket"]] = own["n"]

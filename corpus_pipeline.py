@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import language_id, quality
+from codetide.llm import language_id, mixing, ngram_join, packing, quality
 from codetide.llm.common import HELD_OUT, fold, table
 from codetide.session import StagingArea
 
@@ -25,18 +25,59 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that the classifier, trained on labelled documents at hand, calls good."""
     columns = docs.columns
-    area = StagingArea(spark)
+    area = _area(spark)
     taught = table(spark, sf_dir, "labels").filter(fold() != HELD_OUT).select("doc_id", F.col("quality").alias("label"))
     model = quality.learn(docs, taught, area)
-    area.release()
     return docs.withColumn("__score", quality.predict(model)).filter(F.col("__score") >= quality.CUT).select(*columns)
 
 
-STAGES = [("language ID", by_language), ("quality classifier", by_quality)]
+def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near duplicates.
+
+    Rows of one id go or stay together, exact repeats of a row leave one.
+    """
+    columns = docs.columns
+    grouped = ngram_join.join(docs, _area(spark))
+    kept = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    # ids grow with the corpus: the same plan at every size
+    staying = docs.join(kept.withColumnRenamed("doc_id", "__kept").hint("merge"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    return staying.dropDuplicates(["doc_id", "text"]).select(*columns)
+
+
+def by_weight(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat documents until all sources have the same weight, in one shuffled order."""
+    columns = docs.columns
+    return mixing.replicate(docs, _area(spark)).orderBy(mixing.place(), "doc_id", "copy").select(*columns)
+
 
-# learned models decide here; the tests hold the stages against plain-Python versions
+def into_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document copy with its place in a batch of similar lengths."""
+    return packing.pack(docs.withColumn("n_tokens", packing.n_tokens()), _area(spark))
+
+
+STAGES = [
+    ("language ID", by_language),
+    ("quality classifier", by_quality),
+    ("n-gram Jaccard join", by_similarity),
+    ("mixing sources to target weights", by_weight),
+    ("packing", into_batches),
+]
+
+# learned models and an optimal bucket plan decide here; the tests hold run() against a plain version
 ORACLE_SQL = None
 
+_HELD: list[StagingArea] = []
+
+
+def _area(spark: SparkSession) -> StagingArea:
+    """A folder for a stage's own tables.  Those of earlier stages go: what they made is written by now."""
+    while _HELD:
+        earlier = _HELD.pop()
+        if earlier.spark is spark:
+            earlier.release()
+    _HELD.append(StagingArea(spark))
+    return _HELD[-1]
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written as Parquet and read again by the next."""

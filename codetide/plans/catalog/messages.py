@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from codetide import contract
 from codetide.operators import checks
 from codetide.plans.catalog.common import table
-from codetide.sources.events import bad_message_reason, decode, envelope_line, retained, split_bad
+from codetide.sources.events import bad_message_reason, decode, envelope_line, retained
 
 PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 # an event stream of our own: type -> (topic, key column)
@@ -94,9 +94,10 @@ def dlq_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(props)
     )
     parsed = decode(events.select("event_id", damaged.alias("raw"), damaged.alias("value")), PROPS)
-    good, bad = split_bad(parsed, bad_message_reason(F.col("raw"), F.col("k")))
-    return good.select("event_id", F.lit("good").alias("status"), F.lit(None).cast("string").alias("reason"), "k").unionByName(
-        bad.select("event_id", F.lit("bad").alias("status"), "reason", F.lit(None).cast("int").alias("k"))
+    judged = parsed.withColumn("reason", bad_message_reason(F.col("raw"), F.col("k")))
+    good = F.col("reason").isNull()
+    return judged.select(
+        "event_id", F.when(good, "good").otherwise("bad").alias("status"), "reason", F.when(good, F.col("k")).alias("k")
     )
 
 

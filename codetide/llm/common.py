@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from codetide.session import StagingArea, stage
 
 HELD_OUT = 2
+# keys of a join that may go to every task: a few dozen MB there, whatever the corpus
+BROADCAST_KEYS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,3 +54,8 @@ def with_offset(pieced: DataFrame, totals: dict[str, Column], piece: str = "piec
         piece, *[F.coalesce(F.sum(f"__{n}").over(before), F.lit(0)).alias(n) for n in totals]
     )
     return pieced.join(F.broadcast(offsets), piece)
+
+
+def bounded(keys: DataFrame) -> DataFrame:
+    """``keys``, a staged table, marked for a join: counted and broadcast up to ``BROADCAST_KEYS`` rows, merged beyond."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys.hint("merge")

@@ -7,12 +7,11 @@ documents share out of the prefixes.  The order is cut into ``FRAGMENTS`` pieces
 into one segment per fragment.  For a candidate pair each fragment counts its partial overlap by
 itself, and the sums over fragments decide exactly.
 
-Candidates: sets of similarity 0.8 share an n-gram within their first ``size - ceil(0.8 size) + 1``.
-Equal sets are one class and are compared once.  Groups of near copies are not multiplied out: first
-every class is compared with the smallest class of each prefix n-gram it has; classes linked so far
-are one component, and only pairs from different components are candidates after that.  Such a pair must
-share enough of its prefixes to reach the threshold with all that follows.  No link between different
-components is lost, so the components are exact.
+Candidates: sets of similarity 0.8 share an n-gram within their first ``size - ceil(0.8 size) + 1``, and
+so many of them that what follows can make up the rest.  Equal sets are one class and are compared
+once.  Groups of near copies are not multiplied out: in a few rounds every class is compared with one
+leading class that shares most of its prefix; what is linked is one component, and only pairs from
+different components are candidates after that.  No link between components is lost, so they are exact.
 
 Work is spread by n-gram, by class and by fragment.  N-grams of ordinary frequency are grouped by a
 window, whose groups the frequency bounds; frequent ones are aggregated and joined, where run-time
@@ -28,17 +27,21 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from codetide.llm.common import bounded
 from codetide.llm.components import components
 from codetide.session import StagingArea, stage
 
 WORDS = 5
 FREQUENT = 50
 MOST_FREQUENT = 500_000
+STAR_ROUNDS = 2
+BATCH = 128  # texts hashed together
 FRAGMENT_BITS = 3
 FRAGMENTS = (1 << FRAGMENT_BITS) + 1  # one more for the frequent n-grams
 STEP = np.uint64(0xD1342543DE82EF95)
@@ -56,26 +59,41 @@ def _mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def ngrams(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of a text's n-grams; all words as one if there are fewer."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+def ngrams(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
+    """For each text the sorted distinct hashes of its n-grams; all words as one if there are fewer."""
+    bodies = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join(bodies) + b"\n", np.uint8)
+    ends_of = np.cumsum([len(b) + 1 for b in bodies])
     solid = ~_SPACE[data]
-    edge = np.diff(solid.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    edge = np.diff(solid.astype(np.int8), prepend=0)
+    starts = np.flatnonzero(edge == 1)
     if not len(starts):
-        return np.empty(0, np.uint64)
-    sizes = ends - starts
+        return [np.empty(0, np.uint64)] * len(texts)
+    sizes = np.flatnonzero(edge == -1) - starts
     begins = np.cumsum(sizes) - sizes
     power = np.multiply.accumulate(np.full(int(sizes.max()), STEP))
     place = np.arange(int(sizes.sum())) - np.repeat(begins, sizes)
     weighed = (_LOWER[data[solid]].astype(np.uint64) + np.uint64(1)) * power[place]
     hashed = _mix(np.add.reduceat(weighed, begins) + sizes.astype(np.uint64))
-    size = min(words, len(hashed))
-    n = len(hashed) - size + 1
-    rolling = np.full(n, np.uint64(size))
-    for k in range(size):
-        rolling = rolling * STEP + hashed[k : k + n]
-    return np.unique(_mix(rolling))
+    counts = np.diff(np.searchsorted(starts, ends_of), prepend=0)
+
+    def rolled(part: np.ndarray, size: int) -> np.ndarray:
+        n = len(part) - size + 1
+        rolling = np.full(n, np.uint64(size))
+        for k in range(size):
+            rolling = rolling * STEP + part[k : k + n]
+        return _mix(rolling)
+
+    # one pass over all words; what reaches over the end of a text is left out below
+    whole = rolled(hashed, words) if len(hashed) >= words else np.empty(0, np.uint64)
+    found, at = [], 0
+    for n in counts.tolist():
+        if n >= words:
+            found.append(np.unique(whole[at : at + n - words + 1]))
+        else:
+            found.append(rolled(hashed[at : at + n], n) if n else np.empty(0, np.uint64))
+        at += n
+    return found
 
 
 def class_of(grams: np.ndarray) -> int:
@@ -96,73 +114,76 @@ def in_order(grams: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
     return np.concatenate((grams[~late], grams[late])), int((~late).sum())
 
 
-def _per_batch(make: Callable[[Iterator[tuple]], Iterator[dict]]):
-    """mapInPandas over (doc_id, text): ``make`` turns the rows of a part of a batch into columns."""
+def _per_batch(make: Callable[[list, list[np.ndarray]], dict]):
+    """mapInPandas over (doc_id, text): ``make`` turns ids and n-grams of some rows into columns."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512]
-                for columns in make(zip(part["doc_id"].to_numpy(object), part["text"].to_numpy(object))):
-                    yield pd.DataFrame(columns)
+            ids = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
+            texts = batch["text"].tolist()
+            for at in range(0, len(ids), BATCH):
+                yield pd.DataFrame(make(ids[at : at + BATCH], ngrams(texts[at : at + BATCH])))
 
     return run
 
 
-def _sets(rows) -> Iterator[dict]:
-    ids, sizes, names = [], [], []
-    for doc, text in rows:
-        grams = ngrams(text)
-        ids.append(None if pd.isna(doc) else int(doc))
-        sizes.append(len(grams))
-        names.append(class_of(grams) if len(grams) else None)
-    yield {"doc_id": pd.array(ids, "Int64"), "n_shingles": sizes, "class": pd.array(names, "Int64")}
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
 
 
-def _early(rows) -> Iterator[dict]:
+def _early(ids: list, sets: list[np.ndarray]) -> dict:
     """Counts of what stands early enough by hash to come into a prefix."""
-    found = [g[: prefix_size(len(g)) * 13 // 10 + 2] for g in (ngrams(text) for _, text in rows)]
-    gram, n = np.unique(np.concatenate(found), return_counts=True)
-    yield {"gram": gram.view(np.int64), "n": n}
+    found = _joined([g[: prefix_size(len(g)) * 13 // 10 + 2] for g in sets])
+    gram, n = np.unique(found, return_counts=True)
+    return {"gram": gram, "n": n}
+
+
+def _sets(frequent: np.ndarray):
+    """Rows (doc_id, n_shingles, class, late): late if frequent n-grams come into the prefix."""
+
+    def make(ids: list, sets: list[np.ndarray]) -> dict:
+        return {
+            "doc_id": pd.array(ids, "Int64"),
+            "n_shingles": [len(g) for g in sets],
+            "class": pd.array([class_of(g) if len(g) else None for g in sets], "Int64"),
+            "late": [len(g) > 0 and in_order(g, frequent)[1] < prefix_size(len(g)) for g in sets],
+        }
+
+    return make
 
 
 def _prefixes(frequent: np.ndarray, late: bool):
     """Rows (gram, class) of the prefixes: the frequent n-grams in them, or the others."""
 
-    def make(rows) -> Iterator[dict]:
+    def make(ids: list, sets: list[np.ndarray]) -> dict:
         grams, names = [], []
-        for _, text in rows:
-            own = ngrams(text)
-            if len(own):
-                ordered, ordinary = in_order(own, frequent)
-                size = prefix_size(len(own))
-                part = ordered[ordinary:size] if late else ordered[: min(size, ordinary)]
-                if len(part):
-                    grams.append(part)
-                    names.append(np.full(len(part), class_of(own)))
-        if grams:
-            yield {"gram": np.concatenate(grams).view(np.int64), "class": np.concatenate(names)}
+        for own in sets:
+            ordered, ordinary = in_order(own, frequent)
+            size = prefix_size(len(own))
+            part = ordered[ordinary:size] if late else ordered[: min(size, ordinary)]
+            if len(own) and len(part):
+                grams.append(part)
+                names.append(np.full(len(part), class_of(own)))
+        return {"gram": _joined(grams), "class": _joined(names)}
 
     return make
 
 
 def _segments(frequent: np.ndarray):
     """Rows (class, fragment, grams)."""
+    bounds = np.arange(1, FRAGMENTS - 1, dtype=np.uint64) << np.uint64(64 - FRAGMENT_BITS)
 
-    def make(rows) -> Iterator[dict]:
+    def make(ids: list, sets: list[np.ndarray]) -> dict:
         names, fragments, held = [], [], []
-        for _, text in rows:
-            own = ngrams(text)
+        for own in sets:
             ordered, ordinary = in_order(own, frequent)
-            cuts = np.searchsorted(ordered[:ordinary], np.arange(1, FRAGMENTS - 1, dtype=np.uint64) << np.uint64(64 - FRAGMENT_BITS))
-            name = class_of(own)
+            cuts = np.searchsorted(ordered[:ordinary], bounds)
             for k, part in enumerate(np.split(ordered, [*cuts, ordinary])):
                 if len(part):
-                    names.append(name)
+                    names.append(class_of(own))
                     fragments.append(k)
                     held.append(part.view(np.int64))
-        if names:
-            yield {"class": names, "fragment": fragments, "grams": held}
+        return {"class": names, "fragment": fragments, "grams": held}
 
     return make
 
@@ -175,79 +196,116 @@ def frequent_ngrams(texts: DataFrame) -> np.ndarray:
     return np.sort(found["gram"].to_numpy(np.int64).view(np.uint64))
 
 
-def _postings(texts: DataFrame, frequent: np.ndarray, area: StagingArea) -> DataFrame:
-    """Rows (gram, class, lead) of prefix n-grams that two classes share; lead is the smallest of them."""
-    rows = lambda late: texts.mapInPandas(_per_batch(_prefixes(frequent, late)), "gram long, class long")
+def _chosen(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose doc_id is in ``ids`` (doc_id), a staged table."""
+    keys = bounded(ids.withColumnRenamed("doc_id", "__id"))
+    return texts.join(keys, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+
+
+def _postings(texts: DataFrame, sets: DataFrame, frequent: np.ndarray, area: StagingArea) -> DataFrame:
+    """Rows (gram, class) of prefix n-grams that two classes share."""
+    rows = lambda some, late: some.mapInPandas(_per_batch(_prefixes(frequent, late)), "gram long, class long")
     inside = Window.partitionBy("gram")
     ordinary = (
-        rows(False).withColumns({"lead": F.min("class").over(inside), "last": F.max("class").over(inside)})
-        .filter("lead < last").select("gram", "class", "lead").distinct()
+        rows(texts, False).withColumns({"lo": F.min("class").over(inside), "hi": F.max("class").over(inside)})
+        .filter("lo < hi").select("gram", "class").distinct()
     )
-    late = stage(rows(True).distinct(), "late", area)
-    ends = late.groupBy("gram").agg(F.min("class").alias("lead"), F.max("class").alias("last")).filter("lead < last")
-    return stage(ordinary.union(late.join(ends.drop("last"), "gram").select("gram", "class", "lead")), "postings", area)
+    of_frequent = stage(sets.filter("late").select("doc_id").distinct(), "late-ids", area)
+    late = stage(rows(_chosen(texts, of_frequent), True).distinct(), "late", area)
+    ends = late.groupBy("gram").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("gram")
+    return stage(ordinary.union(late.join(ends, "gram")), "postings", area)
 
 
-def _sized(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b, ...) with their sizes n_a, n_b."""
-    side = lambda s: classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b")
+# what lies behind the prefixes can add no more than the larger set has there
+REACH = "m + (4 * greatest(n_a, n_b) + 4) div 5 - 1 >= (4 * (n_a + n_b) + 8) div 9"
+SIMILAR_SIZE = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
 
 
-SIMILAR_SIZE = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
+def _placed(postings: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Postings (gram, class, root, n) of n-grams that lie in more than one component."""
+    sized = postings.join(classes.select("class", "n"), "class")
+    if roots is None:
+        return sized.withColumn("root", F.col("class"))
+    placed = sized.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("gram")
+    return placed.join(mixed, "gram")
+
+
+def _stars(placed: DataFrame, turn: int) -> DataFrame:
+    """For each class (b) the leading class (a) of another component that shares most n-grams.
+
+    An n-gram's leading class is the one with the smallest hash of class and ``turn``.
+    """
+    leads = placed.groupBy("gram").agg(F.min_by(F.struct("class", "root", "n"), F.xxhash64("class", F.lit(turn))).alias("lead"))
+    met = placed.join(leads, "gram").filter("root != lead.root").select(
+        F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")
+    )
+    counted = met.filter(SIMILAR_SIZE).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m")).filter(REACH)
+    return counted.groupBy("b", "n_b").agg(F.max(F.struct("m", "a", "n_a")).alias("best")).select("best.a", "b", "best.n_a", "n_b")
+
+
+def _across(placed: DataFrame) -> DataFrame:
+    """All candidate pairs between components."""
+    side = lambda s: placed.select("gram", F.col("class").alias(s), F.col("root").alias(f"root_{s}"), F.col("n").alias(f"n_{s}"))
+    met = side("a").join(side("b"), "gram").filter(f"a < b and root_a != root_b and {SIMILAR_SIZE}")
+    return met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m")).filter(REACH).drop("m")
+
+
+class _Segments:
+    """Segments of the classes that candidate pairs have named so far, fetched when first needed."""
+
+    def __init__(self, texts: DataFrame, classes: DataFrame, frequent: np.ndarray, area: StagingArea) -> None:
+        self.texts, self.classes, self.frequent, self.area = texts, classes, frequent, area
+        self.parts: list[DataFrame] = []
+        self.known: DataFrame | None = None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+        if self.known is not None:
+            wanted = wanted.join(self.known, "class", "left_anti")
+        wanted = stage(wanted.join(self.classes, "class").select("class", F.col("rep").alias("doc_id")), "wanted", self.area)
+        fetched = _chosen(self.texts, wanted.select("doc_id"))
+        made = fetched.mapInPandas(_per_batch(_segments(self.frequent)), "class long, fragment int, grams array<long>")
+        # rows of one id may have other texts, and rows of one text come once each
+        made = made.join(bounded(wanted.select("class")), "class", "left_semi").dropDuplicates(["class", "fragment"])
+        self.parts.append(stage(made, "segments", self.area))
+        self.known = wanted.select("class") if self.known is None else self.known.union(wanted.select("class"))
+        return reduce(DataFrame.union, self.parts)
 
 
 def overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Those pairs (a, b, n_a, n_b) whose similarity is 0.8 or more.
+    """Those of the staged pairs (a, b, n_a, n_b) whose similarity is 0.8 or more.
 
     Each fragment counts the partial overlap of its two segments; the counts are summed per pair.
     """
-    left = pairs.join(segments.withColumnRenamed("class", "a"), "a")
-    right = segments.select(F.col("class").alias("b"), "fragment", F.col("grams").alias("others"))
-    partial = left.join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams", "others")).alias("shared"))
+    right = segments.withColumnRenamed("class", "b").join(bounded(pairs), "b")
+    led = segments.join(bounded(pairs.select(F.col("a").alias("class")).distinct()), "class", "left_semi")
+    left = led.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("others"))
+    partial = right.join(left, ["a", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams", "others")).alias("shared"))
     summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
     return summed.filter("180 * shared >= 80 * (n_a + n_b)").select("a", "b")
 
 
-def _across(postings: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Candidate pairs between components, by what their prefixes share."""
-    placed = (
-        postings.select("gram", "class").join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .join(classes.select("class", "n"), "class")
-        .select("gram", "class", F.coalesce("root", "class").alias("root"), "n")
-    )
-    mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("gram")
-    alive = placed.join(mixed, "gram")
-    side = lambda s: alive.select("gram", F.col("class").alias(s), F.col("root").alias(f"root_{s}"), F.col("n").alias(f"n_{s}"))
-    met = side("a").join(side("b"), "gram").filter(f"a < b and root_a != root_b and {SIMILAR_SIZE}")
-    shared = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m"))
-    # what lies behind the prefixes can add no more than the larger set has there
-    reach = "m + (4 * greatest(n_a, n_b) + 4) div 5 - 1"
-    return shared.filter(f"{reach} >= (4 * (n_a + n_b) + 8) div 9").drop("m")
-
-
 def join(docs: DataFrame, area: StagingArea) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id."""
     texts = docs.select("doc_id", "text")
-    sets = stage(texts.mapInPandas(_per_batch(_sets), "doc_id long, n_shingles long, class long"), "sets", area)
+    frequent = frequent_ngrams(texts)
+    sets = stage(texts.mapInPandas(_per_batch(_sets(frequent)), "doc_id long, n_shingles long, class long, late boolean"), "sets", area)
     classes = stage(
         sets.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "classes", area
     )
-    frequent = frequent_ngrams(texts)
-    postings = _postings(texts, frequent, area)
-
-    # texts of the classes that share a prefix n-gram with another; the same plan at every size
-    involved = classes.join(postings.select("class").distinct(), "class", "left_semi").select(F.col("rep").alias("__rep"))
-    fetched = texts.join(involved.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__rep"))).select("doc_id", "text")
-    segments = fetched.mapInPandas(_per_batch(_segments(frequent)), "class long, fragment int, grams array<long>")
-    segments = stage(segments, "segments", area)
-
-    stars = _sized(postings.filter("lead != class").select(F.col("lead").alias("a"), F.col("class").alias("b")).distinct(), classes)
-    linked = stage(overlapping(stars.filter(SIMILAR_SIZE), segments), "star-links", area)
-    roots, held = components(linked)
-    across = stage(overlapping(_across(postings, classes, roots), segments), "cross-links", area)
-    held.release()
-    roots, held = components(linked.union(across))
+    postings = _postings(texts, sets, frequent, area)
+    segments = _Segments(texts, classes, frequent, area)
+
+    links = roots = held = None
+    for turn in range(STAR_ROUNDS + 1):
+        placed = _placed(postings, classes, roots)
+        pairs = stage(_stars(placed, turn) if turn < STAR_ROUNDS else _across(placed), "pairs", area)
+        found = stage(overlapping(pairs, segments.of(pairs)), "links", area)
+        links = found if links is None else links.union(found)
+        if held:
+            held.release()
+        roots, held = components(links)
     named = (
         classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
         .select("class", "rep", F.coalesce("root", "class").alias("root"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from codetide.llm import language_id, mixing, ngram_join, packing, quality
-from codetide.llm.common import HELD_OUT, fold, table
-from codetide.session import StagingArea
+from codetide.llm.common import HELD_OUT, bounded, fold, table
+from codetide.session import StagingArea, stage
 
 MIN_LANGUAGE_SCORE = 0.5
 
@@ -37,11 +37,17 @@ def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Rows of one id go or stay together, exact repeats of a row leave one.
     """
     columns = docs.columns
-    grouped = ngram_join.join(docs, _area(spark))
-    kept = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    # ids grow with the corpus: the same plan at every size
-    staying = docs.join(kept.withColumnRenamed("doc_id", "__kept").hint("merge"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return staying.dropDuplicates(["doc_id", "text"]).select(*columns)
+    area = _area(spark)
+    grouped = ngram_join.join(docs, area)
+    gone = grouped.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
+    gone = bounded(stage(gone.distinct(), "gone", area))
+    staying = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    # only ids that come more than once can have repeats
+    repeated = docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__twice"))
+    repeated = bounded(stage(repeated, "repeated", area))
+    twice = F.col("doc_id").eqNullSafe(F.col("__twice"))
+    once = staying.join(repeated, twice, "left_anti")
+    return once.unionByName(staying.join(repeated, twice, "left_semi").dropDuplicates(["doc_id", "text"])).select(*columns)
 
 
 def by_weight(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from codetide.functions.paths import DiscoveryRules, exclude_reasons
+from codetide.functions.text import first_lines, readable
 
 
 def classify(
     corpus: DataFrame, rules: DiscoveryRules = DiscoveryRules(), path: str = "file_path", text: Column | None = None
 ) -> DataFrame:
-    """Add ``exclude_reasons`` (all that apply) and ``excluded``."""
-    body = text if text is not None else F.col("content")
+    """Add ``exclude_reasons`` (all that apply) and ``excluded``.
+
+    Without ``text``, the header of the file's bytes is read as text, leaving out
+    bytes that are not valid.
+    """
+    body = text if text is not None else readable(first_lines(F.col("content").cast("string"), rules.header_lines))
     return corpus.withColumn("exclude_reasons", exclude_reasons(F.col(path), body, rules)).withColumn(
         "excluded", F.size("exclude_reasons") > 0
     )

@@ -147,36 +147,57 @@ def dotted_name(expr: ast.AST) -> str:
 
 
 class _Walk:
-    """Pre-order rows of one file; shape texts are built bottom-up on the way back."""
+    """Pre-order rows of one file; shape texts are built bottom-up on the way back.
+
+    Visits are generators on a list of their own, so a tree may be as deep as the
+    parser accepts it.
+    """
 
     def __init__(self) -> None:
         self.rows: list[dict] = []
 
-    def visit(self, node, parent, field, idx, is_last, scope, owner, stmt, block) -> str:
-        """``stmt`` = (pos, scope pos, ok) for expressions; ``block`` = (scope pos, path)."""
+    def visit(self, node) -> str:
+        """Rows of a whole tree; its shape text."""
+        open_visits, text = [self._visit(node, None, None, None, True, "<module>", None, (None, None, False), (None, ()))], None
+        while open_visits:
+            try:
+                open_visits.append(open_visits[-1].send(text))
+                text = None
+            except StopIteration as over:
+                open_visits.pop()
+                text = over.value
+        return text
+
+    def _leaf(self, node, parent, field, idx, scope, owner, stmt) -> str:
+        """Contexts and operators: a quarter of all visits, with nothing below them."""
+        kind = type(node).__name__
+        shape = f"{kind}()"
+        self.rows.append(
+            {
+                "pos": len(self.rows),
+                "parent_pos": parent,
+                "parent_kind": self.rows[parent]["kind"],
+                "field": field,
+                "idx": idx,
+                "kind": kind,
+                "scope": scope,
+                "owner_pos": owner,
+                "stmt_pos": stmt[0],
+                "flow_scope_pos": stmt[1],
+                "flow_ok": stmt[2],
+                "shape_hash": _shape_hash(shape),
+            }
+        )
+        return shape
+
+    def _visit(self, node, parent, field, idx, is_last, scope, owner, stmt, block):
+        """``stmt`` = (pos, scope pos, ok) for expressions; ``block`` = (scope pos, path).
+
+        Yields the visits of children and is sent their shape texts; returns its own.
+        """
         pos = len(self.rows)
         kind = type(node).__name__
         is_stmt = isinstance(node, ast.stmt)
-        if not node._fields and not is_stmt:
-            # contexts and operators: a quarter of all visits, with nothing below them
-            shape = f"{kind}()"
-            self.rows.append(
-                {
-                    "pos": pos,
-                    "parent_pos": parent,
-                    "parent_kind": self.rows[parent]["kind"],
-                    "field": field,
-                    "idx": idx,
-                    "kind": kind,
-                    "scope": scope,
-                    "owner_pos": owner,
-                    "stmt_pos": stmt[0],
-                    "flow_scope_pos": stmt[1],
-                    "flow_ok": stmt[2],
-                    "shape_hash": _shape_hash(shape),
-                }
-            )
-            return shape
         if is_stmt:
             ok = not any(b["role"].startswith(("ExceptHandler", "match_case")) for b in block[1])
             stmt = (pos, block[0], ok)
@@ -221,18 +242,21 @@ class _Walk:
             if value is None and getattr(type(node), name, ...) is None:
                 continue
             if isinstance(value, ast.AST):
-                text = self.visit(value, pos, name, None, True, below, owner, stmt, block)
+                if value._fields or isinstance(value, ast.stmt):
+                    text = yield self._visit(value, pos, name, None, True, below, owner, stmt, block)
+                else:
+                    text = self._leaf(value, pos, name, None, below, owner, stmt)
             elif isinstance(value, list):
                 inner = self._enter(node, row, name, value, block)
-                end = len(value) - 1
-                text = "[%s]" % ", ".join(
-                    [
-                        self.visit(item, pos, name, i, i == end, below, owner, stmt, inner)
-                        if isinstance(item, ast.AST)
-                        else repr(item)
-                        for i, item in enumerate(value)
-                    ]
-                )
+                end, texts = len(value) - 1, []
+                for i, item in enumerate(value):
+                    if not isinstance(item, ast.AST):
+                        texts.append(repr(item))
+                    elif item._fields or isinstance(item, ast.stmt):
+                        texts.append((yield self._visit(item, pos, name, i, i == end, below, owner, stmt, inner)))
+                    else:
+                        texts.append(self._leaf(item, pos, name, i, below, owner, stmt))
+                text = f"[{', '.join(texts)}]"
             else:
                 text = repr(value)
             parts.append(f"{name}={text}")
@@ -304,7 +328,7 @@ def file_rows(file_path: str, content: bytes) -> list[dict]:
             warnings.simplefilter("ignore")
             tree = ast.parse(content.decode("utf-8"), filename=file_path, type_comments=True)
         walk = _Walk()
-        walk.visit(tree, None, None, None, True, "<module>", None, (None, None, False), (None, ()))
+        walk.visit(tree)
         walk.rows[0]["parse_duration_ms"] = round((time.perf_counter() - started) * 1000, 3)
         number_repeats(walk.rows)
         return walk.rows
@@ -321,7 +345,6 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         arrays = [pa.array([row.get(n) for row in rows], type=t) for n, t in zip(schema.names, schema.types)]
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 3000))
     pending: list[dict] = []
     for batch in batches:
         names = batch.schema.names

@@ -70,6 +70,16 @@ def discovery_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", paths.has_generated_marker(F.col("text"), PROSE_RULES).alias("marked"))
 
 
+def discovery_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markers found in bytes, of which one is not valid inside the first word ``icense``."""
+    before, after = F.substring_index("text", "icense", 1), F.expr("substring(text, locate('icense', text) + 6)")
+    broken = F.concat(before.cast("binary"), F.unhex(F.lit("69FF63656E7365")), after.cast("binary"))
+    content = F.when(F.col("text").contains("icense"), broken).otherwise(F.col("text").cast("binary"))
+    files = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("file_path"), content.alias("content"))
+    classified = discovery.classify(files, PROSE_RULES)
+    return classified.select("doc_id", F.array_contains("exclude_reasons", "auto-generated").alias("marked"))
+
+
 def discovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     classified = _pages(spark, sf_dir)
     totals = discovery.summary(classified).unpivot(
@@ -99,6 +109,7 @@ QUERIES = {
     "source_metadata": source_metadata,
     "discovery_classify": discovery_classify,
     "discovery_markers": discovery_markers,
+    "discovery_bytes": discovery_bytes,
     "discovery_summary": discovery_summary,
     "discovery_listing": discovery_listing,
     "manifest_limit": manifest_limit,
@@ -166,3 +177,5 @@ ORACLES = {
         select doc_id, lang, n_chars from documents
         where doc_id in (select doc_id from labels order by doc_id limit 100)""",
 }
+
+ORACLES["discovery_bytes"] = ORACLES["discovery_markers"]

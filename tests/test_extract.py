@@ -275,7 +275,7 @@ def test_shape_text_equals_the_standard_dump():
     for source in sources().values():
         tree = ast.parse(source, type_comments=True)
         walk = _Walk()
-        text = walk.visit(tree, None, None, None, True, "<module>", None, (None, None, False), (None, ()))
+        text = walk.visit(tree)
         assert text == ast.dump(tree, show_empty=True)
 
 
@@ -345,5 +345,12 @@ def test_bad_files_become_error_rows(corpus):
     assert {r[0] for r in out.nodes.select("file_path").distinct().collect()} == {"good.py"}
 
 
+def test_a_tree_may_be_as_deep_as_the_parser_allows():
+    rows = file_rows("deep.py", ("x = " + " + ".join(f"a{i}" for i in range(4000)) + "\n").encode())
+    kinds = Counter(r["kind"] for r in rows)
+    assert kinds["BinOp"] == kinds["Add"] == 3999 and kinds["Load"] == 4000 and kinds["Name"] == 4001
+    assert max(r["pos"] for r in rows) == len(rows) - 1 == 16_001
+
+
 def test_one_file_never_raises():
     assert file_rows("a.py", b"def broken(:")[0]["error"]["type"] == "SyntaxError"

@@ -45,9 +45,14 @@ MAGIC = b"PFR1"
 BLOCK = 256
 PERCENTILE = 0.9
 END_ID = 1
-CACHE = 300_000
+CACHE = 400_000
 FILE_IDS = 1 << 23
 SPLIT = re.compile(r"[ \t\r\n]+")
+# letters of Latin-1 that are one character in every normal form
+LATIN = "".join(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))
+SIMPLE = re.compile(f"[!-~{LATIN}]+")
+# fixed values: the tokenizer's own pattern, for such words in lower case
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 HEAD = np.dtype([("minimum", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
 
@@ -202,34 +207,66 @@ class TokenFile:
 
 
 class Encoder:
-    """The tokenizer with a bounded memory for what stands between white space."""
+    """The tokenizer with bounded memories for words and for the pieces that words fall into.
+
+    A word of ASCII signs and Latin-1 letters is cut here as the tokenizer's own pattern cuts it, and
+    its pieces go to the tokenizer's model in the characters its byte-level step gives.  Any other
+    word, and one that might hold a special token, goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        step = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.as_bytes = {ord(c): "".join(part for part, _ in step(c)) for c in LATIN if ord(c) > 127}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            if len(self.pieces) >= CACHE:
+                self.pieces.clear()
+            ids = [t.id for t in self.model.tokenize(piece.translate(self.as_bytes))]
+            known = self.pieces[piece] = np.array(ids, "<u4").tobytes()
+        return known
+
+    def _word(self, word: str) -> bytes:
+        if SIMPLE.fullmatch(word) and "<|" not in word:
+            return b"".join(map(self._piece, PIECE.findall(word.lower())))
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian 32-bit numbers."""
-        words = SPLIT.split(text)
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[word] = np.array(got.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words))
+        found, known = [], self.words
+        for word in SPLIT.split(text):
+            ids = known.get(word)
+            if ids is None:
+                if len(known) >= CACHE:
+                    known.clear()
+                ids = known[word] = self._word(word)
+            found.append(ids)
+        return b"".join(found)
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per Python worker: tasks that follow each other there share what is remembered."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _write(folder: str, tokenizer: str):
     """Encode a range of documents; a new file begins whenever ``FILE_IDS`` ids are in hand."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = Encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+        encode, end = encoder(tokenizer).encode, np.array([END_ID], "<u4").tobytes()
         docs: list[int | None] = []
         parts: list[bytes] = []
         piece, part, held = 0, 0, 0
@@ -251,7 +288,7 @@ def _write(folder: str, tokenizer: str):
             for doc, text, at in zip(batch["doc_id"], batch["text"], batch["piece"]):
                 piece = int(at)
                 docs.append(None if pd.isna(doc) else int(doc))
-                parts.append(encoder.encode(text or "") + end)
+                parts.append(encode(text or "") + end)
                 held += len(parts[-1]) // 4
                 if held >= FILE_IDS:
                     yield flush()

@@ -137,6 +137,11 @@ def test_token_files_hold_the_tokenizers_ids(spark, monkeypatch):
         assert (got["start"], got["n_tokens"], got["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
         assert encoder.encode(row["text"] or "") == ids[:-1].tobytes()
         at += len(ids)
+    signs = "aZq'stmdrevl09!<|>.-_ \t\u00df\u00c9\u00e9\u00f7\u00d7\u00ff\u00c0\u03a3\u0301\u00aa\u00a0"
+    draw = random.Random(4)
+    for _ in range(3000):
+        odd = "".join(draw.choice(signs) for _ in range(draw.randrange(12)))
+        assert np.frombuffer(encoder.encode(odd), "<u4").tolist() == tokenizer.encode(odd, add_special_tokens=False).ids, repr(odd)
     for odd in ("á b", "Σας ΣΑΣ", "<|endoftext|> x<|startoftext|>y", "a\x1cb\x0bc d e", "It's we'll 3.4", "İx e\ńx"):
         assert np.frombuffer(encoder.encode(odd), "<u4").tolist() == tokenizer.encode(odd, add_special_tokens=False).ids
 

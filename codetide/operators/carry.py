@@ -12,19 +12,23 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from codetide.session import stage
+from codetide.session import StagingArea, stage
 
 
-def range_pieces(df: DataFrame, keys: list[str], order: list[str], pieces: int | None = None) -> DataFrame:
+def range_pieces(
+    df: DataFrame, keys: list[str], order: list[str], pieces: int | None = None, area: StagingArea | None = None
+) -> DataFrame:
     """Stage ``df`` cut into even ranges of (keys, order), numbered in ``piece``.
 
+    Hand over only the columns that are needed: all of them are written once.
+
     Numbers never decrease along a key's order.  ``pieces`` is at least the
     number of tasks wanted for the whole data.
     """
     spark = df.sparkSession
     count = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = df.repartitionByRange(count, *keys, *order).withColumn("piece", F.spark_partition_id())
-    return stage(spread, "pieces")
+    return stage(spread, "pieces", area)
 
 
 def carry(

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codetide.sources.files import delete
+
 # Settings worth having on any session that runs these jobs.  Nothing here is
 # required for right results; they shape partition sizes and join planning.
 RECOMMENDED = {
@@ -19,6 +21,8 @@ RECOMMENDED = {
 }
 
 _FALLBACK_ROOTS: dict[str, str] = {}
+# per application, the paths handed out under the shared folder and not given back yet
+_IN_USE: dict[str, set[str]] = {}
 
 
 def local_session(cores: int | str = "*", app: str = "codetide", **extra: str) -> SparkSession:
@@ -56,8 +60,22 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no earlier run has used; ``release_all`` gives it back."""
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _IN_USE.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a path that ``fresh_path`` gave; frames that still read it are of no use afterwards."""
+    delete(spark, path)
+    _IN_USE.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Delete all staged tables of this application: between queries whose results are read."""
+    for path in sorted(_IN_USE.get(spark.sparkContext.applicationId, ())):
+        release(spark, path)
 
 
 def stage(df: DataFrame, label: str, area: StagingArea | None = None) -> DataFrame:
@@ -86,5 +104,4 @@ class StagingArea:
 
     def release(self) -> None:
         """Delete the staged tables; frames that still read them are of no use afterwards."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        release(self.spark, self.root)

@@ -8,3 +8,15 @@ from pyspark.sql import SparkSession
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(target)] if store.exists(target) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

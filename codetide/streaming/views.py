@@ -16,7 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from codetide import contract
 from codetide.operators import fold
 from codetide.sources.events import ORDER_FIELDS, bad_message_reason, decode, missing_field
-from codetide.sources.files import exists
+from codetide.sources.files import delete, exists, names
 
 
 class MessageLog:
@@ -44,6 +44,17 @@ class MessageLog:
             log = log.filter(F.col("topic").isin(*topics))
         return log if after_batch is None else log.filter(F.col("batch_id") > after_batch)
 
+    def expire(self, up_to_batch: int) -> list[int]:
+        """Delete batches that a snapshot covers, dead letters too; returns the ones that went.
+
+        Reading lists the folders that are left, so its cost follows what arrived since the snapshot.
+        """
+        found = [int(n.split("=")[1]) for n in names(self.spark, self.root) if n.startswith("batch_id=")]
+        gone = sorted(b for b in found if b <= up_to_batch)
+        for batch in gone:
+            delete(self.spark, f"{self.root}/batch_id={batch}")
+        return gone
+
     def dead_letters(self) -> DataFrame:
         return self.read([contract.DEAD_LETTER_TOPIC])
 

@@ -1,6 +1,7 @@
 """Run, replay, edit, skip, fail, restart: the life of a corpus."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,19 @@ def test_released_runs_leave_log_and_state(spark, corpus, place):
     assert result.log.count() > 0 and state.ids("nodes").count() > 0
 
 
+def test_ids_of_few_files_read_their_buckets(spark, corpus, place):
+    state, log = place
+    files = {f"p{i}.py": f"x{i} = {i}\n" for i in range(20)}
+    run(corpus(files), state, log, 1, event_time=AT)
+    one = spark.createDataFrame([("example/repo", "p3.py")], "repository string, file_path string")
+    found = state.ids("nodes", one)
+    assert {r["file_path"] for r in found.collect()} == {"p3.py"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet .*/(files|nodes)/.*PartitionFilters: \[(.*?)\], PushedFilters", plan)
+    assert {name for name, _ in scans} == {"files", "nodes"} and all("bucket#" in filters for _, filters in scans)
+    assert StateTables(spark, state.root, 999).buckets == state.buckets  # as the tables were made
+
+
 def test_two_repositories_do_not_share_state(corpus, place):
     state, log = place
     one = corpus({"a.py": SAMPLE}, "one").unionByName(corpus({"a.py": "y = 2\n"}, "two"))

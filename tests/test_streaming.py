@@ -77,6 +77,12 @@ def test_views_follow_the_corpus_through_restarts(spark, corpus, root):
     again_nodes, again_edges, _ = snapshots.view(log)
     assert same(again_nodes, all_nodes) and same(again_edges, all_edges)
 
+    # what a snapshot covers can go
+    kept_before = {tuple(r) for r in snapshots.view(log)[0].collect()}
+    assert log.expire(0) == [0] and log.expire(0) == []
+    assert {r["batch_id"] for r in log.read().select("batch_id").distinct().collect()} == {1}
+    assert {tuple(r) for r in snapshots.view(log)[0].collect()} == kept_before
+
     # a batch written twice leaves one copy
     before = log.read().count()
     batch = log.read().filter("batch_id = 1").withColumn("topic", F.col("source_topic"))

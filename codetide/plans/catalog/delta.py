@@ -34,7 +34,7 @@ def _corpus(spark: SparkSession, sf_dir: str, revision: int) -> DataFrame:
         F.concat("lang", F.lit("/"), "doc_id", F.lit(".txt")).alias("file_path"),
         body.alias("content"),
         "lang",
-        "n_chars",
+        "doc_id",
     )
 
 
@@ -97,12 +97,12 @@ def _run(spark: SparkSession, sf_dir: str) -> Run:
     state = before.select(*FILE, ids.content_sha256(F.col("content")).alias("content_sha256"))
     compared = delta.compare_content(after, state)
     todo = delta.changed_only(after, compared)
-    unreadable = F.col("n_chars") < 300
+    unreadable = F.pmod("doc_id", F.lit(11)) == 3
     failures = todo.filter(unreadable).select(
         *FILE,
         ids.content_sha256(F.col("content")).alias("content_sha256"),
         F.lit("SyntaxError").alias("error_type"),
-        F.lit("too short").alias("error_message"),
+        F.lit("broken").alias("error_message"),
         F.array(F.lit("SyntaxError"), F.lit("Exception")).alias("error_classes"),
     )
     processed = todo.filter(~unreadable)
@@ -193,7 +193,7 @@ def error_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents sorted into error classes by plain predicates."""
     c = F.col
     classes = (
-        F.when(c("n_chars") < 100, F.array(F.lit("IndentationError"), F.lit("SyntaxError")))
+        F.when(F.pmod("doc_id", F.lit(13)) == 5, F.array(F.lit("IndentationError"), F.lit("SyntaxError")))
         .when(~c("text").contains("\n"), F.array(F.lit("UnicodeDecodeError"), F.lit("UnicodeError"), F.lit("ValueError")))
         .when(c("lang") == "de", F.array(F.lit("PermissionError"), F.lit("OSError")))
         .when(c("lang") == "es", F.array(F.lit("RecursionError"), F.lit("RuntimeError")))
@@ -243,10 +243,10 @@ def _revision(n: int) -> str:
 
 _BASE = f"""
 with docs as (
-  select source as repository, lang || '/' || doc_id || '.txt' as file_path, lang, n_chars, text as t1,
+  select source as repository, lang || '/' || doc_id || '.txt' as file_path, lang, doc_id, text as t1,
     case when lang = 'de' and contains(text, chr(10)) then substr(text, strpos(text, chr(10)) + 1) else text end as t2
   from documents),
-  facts as (select *, sha256(t1) <> sha256(t2) as changed, sha256(t1) <> sha256(t2) and n_chars < 300 as failed from docs),
+  facts as (select *, sha256(t1) <> sha256(t2) as changed, sha256(t1) <> sha256(t2) and doc_id % 11 = 3 as failed from docs),
   done as (select * from facts where changed and not failed),
   {_revision(1)}, {_revision(2)},
   nn as (select n2.* from n2 semi join done using (repository, file_path)),
@@ -289,7 +289,7 @@ _LOG = f"""{_BASE},
            (select count(*) from en where en.repository = d.repository and en.file_path = d.file_path) as n_edges
          from done d),
   er as (select *, {_ERROR_ID} as error_id, {_STACK} as stack_hash from (
-           select repository, file_path, sha256(t2) as content_sha256, 'SyntaxError' as error_type, 'too short' as error_message,
+           select repository, file_path, sha256(t2) as content_sha256, 'SyntaxError' as error_type, 'broken' as error_message,
                   'ast_parse' as stage from facts where failed)),
   log as (
     select repository, file_path, 0 as phase, null as pos, edge_id as id, 'cpg.edge.events' as topic, src_node_id as key,
@@ -326,7 +326,7 @@ _OUTCOMES = f"""{_BASE},
     select f.repository, f.file_path,
       case when not changed then 'skipped' when failed then 'failed' else 'succeeded' end as status,
       coalesce(nc, 0) as nodes, coalesce(ec, 0) as edges, coalesce(dn, 0) as deleted_nodes, coalesce(de, 0) as deleted_edges,
-      case when failed then 'too short' end as error
+      case when failed then 'broken' end as error
     from facts f
     left join (select repository, file_path, count(*) as nc from nn group by all) using (repository, file_path)
     left join (select repository, file_path, count(*) as ec from en group by all) using (repository, file_path)
@@ -370,9 +370,9 @@ ORACLES = {
         from (
           select source as repository, doc_id::varchar as file_path, sha256(text) as content_sha256,
             lang || ' ' || n_chars as error_message,
-            case when n_chars < 100 then 'IndentationError' when not contains(text, chr(10)) then 'UnicodeDecodeError'
+            case when doc_id % 13 = 5 then 'IndentationError' when not contains(text, chr(10)) then 'UnicodeDecodeError'
                  when lang = 'de' then 'PermissionError' when lang = 'es' then 'RecursionError' end as error_type,
-            case when n_chars < 100 then 'ast_parse' when not contains(text, chr(10)) then 'decode'
+            case when doc_id % 13 = 5 then 'ast_parse' when not contains(text, chr(10)) then 'decode'
                  when lang = 'de' then 'read_source' when lang = 'es' then 'parser_service' end as stage
           from documents)
         where error_type is not null""",

@@ -22,9 +22,10 @@ class Graph:
 
 
 def identified_rows(corpus: DataFrame, spread: int | None = None) -> DataFrame:
-    """Identified syntax rows, not yet computed: enough where a single branch reads them."""
-    if spread is None:
-        spread = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Identified syntax rows, not yet computed: enough where a single branch reads them.
+
+    Contents are shuffled only on request: ``spread`` is for a corpus that lies in too few tasks.
+    """
     return identify(flatten(corpus, spread))
 
 

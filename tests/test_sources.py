@@ -10,7 +10,7 @@ from codetide import contract
 from codetide.functions import ids, paths, symbols, text
 from codetide.operators import discovery
 from codetide.operators.checks import missing_topics
-from codetide.sources.corpus import check_paths, first_files, one_file, read_corpus, read_manifest, restrict
+from codetide.sources.corpus import check_paths, first_files, list_corpus, one_file, read_corpus, read_files, read_manifest, restrict, select_files
 from codetide.sources.events import bad_message_reason, decode
 
 
@@ -36,7 +36,7 @@ def test_corpus_scan_manifest_and_discovery(spark, tmp_path):
     assert {r["file_path"] for r in corpus.collect()} == {p for p in files if p.endswith(".py")}
     assert bytes(one_file(corpus, "pkg/core.py").first()["content"]) == b"x = 1\n"
 
-    classified = discovery.classify(corpus, text=text.readable(F.col("content")))
+    classified = discovery.classify(corpus)
     kept = [r[0] for r in discovery.kept(classified).collect()]
     assert kept == ["pkg/at41.py", "pkg/attest.py", "pkg/core.py", "pkg/returns.py"]
     why = {r["file_path"]: r["exclude_reasons"] for r in discovery.excluded(classified).collect()}
@@ -68,14 +68,38 @@ def test_unreadable_files_become_read_errors(spark, tmp_path):
     (tmp_path / "repo").mkdir()
     (tmp_path / "repo" / "__init__.py").write_text("x = 1\n")
     (tmp_path / "repo" / "gone.py").symlink_to(tmp_path / "nowhere.py")
-    listed = spark.createDataFrame([(str(tmp_path / "repo" / n),) for n in ("__init__.py", "gone.py")], "path string")
-    from codetide.sources.corpus import CORPUS_SCHEMA, _read
-
-    corpus = listed.mapInArrow(_read(str(tmp_path / "repo"), "r"), CORPUS_SCHEMA)
-    graph = extract(corpus)
+    listing = list_corpus(spark, str(tmp_path / "repo"), "r")
+    manifest = spark.createDataFrame([("__init__.py",), ("gone.py",), ("never.py",)], "file_path string")
+    graph = extract(read_files(select_files(listing, manifest, str(tmp_path / "repo"))))
     assert [r["file_path"] for r in graph.metadata.collect()] == ["__init__.py"]
-    error = graph.errors.first()
-    assert (error["file_path"], error["stage"], error["content_sha256"]) == ("gone.py", "read_source", "")
+    errors = graph.errors.orderBy("file_path").collect()
+    assert [(e["file_path"], e["stage"], e["error_type"], e["content_sha256"]) for e in errors] == [
+        ("gone.py", "read_source", "FileNotFoundError", ""), ("never.py", "read_source", "FileNotFoundError", "")]
+
+
+def test_choosing_before_reading(spark, tmp_path, monkeypatch):
+    from codetide.sources import corpus as source
+
+    monkeypatch.setattr(source, "LISTED_PER_TASK", 3)  # so that listing takes rounds
+    root = tmp_path / "repo"
+    for i in range(12):
+        (root / f"d{i % 3}" / "e" / f"f{i % 2}").mkdir(parents=True, exist_ok=True)
+        (root / f"d{i % 3}" / "e" / f"f{i % 2}" / f"m{i}.py").write_text("x" * i)
+    listing = list_corpus(spark, str(root), "r")
+    assert {(r["file_path"], r["size"]) for r in listing.collect()} == {(f"d{i % 3}/e/f{i % 2}/m{i}.py", i) for i in range(12)}
+
+    # only the chosen file is opened: all others are no longer there
+    chosen = read_files(one_file(listing, "d1/e/f1/m7.py"))
+    for i in range(12):
+        if i != 7:
+            (root / f"d{i % 3}" / "e" / f"f{i % 2}" / f"m{i}.py").write_text("changed")
+    rows = chosen.collect()
+    assert [bytes(r["content"]) for r in rows] == [b"x" * 7]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Filter")  # the choice stands below the reader
+
+    with pytest.raises(ValueError):
+        select_files(listing, spark.createDataFrame([("../x.py",)], "file_path string"), str(root))
 
 
 def test_paths(spark):

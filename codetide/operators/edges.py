@@ -47,7 +47,6 @@ def all_edges(rows: DataFrame) -> DataFrame:
     """
     c = F.col
     sound = rows.filter(c("error").isNull())
-    none = F.lit(None)
     children = sound.filter(c("parent_pos").isNotNull()).select(
         *FILE,
         F.lit("AST_CHILD").alias("edge_type"),

@@ -53,7 +53,8 @@ def extract(corpus: DataFrame, spread: int | None = None, area: StagingArea | No
     """Nodes, edges, file metadata and errors of ``corpus(repository, file_path, content)``."""
     rows = parsed_rows(corpus, spread, area)
     edges = stage(all_edges(rows), "edges", area)
-    nodes = node_rows(rows).unionByName(external_symbols(edges))
+    # few rows, made by a distinct over all edges that every reader of nodes would repeat
+    nodes = node_rows(rows).unionByName(stage(external_symbols(edges), "externals", area))
     files = rows.filter((F.col("pos") == 0) & F.col("error").isNull()).select(
         *FILE, "loc", "size_bytes", "content_sha256", "parse_duration_ms"
     )

@@ -9,9 +9,10 @@ itself, and the sums over fragments decide exactly.
 
 Candidates: sets of similarity 0.8 share an n-gram within their first ``size - ceil(0.8 size) + 1``, and
 so many of them that what follows can make up the rest.  Equal sets are one class and are compared
-once.  Groups of near copies are not multiplied out: in a few rounds every class is compared with one
-leading class that shares most of its prefix; what is linked is one component, and only pairs from
-different components are candidates after that.  No link between components is lost, so they are exact.
+once.  Groups of near copies are not multiplied out: in rounds every class is compared with one leading
+class of another component that shares most of its prefix, first with the one whose n-grams most
+classes have, then with others drawn by hash, until a round links nothing.  Only pairs from different
+components are candidates after that.  No link between components is lost, so they are exact.
 
 Work is spread by n-gram, by class and by fragment.  N-grams of ordinary frequency are grouped by a
 window, whose groups the frequency bounds; frequent ones are aggregated and joined, where run-time
@@ -40,7 +41,7 @@ from codetide.session import StagingArea, stage
 WORDS = 5
 FREQUENT = 50
 MOST_FREQUENT = 500_000
-STAR_ROUNDS = 2
+STAR_ROUNDS = 8
 BATCH = 128  # texts hashed together
 FRAGMENT_BITS = 3
 FRAGMENTS = (1 << FRAGMENT_BITS) + 1  # one more for the frequent n-grams
@@ -223,7 +224,7 @@ SIMILAR_SIZE = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
 
 def _placed(postings: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Postings (gram, class, root, n) of n-grams that lie in more than one component."""
-    sized = postings.join(classes.select("class", "n"), "class")
+    sized = postings.join(classes.select("class", "n", "common"), "class")
     if roots is None:
         return sized.withColumn("root", F.col("class"))
     placed = sized.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
@@ -231,12 +232,20 @@ def _placed(postings: DataFrame, classes: DataFrame, roots: DataFrame | None) ->
     return placed.join(mixed, "gram")
 
 
+def _centrality(postings: DataFrame) -> DataFrame:
+    """Per class, how many classes have its prefix n-grams, on average: the text that others were made from leads."""
+    spread = postings.groupBy("gram").agg(F.count("*").alias("df"))
+    return postings.join(spread, "gram").groupBy("class").agg(F.avg("df").alias("common"))
+
+
 def _stars(placed: DataFrame, turn: int) -> DataFrame:
     """For each class (b) the leading class (a) of another component that shares most n-grams.
 
-    An n-gram's leading class is the one with the smallest hash of class and ``turn``.
+    An n-gram's leading class is in the first turn the most common one, then the
+    one with the smallest hash of class and ``turn``.
     """
-    leads = placed.groupBy("gram").agg(F.min_by(F.struct("class", "root", "n"), F.xxhash64("class", F.lit(turn))).alias("lead"))
+    rank = F.struct(-F.col("common"), F.col("class")) if turn == 0 else F.struct(F.xxhash64("class", F.lit(turn)), F.col("class"))
+    leads = placed.groupBy("gram").agg(F.min_by(F.struct("class", "root", "n"), rank).alias("lead"))
     met = placed.join(leads, "gram").filter("root != lead.root").select(
         F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")
     )
@@ -297,15 +306,26 @@ def join(docs: DataFrame, area: StagingArea) -> DataFrame:
     postings = _postings(texts, sets, frequent, area)
     segments = _Segments(texts, classes, frequent, area)
 
-    links = roots = held = None
-    for turn in range(STAR_ROUNDS + 1):
-        placed = _placed(postings, classes, roots)
-        pairs = stage(_stars(placed, turn) if turn < STAR_ROUNDS else _across(placed), "pairs", area)
+    central = stage(classes.join(_centrality(postings), "class"), "central", area)
+    links, roots, held = None, None, None
+
+    def more(pairs: DataFrame) -> int:
+        """Check candidate pairs and merge the components that they link; the number of links."""
+        nonlocal links, roots, held
+        pairs = stage(pairs, "pairs", area)
         found = stage(overlapping(pairs, segments.of(pairs)), "links", area)
         links = found if links is None else links.union(found)
-        if held:
-            held.release()
-        roots, held = components(links)
+        count = found.count()
+        if count or roots is None:
+            if held:
+                held.release()
+            roots, held = components(links)
+        return count
+
+    for turn in range(STAR_ROUNDS):
+        if not more(_stars(_placed(postings, central, roots), turn)):
+            break
+    more(_across(_placed(postings, central, roots)))
     named = (
         classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
         .select("class", "rep", F.coalesce("root", "class").alias("root"))

@@ -302,7 +302,8 @@ def _write(folder: str, tokenizer: str):
 def write(docs: DataFrame, folder: str, tokenizer: str, area: StagingArea) -> DataFrame:
     """Write ``docs`` in ascending doc_id order; the table of files: piece, part, file, n_docs, n_ids, start."""
     order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    dealt = docs.select("doc_id", "text").repartitionByRange(tasks(docs.sparkSession), *order).sortWithinPartitions(*order)
+    # ranges of ids alone: the keys that Spark samples for them come to the driver, and texts must not
+    dealt = docs.select("doc_id", "text").repartitionByRange(tasks(docs.sparkSession), order[0]).sortWithinPartitions(*order)
     marked = dealt.withColumn("piece", F.spark_partition_id())
     written = marked.mapInPandas(_write(folder, tokenizer), "piece int, part int, file string, n_docs long, n_ids long")
     earlier = Window.orderBy("piece", "part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file

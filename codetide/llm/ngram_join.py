@@ -11,7 +11,7 @@ Candidates: sets of similarity 0.8 share an n-gram within their first ``size - c
 so many of them that what follows can make up the rest.  Equal sets are one class and are compared
 once.  Groups of near copies are not multiplied out: in rounds every class is compared with one leading
 class of another component that shares most of its prefix, first with the one whose n-grams most
-classes have, then with others drawn by hash, until a round links nothing.  Only pairs from different
+classes have, then with others drawn by hash, until a round links few.  Only pairs from different
 components are candidates after that.  No link between components is lost, so they are exact.
 
 Work is spread by n-gram, by class and by fragment.  N-grams of ordinary frequency are grouped by a
@@ -42,6 +42,7 @@ WORDS = 5
 FREQUENT = 50
 MOST_FREQUENT = 500_000
 STAR_ROUNDS = 8
+WORTHWHILE = 50  # a round that links this many times fewer than the first is the last
 BATCH = 128  # texts hashed together
 FRAGMENT_BITS = 3
 FRAGMENTS = (1 << FRAGMENT_BITS) + 1  # one more for the frequent n-grams
@@ -322,9 +323,12 @@ def join(docs: DataFrame, area: StagingArea) -> DataFrame:
             roots, held = components(links)
         return count
 
+    first = 0
     for turn in range(STAR_ROUNDS):
-        if not more(_stars(_placed(postings, central, roots), turn)):
-            break
+        count = more(_stars(_placed(postings, central, roots), turn))
+        first = first or count
+        if count * WORTHWHILE < first or not count:
+            break  # what is left is little, and found below
     more(_across(_placed(postings, central, roots)))
     named = (
         classes.join(roots.withColumnRenamed("node", "class"), "class", "left")

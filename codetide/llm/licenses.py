@@ -1,7 +1,7 @@
 """License scan: fixed phrases by consecutive words, and an exact set-similarity join with templates.
 
-The join finds every block of text (a line or a sentence) that holds at least ``CONTAINMENT`` of a
-template's distinct words.  Template words are ordered by how many documents hold them, rarest first,
+The join finds every block of text (a sentence or a paragraph, over all its lines) that holds at least
+``CONTAINMENT`` of a template's distinct words, so a notice counts however its lines are wrapped.  Template words are ordered by how many documents hold them, rarest first,
 over the whole corpus.  A block can only qualify if it has one of the first ``size - needed + 1`` words
 of a template in that order (prefix filter) and at least ``needed`` template words at all (length filter),
 and if enough words remain on both sides after a first shared one (positional filter).  What passes is
@@ -25,7 +25,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # fixed values: phrases and the labels they give
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 CONTAINMENT = 0.9
-BLOCK_END = r"[.!?][ \t\r\n]+|\n"
+# the end of a sentence, or a blank line; a single newline ends nothing
+BLOCK_END = r"[.!?][ \t\r\n]+|\n[ \t\r]*\n"
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license version 2 0",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",

@@ -140,6 +140,26 @@ def test_licenses(docs, none, spark):
     assert found[2]["labels"] == "mit" and found[3]["labels"] == "mit" and found[4]["labels"] == "" and found[5]["labels"] == ""
 
 
+def test_wrapped_licenses(spark):
+    notices = {
+        "mit-grant": (
+            "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+            "of this software and associated documentation files (the \"Software\"), to deal\nin the Software."
+        ),
+        "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0.",
+    }
+    texts = []
+    for notice in notices.values():
+        lines = notice.split("\n")
+        texts += [notice, "\r\n".join(lines), "x = 1\n" + "\n".join(f"# {line}" for line in lines), notice.replace(" ", "\n")]
+    apart = ["Released under\n\nthe MIT License", "Released under\r\n \r\nthe MIT License", "Released under it.\nThe MIT License"]
+    found = by_id(licenses.scan(spark.createDataFrame(list(enumerate(texts + apart)), "doc_id long, text string")))
+    assert [found[i]["labels"] for i in range(len(texts))] == [label for label in notices for _ in range(4)]
+    assert all(found[i]["score"] >= 0.9 for i in range(len(texts)))
+    assert [found[len(texts) + i]["labels"] for i in range(3)] == [""] * 3
+
+
 def test_mixing(docs, none, spark):
     area = StagingArea(spark)
     found = mixing.replicate(docs, area).collect()

@@ -14,12 +14,19 @@ class of another component that shares most of its prefix, first with the one wh
 classes have, then with others drawn by hash, until a round links few.  Only pairs from different
 components are candidates after that.  No link between components is lost, so they are exact.
 
+Links are counted inside the components, which hold all of them: a component's classes are put in order
+of size and cut into blocks, and every two blocks whose sizes allow a link are compared as a whole, each
+pair of them in a group of its own.  Overlaps of all pairs come from products of 0/1 matrices, so no pair is
+a row and no component is held whole.  Sets are copied once per block they meet, so that a component of k
+classes costs up to k * k / 2 comparisons, as its links may be so many.
+
 Work is spread by n-gram, by class and by fragment.  N-grams of ordinary frequency are grouped by a
 window, whose groups the frequency bounds; frequent ones are aggregated and joined, where run-time
 skew handling may split them.  Sets of 64-bit hashes stand for the texts: two different n-grams or sets
 agree by chance once in 2**64.
 
-Defined results: a document without words or text has an empty set and links with nothing; its
+Defined results: ``n_links`` is the number of other rows of similarity 0.8 or more, those of equal sets
+among them.  A document without words or text has an empty set and links with nothing; its
 component is its own id.  Repeated rows are documents like others.  A null id never names a component
 that has another.  Columns beside doc_id and text are not looked at.
 """
@@ -34,7 +41,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from codetide.llm.common import bounded
+from codetide.llm.common import bounded, numbered, with_offset
 from codetide.llm.components import components
 from codetide.session import StagingArea, stage
 
@@ -44,6 +51,10 @@ MOST_FREQUENT = 500_000
 STAR_ROUNDS = 8
 WORTHWHILE = 50  # a round that links this many times fewer than the first is the last
 BATCH = 128  # texts hashed together
+BLOCK_CLASSES = 256  # classes compared with others as one block,
+BLOCK_GRAMS = 2_000_000  # and their n-grams together
+DENSE = 16  # an n-gram in so many sets of two blocks is counted by a dense product
+DENSE_CELLS = 1 << 22
 FRAGMENT_BITS = 3
 FRAGMENTS = (1 << FRAGMENT_BITS) + 1  # one more for the frequent n-grams
 STEP = np.uint64(0xD1342543DE82EF95)
@@ -296,13 +307,96 @@ def overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return summed.filter("180 * shared >= 80 * (n_a + n_b)").select("a", "b")
 
 
-def join(docs: DataFrame, area: StagingArea) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id."""
+def _class_sets(ids: list, sets: list[np.ndarray]) -> dict:
+    """Rows (class, grams)."""
+    kept = [own for own in sets if len(own)]
+    return {"class": [class_of(own) for own in kept], "grams": [own.view(np.int64) for own in kept]}
+
+
+def overlaps(sets: list[np.ndarray], rows: int, own: bool) -> np.ndarray:
+    """How many elements each of the first ``rows`` sets shares with each of the others, or of the same if ``own``."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, gram, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(gram, kind="stable")  # by n-gram, then row
+    row, gram = row[order], gram[order]
+    wide = len(sets) if own else len(sets) - rows
+    total = np.zeros((rows, wide), np.int64)
+
+    few = held[gram] < DENSE
+    some, of = row[few], gram[few]
+    for apart in range(1, DENSE - 1):
+        met = of[apart:] == of[:-apart]
+        a, b = some[:-apart][met], some[apart:][met]
+        if not own:
+            across = (a < rows) & (b >= rows)
+            a, b = a[across], b[across] - rows
+        total += np.bincount(a * wide + b, minlength=total.size).reshape(total.shape)
+    if own:
+        total += total.T  # the diagonal is not looked at
+
+    column = np.cumsum(held >= DENSE) - 1
+    row, column = row[~few], column[gram[~few]]
+    width = max(1, DENSE_CELLS // len(sets))
+    for first in range(0, int((held >= DENSE).sum()), width):
+        part = slice(*np.searchsorted(column, [first, first + width]))
+        dense = np.zeros((len(sets), width), np.float32)  # exact: its sums stay below 2**24
+        dense[row[part], column[part] - first] = 1
+        total += (dense[:rows] @ (dense if own else dense[rows:]).T).astype(np.int64)
+    return total
+
+
+def _block_links(group: pd.DataFrame) -> pd.DataFrame:
+    """Rows (class, linked): the documents in classes of the other block that a class links with."""
+    group = group.sort_values("right", kind="stable")
+    right = group["right"].to_numpy(bool)
+    rows, own = int((~right).sum()), not right.any()
+    sets = [np.asarray(s, np.int64) for s in group["grams"]]
+    n, size, names = np.array([len(s) for s in sets]), group["size"].to_numpy(np.int64), group["class"].to_numpy(np.int64)
+    others = slice(0, rows) if own else slice(rows, None)
+    linked = 180 * overlaps(sets, rows, own) >= 80 * (n[:rows, None] + n[None, others])
+    if own:
+        np.fill_diagonal(linked, False)
+        return pd.DataFrame({"class": names, "linked": linked @ size})
+    return pd.DataFrame({"class": names, "linked": np.concatenate((linked @ size[others], linked.T @ size[:rows]))})
+
+
+def _linked(texts: DataFrame, grouped: DataFrame, area: StagingArea) -> DataFrame:
+    """Per class of ``grouped`` (class, root, rep, n, size) that has links to others: class, linked (documents)."""
+    several = grouped.groupBy("root").agg(F.count("*").alias("k")).filter("k > 1").select("root")
+    inside = grouped.join(several, "root")
+    placed = numbered(inside.withColumn("weight", F.greatest("n", F.lit(BLOCK_GRAMS // BLOCK_CLASSES))), ["root", "n", "class"], area)
+    before = Window.partitionBy("piece").orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    weighed = placed.withColumn("__inside", F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    weighed = with_offset(weighed, {"__before": F.sum("weight")})
+    blocked = weighed.withColumn("block", F.expr(f"(__before + __inside) div {BLOCK_GRAMS}"))
+    blocked = stage(blocked.select("class", "root", "rep", "n", "size", "block"), "blocked", area)
+
+    spans = blocked.groupBy("root", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    side = lambda s: spans.select("root", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "lo", "hi")])
+    met = side("a").join(side("b"), "root").filter("block_a < block_b and 5 * hi_a >= 4 * lo_b")
+    met = stage(met.select("root", F.col("block_a").alias("i"), F.col("block_b").alias("j")), "block-pairs", area)
+    turns = (
+        spans.select("root", "block", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(False).alias("right"))
+        .union(met.select("root", F.col("i").alias("block"), "i", "j", F.lit(False)))
+        .union(met.select("root", F.col("j").alias("block"), "i", "j", F.lit(True)))
+    )
+    turns = bounded(stage(turns, "turns", area))
+
+    wanted = stage(blocked.select(F.col("rep").alias("doc_id")).distinct(), "block-ids", area)
+    sets = _chosen(texts, wanted).mapInPandas(_per_batch(_class_sets), "class long, grams array<long>").dropDuplicates(["class"])
+    rows = sets.join(blocked.select("class", "root", "block", "size"), "class").join(turns, ["root", "block"])
+    counted = rows.select("i", "j", "right", "class", "size", "grams").groupBy("i", "j").applyInPandas(_block_links, "class long, linked long")
+    return counted.groupBy("class").agg(F.sum("linked").alias("linked"))
+
+
+def join(docs: DataFrame, area: StagingArea, count_links: bool = True) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, and n_links if ``count_links``."""
     texts = docs.select("doc_id", "text")
     frequent = frequent_ngrams(texts)
     sets = stage(texts.mapInPandas(_per_batch(_sets(frequent)), "doc_id long, n_shingles long, class long, late boolean"), "sets", area)
+    by_class = sets.filter("class is not null").groupBy("class")
     classes = stage(
-        sets.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "classes", area
+        by_class.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.count("*").alias("size")), "classes", area
     )
     postings = _postings(texts, sets, frequent, area)
     segments = _Segments(texts, classes, frequent, area)
@@ -330,12 +424,18 @@ def join(docs: DataFrame, area: StagingArea) -> DataFrame:
         if count * WORTHWHILE < first or not count:
             break  # what is left is little, and found below
     more(_across(_placed(postings, central, roots)))
-    named = (
+    named = stage(
         classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .select("class", "rep", F.coalesce("root", "class").alias("root"))
+        .select("class", "rep", "n", "size", F.coalesce("root", "class").alias("root")), "roots", area
     )
-    smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = stage(named.join(smallest, "root").select("class", "component_id"), "components", area)
     held.release()
-    full = sets.filter("class is not null").join(named, "class").select("doc_id", "n_shingles", "component_id")
-    return full.union(sets.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    found = named.join(smallest, "root").select("class", "size", "component_id")
+    empty = sets.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    if count_links:
+        linked = stage(_linked(texts, named, area), "linked", area)
+        found = found.join(linked, "class", "left").withColumn("n_links", F.col("size") - 1 + F.coalesce("linked", F.lit(0)))
+        empty = empty.withColumn("n_links", F.lit(0).cast("long"))
+    found = stage(found.drop("size", "linked"), "components", area)
+    full = sets.filter("class is not null").join(found, "class").select(empty.columns)
+    return full.union(empty)

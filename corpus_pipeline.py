@@ -38,7 +38,7 @@ def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     columns = docs.columns
     area = _area(spark)
-    grouped = ngram_join.join(docs, area)
+    grouped = ngram_join.join(docs, area, count_links=False)
     gone = grouped.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
     gone = bounded(stage(gone.distinct(), "gone", area))
     staying = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")

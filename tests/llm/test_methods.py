@@ -256,6 +256,29 @@ def test_ngram_join_against_all_pairs(spark, seed, monkeypatch):
     assert [found[i]["component_id"] for i in range(len(texts))] == components_of(sets)
 
 
+@pytest.mark.parametrize("dense", [2, 16])
+def test_ngram_join_counts_all_links(spark, dense, monkeypatch):
+    monkeypatch.setattr(ngram_join, "DENSE_CELLS", 700)
+    monkeypatch.setattr(ngram_join, "DENSE", dense)
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 8)  # so that groups need several blocks
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 1000)
+    draw, base = random.Random(5), [f"w{k}" for k in range(80)]
+    texts = near_groups(7, 60) + ["", None]
+    for _ in range(60):  # a group that links only in part, of several sizes, with equal texts
+        words = base[: draw.randrange(60, 81)]
+        words[draw.randrange(len(words))] = draw.choice("xyz")
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in ngram_join.join(docs, StagingArea(spark)).collect()}
+    sets = sets_of([t or "" for t in texts])
+    similar = lambda a, b: len(a & b) > 0 and 100 * len(a & b) >= 80 * len(a | b)
+    assert [found[i]["n_links"] for i in range(len(texts))] == [
+        sum(similar(a, b) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)
+    ]
+    assert [found[i]["component_id"] for i in range(len(texts))] == components_of(sets)
+    assert "n_links" not in ngram_join.join(docs, StagingArea(spark), count_links=False).columns
+
+
 def test_components_of_a_long_path(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (5, 5)]
     roots, area = components(spark.createDataFrame(links, "a long, b long"))

@@ -39,7 +39,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from codetide.llm.common import bounded, numbered, with_offset
 from codetide.llm.components import components
@@ -128,14 +128,20 @@ def in_order(grams: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def _per_batch(make: Callable[[list, list[np.ndarray]], dict]):
-    """mapInPandas over (doc_id, text): ``make`` turns ids and n-grams of some rows into columns."""
+    """mapInPandas over (doc_id, text): ``make`` turns ids and n-grams of some rows into columns.
+
+    A ``text_key`` beside them is passed on; ``make`` gives one row per row then.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids = [None if pd.isna(d) else int(d) for d in batch["doc_id"]]
             texts = batch["text"].tolist()
             for at in range(0, len(ids), BATCH):
-                yield pd.DataFrame(make(ids[at : at + BATCH], ngrams(texts[at : at + BATCH])))
+                made = pd.DataFrame(make(ids[at : at + BATCH], ngrams(texts[at : at + BATCH])))
+                if "text_key" in batch:
+                    made["text_key"] = batch["text_key"].to_numpy()[at : at + BATCH]
+                yield made
 
     return run
 
@@ -389,11 +395,19 @@ def _linked(texts: DataFrame, grouped: DataFrame, area: StagingArea) -> DataFram
     return counted.groupBy("class").agg(F.sum("linked").alias("linked"))
 
 
-def join(docs: DataFrame, area: StagingArea, count_links: bool = True) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, and n_links if ``count_links``."""
+def text_key() -> Column:
+    """Tells rows of one id apart by their text."""
+    return F.xxhash64("text")
+
+
+def join(docs: DataFrame, area: StagingArea, count_links: bool = True, keep_text_key: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, n_links if ``count_links``, ``text_key`` if asked for."""
     texts = docs.select("doc_id", "text")
     frequent = frequent_ngrams(texts)
-    sets = stage(texts.mapInPandas(_per_batch(_sets(frequent)), "doc_id long, n_shingles long, class long, late boolean"), "sets", area)
+    columns, rows = "doc_id long, n_shingles long, class long, late boolean", texts
+    if keep_text_key:
+        columns, rows = f"{columns}, text_key long", texts.withColumn("text_key", text_key())
+    sets = stage(rows.mapInPandas(_per_batch(_sets(frequent)), columns), "sets", area)
     by_class = sets.filter("class is not null").groupBy("class")
     classes = stage(
         by_class.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.count("*").alias("size")), "classes", area
@@ -431,7 +445,8 @@ def join(docs: DataFrame, area: StagingArea, count_links: bool = True) -> DataFr
     held.release()
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     found = named.join(smallest, "root").select("class", "size", "component_id")
-    empty = sets.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    kept = ["text_key"] if keep_text_key else []
+    empty = sets.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *kept)
     if count_links:
         linked = stage(_linked(texts, named, area), "linked", area)
         found = found.join(linked, "class", "left").withColumn("n_links", F.col("size") - 1 + F.coalesce("linked", F.lit(0)))

@@ -34,14 +34,16 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def by_similarity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near duplicates.
 
-    Rows of one id go or stay together, exact repeats of a row leave one.
+    Rows go by id and text, so that a row keeps its place whatever others with its id (or
+    without one) hold; exact repeats of a row leave one.
     """
     columns = docs.columns
     area = _area(spark)
-    grouped = ngram_join.join(docs, area, count_links=False)
-    gone = grouped.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
+    grouped = ngram_join.join(docs, area, count_links=False, keep_text_key=True)
+    gone = grouped.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key"))
     gone = bounded(stage(gone.distinct(), "gone", area))
-    staying = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("__gone")) & ngram_join.text_key().eqNullSafe(F.col("__key"))
+    staying = docs.join(gone, same, "left_anti")
     # only ids that come more than once can have repeats
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__twice"))
     repeated = bounded(stage(repeated, "repeated", area))

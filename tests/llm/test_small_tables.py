@@ -95,6 +95,18 @@ def test_ngram_join(docs, none, area, spark):
     assert ngram_join.join(none, StagingArea(spark)).count() == 0
 
 
+def test_near_copies_leave_other_rows_of_their_id(spark):
+    import corpus_pipeline
+
+    copied = "one two three four five six seven eight"
+    table = [
+        (1, copied), (None, copied.upper()), (None, "a clean text without an id"), (None, None),
+        (4, copied.title()), (4, "another clean text with a repeated id"), (4, "another clean text with a repeated id"), (5, "alone"),
+    ]
+    kept = corpus_pipeline.by_similarity(spark, spark.createDataFrame(table, "doc_id long, text string"), "").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [table[k] for k in (0, 2, 3, 5, 7)]))
+
+
 def test_sharding(docs, none, area, spark):
     found = sharding.shard(docs, 3, area).collect()
     assert len(found) == len(ODD)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import embedding_dedup, fingerprint, language_id, licenses, mixing, ngram_join, packing, quality, sharding, token_files
+from codetide.llm import embedding_dedup, fingerprint, language_id, licenses, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_files
 from codetide.llm.common import HELD_OUT, fold, numbered, table
 from codetide.session import StagingArea
 
@@ -74,6 +74,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), StagingArea(spark))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), StagingArea(spark))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 ORACLES["op7_licenses"] = rf"""
 with low as (
   select doc_id, row_number() over () as row, translate(coalesce(text, ''), '{licenses.CAPITALS}', '{licenses.CAPITALS.lower()}') as low
@@ -149,4 +154,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprint": op9_fingerprint,
     "op10_token_files": op10_token_files,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from codetide.llm import embedding_dedup, fingerprint, language_id, licenses, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_files
+from codetide.llm import embedding_dedup, filter_audit, fingerprint, hard_negatives, language_id, licenses, mixing, ngram_join, packing, quality, sharding, suffix_dedup, token_files
 from codetide.llm.common import HELD_OUT, fold, numbered, table
 from codetide.session import StagingArea
 
@@ -79,6 +79,21 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), StagingArea(spark))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        hard_negatives.quantised("embedding").alias("vector"),
+        (vec_id % 100 == 0).alias("anchor"),
+    )
+    return hard_negatives.mine(vectors, StagingArea(spark))
+
+
 ORACLES["op7_licenses"] = rf"""
 with low as (
   select doc_id, row_number() over () as row, translate(coalesce(text, ''), '{licenses.CAPITALS}', '{licenses.CAPITALS.lower()}') as low
@@ -143,6 +158,65 @@ select row_number() over (order by md5('{mixing.SEED}|order|' || coalesce(doc_id
 from copied
 """
 
+ORACLES["op12_filter_audit"] = r"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as body,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), firsts as (
+  select body, min(doc_id) as first from docs group by body
+), marks as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels where doc_id is not null group by doc_id
+), masks as (
+  select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+         (len(words) < 200)::int + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::int
+         + 4 * (100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body))::int
+         + 8 * regexp_matches(body, '[#$%&*|]')::int + 16 * coalesce(doc_id > first, false)::int as mask
+  from docs left join firsts using (body) left join marks using (doc_id)
+), counts as (
+  select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from masks group by part, mask
+), filters as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 4, 8, 16]) as bit
+), orders as (
+  select [a.bit, b.bit, c.bit, d.bit, e.bit] as bits, a.f || b.f || c.f || d.f || e.f as filter_order
+  from filters a, filters b, filters c, filters d, filters e
+  where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps as (
+  select filter_order, step, bits[step] as own, coalesce(list_sum(bits[1 : step - 1]), 0)::int as before
+  from orders, unnest([1, 2, 3, 4, 5]) as t(step)
+), each as (
+  select part, filter_order, step, own,
+         coalesce(sum(n) filter (where mask & own = 0 and mask & before = 0), 0)::bigint as kept,
+         coalesce(sum(n) filter (where mask & own <> 0 and mask & before = 0), 0)::bigint as removed,
+         coalesce(sum(n) filter (where mask & own <> 0 and mask & before <> 0), 0)::bigint as redundant,
+         coalesce(sum(n) filter (where mask = own), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter (where mask & own <> 0 and mask & before = 0), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (where mask & own <> 0 and mask & before = 0), 0)::bigint as toxic_lost
+  from counts, steps group by part, filter_order, step, own
+)
+select * exclude (own), sum(removed) over (partition by part, own)::bigint as shapley from each
+"""
+
+ORACLES["op13_hard_negatives"] = """
+with vecs as (
+  select row_number() over () as row, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x::double)]) = 0
+), scored as (
+  select a.row as anchor, a.vec_id as anchor_id, a.label = b.label as same, b.row, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
+  from vecs a join vecs b on a.row <> b.row where a.vec_id % 100 = 0
+), good as (
+  select * from scored where same qualify row_number() over (partition by anchor order by score desc, vec_id, row) <= 5
+), bad as (
+  select g.anchor_id, g.vec_id as positive_id, s.vec_id as negative_id, g.score as positive_score, s.score as negative_score,
+         row_number() over (partition by g.anchor, g.row order by s.score desc, s.vec_id, s.row)::int as rank
+  from good g join scored s on g.anchor = s.anchor and not s.same and 80 * g.score <= 100 * s.score and s.score <= g.score
+)
+select * from bad where rank <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_quality": op2_quality,
@@ -155,4 +229,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fingerprint": op9_fingerprint,
     "op10_token_files": op10_token_files,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_hard_negatives": op13_hard_negatives,
 }

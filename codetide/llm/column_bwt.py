@@ -1,114 +1,67 @@
-"""Burrows-Wheeler transform and common prefixes of a collection of byte strings, built column by column.
+"""Burrows-Wheeler transform and common prefixes of aligned byte strings, built column by column.
 
-Round ``j`` puts one symbol of every string in: the one before its suffix of length ``j``.  Where the
-longer suffix stands follows from where the shorter one stands, by counting equal symbols before it, so
-no suffix is ever compared with another.  The transform and the common prefixes are two flat files, one
-byte an entry, that each round reads once from front to back and writes anew with the entries of the
-round merged in; a caller bounds them by the strings it hands over, and they are kept in memory.
+The strings of a collection are laid out so that equal places stand in one column.  From the last
+column to the first, each round puts one symbol of every string in front of its suffix.  Where a suffix comes to
+stand follows from where the shorter one stood, by counting: suffixes of equal first symbols keep
+their order.  What two neighbours share follows from the least of the prefixes that lay between them.
+So no suffix is ever compared with another, and a round reads the order and the prefixes of
+the round before once, from front to back, and writes its own.
+
+The transform is kept column by column: only suffixes that begin in one column are put in order
+with each other, since strings are aligned and those of other columns are never asked for.  That makes a round as long as the
+collection has strings, not symbols; a caller bounds them, and the two files of a round are kept in memory.
 """
 
 from __future__ import annotations
 
-import numpy as np
-
-END = 0
-_BLOCK = 16
-
-
-def _pairwise(a: np.ndarray) -> np.ndarray:
-    return np.minimum(a[0::2], a[1::2])
+from collections.abc import Iterator
 
+import numpy as np
 
-def _range_min(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Least entry of ``a`` between each ``low`` and ``high``, both included."""
-    full = np.full(-(-len(a) // _BLOCK) * _BLOCK, 255, np.uint8)
-    full[: len(a)] = a
-    blocks = _pairwise(_pairwise(_pairwise(_pairwise(full))))
-    least = np.full(len(low), 255, np.uint8)
-    # the ends, inside the first and the last block
-    stop = np.minimum(high, low | (_BLOCK - 1))
-    begin = np.maximum(low, high & ~(_BLOCK - 1))
-    for step in range(_BLOCK):
-        np.minimum(least, full[np.minimum(low + step, stop)], out=least)
-        np.minimum(least, full[np.minimum(begin + step, high)], out=least)
-    # whole blocks between them, from tables of doubling width
-    first, last = (low >> 4) + 1, (high >> 4) - 1
-    width = last - first + 1
-    left = np.flatnonzero(width > 0)
-    size = 1
-    while len(left):
-        inside = left[width[left] < 2 * size]
-        np.minimum.at(least, inside, np.minimum(blocks[first[inside]], blocks[last[inside] - size + 1]))
-        left = left[width[left] >= 2 * size]
-        if len(left):
-            blocks = np.minimum(blocks[: len(blocks) - size], blocks[size:])
-            size *= 2
-    return least
+NONE = 0  # a string has no symbol in a column
 
 
-def build(data: np.ndarray, lengths: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
-    """Transform and common prefixes (up to ``cap``) of the strings that lie end to end in ``data``.
+def aligned(data: np.ndarray, lengths: np.ndarray, begins: np.ndarray, columns: int) -> np.ndarray:
+    """Strings that lie end to end in ``data``, each from its own column on: a row per column, bytes counted from 1.
 
-    Bytes count from 1 in the transform and ``END`` stands before a whole string, so a byte of 255
-    cannot be kept: UTF-8 has none.  Entry ``t`` of the second result is the common prefix of the
-    suffixes ``t - 1`` and ``t``; ends of strings differ from each other, in the order of the strings.
+    A byte of 255 cannot be kept; UTF-8 has none.
     """
-    count = len(lengths)
-    ends = np.cumsum(lengths)
+    layout = np.zeros((columns, len(lengths)), np.uint8)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    turn = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    layout[begins[owner] + turn, owner] = data + np.uint8(1)
+    return layout
 
-    def symbols(strings: np.ndarray, column: int) -> np.ndarray:
-        done = lengths[strings] <= column
-        taken = data[np.where(done, 0, ends[strings] - 1 - column)] + np.uint8(1) if len(data) else np.zeros(len(strings), np.uint8)
-        return np.where(done, np.uint8(END), taken)
 
-    strings = np.arange(count)
-    transform = symbols(strings, 0)
-    common = np.zeros(count, np.uint8)
-    places = np.arange(count)
-    column = 0
-    while True:
-        on = np.flatnonzero(transform[places] != END)
-        if not len(on):
-            return transform, common
-        places, strings = places[on], strings[on]
-        column += 1
-        # entries by symbol, then by place: the order of the suffixes that begin with that symbol
-        order = np.argsort(transform, kind="stable")
-        new = np.zeros(len(transform), bool)
-        new[places] = True
-        at = np.flatnonzero(new[order])
-        strings = strings[np.argsort(transform[places], kind="stable")]
-        ended = np.count_nonzero(transform == END)
-        # what a new suffix shares with the one before it, and the one after it with the new one
-        followed = np.append(at[1:] != at[:-1] + 1, len(at) and at[-1] + 1 < len(order))
-        asked = np.concatenate((at, at[followed] + 1))
-        asked = asked[asked > ended]
-        asked = asked[transform[order[asked]] == transform[order[asked - 1]]]
-        shared = np.minimum(_range_min(common, order[asked - 1] + 1, order[asked]) + 1, cap).astype(np.uint8)
-        merged = len(transform) + len(at)
-        places = at + (count - ended)
-        old = np.ones(merged, bool)
-        old[places] = False
-        wider = np.empty(merged, np.uint8)
-        wider[old] = transform
-        wider[places] = symbols(strings, column)
-        prefixes = np.zeros(merged, np.uint8)
-        prefixes[old] = common
-        prefixes[asked + (count - ended)] = shared
-        transform, common = wider, prefixes
+def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Least of ``values`` between each ``low`` and ``high``, both included, from tables of doubling width."""
+    width = high - low + 1
+    power = np.frexp(width.astype(np.float64))[1] - 1
+    tables = [values]
+    for size in 1 << np.arange(int(power.max(initial=0))):
+        last = tables[-1]
+        wider = last.copy()
+        np.minimum(last[:-size], last[size:], out=wider[:-size])
+        tables.append(wider)
+    table = np.concatenate(tables)
+    at = power * len(values)
+    return np.minimum(table[at + low], table[at + high - (1 << power) + 1])
 
 
-def suffix_places(transform: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    """For each length from 0: the strings that have a suffix that long and the places of those suffixes, interleaved as two rows."""
-    count = len(lengths)
-    order = np.argsort(transform, kind="stable")
-    ended = np.count_nonzero(transform == END)
-    following = np.empty(len(transform), np.int64)
-    following[order] = np.arange(len(order)) + (count - ended)
-    strings, places = np.arange(count), np.arange(count)
-    found = []
-    while len(strings):
-        found.append(np.stack((strings, places)))
-        on = transform[places] != END
-        strings, places = strings[on], following[places[on]]
-    return found
+def rounds(layout: np.ndarray, cap: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """From the last column: the column, its strings in the order of their suffixes from there on, and common prefixes.
+
+    Entry ``k`` of the prefixes, up to ``cap``, is what the suffixes ``k - 1`` and ``k`` share.  A missing
+    symbol comes before all others and is shared with none.
+    """
+    order = np.arange(layout.shape[1])
+    common = np.zeros(len(order), np.uint8)
+    for column in reversed(range(len(layout))):
+        symbol = layout[column][order]
+        moved = np.argsort(symbol, kind="stable")
+        order, symbol = order[moved], symbol[moved]
+        same = np.flatnonzero((symbol[1:] == symbol[:-1]) & (symbol[1:] != NONE)) + 1
+        shared = np.zeros(len(order), np.uint8)
+        shared[same] = np.minimum(_range_min(common, moved[same - 1] + 1, moved[same]) + np.uint8(1), cap)
+        common = shared
+        yield column, order, common

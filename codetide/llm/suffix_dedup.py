@@ -3,13 +3,13 @@
 A byte goes if a string of ``WINDOW`` bytes that covers it also starts in a document with a smaller id.
 Suffixes are ordered only among strings that can share a window, so the collection is cut up first:
 
-1. Every window of ``WINDOW`` bytes names the least hash of the ``ANCHOR``-byte strings in it, its
-   anchor.  Windows in a row with the same anchor are one run.  Equal windows have equal anchors, so an
+1. Every window of ``WINDOW`` bytes names the least hash of the ``ANCHOR``-byte strings in it, the first one
+   if it comes twice: its anchor.  Windows in a row with the same anchor are one run.  Equal windows have equal anchors, so an
    anchor that stands in one document alone clears its runs; only those of repeated anchors go on.
-2. The bytes of the runs that go on are the strings of the column-wise construction (``column_bwt``): a
-   bucket of anchors is one group, cut by anchor into blocks of about ``BLOCK`` strings.  In the order of
-   all suffixes of a block, neighbours that share ``WINDOW`` bytes or more are one set of equal windows;
-   the smallest id of each set stays, every other window of it is removed.
+2. The bytes of the runs that go on are the strings of the column-wise construction (``column_bwt``), aligned
+   at their anchors, so that equal windows begin in one column.  A bucket of anchors is one group, cut by
+   anchor into blocks of about ``BLOCK`` strings.  When the rounds come to the column of a window, neighbours that
+   share ``WINDOW`` bytes are one set of equal windows; the smallest id of each set stays, every other window of it is removed.
 
 Both shuffles meet hot passages after combining: a task looks at ``CHUNK`` bytes of texts at a time and sends, per
 anchor or string, the rows of its smallest id alone.  What a chunk can tell by itself (a repeated
@@ -31,23 +31,31 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from codetide.llm.column_bwt import build, suffix_places
-from codetide.llm.common import bounded
+from codetide.llm.column_bwt import aligned, rounds
+from codetide.llm.common import BROADCAST_KEYS, bounded
 from codetide.session import StagingArea, stage
 
 WINDOW = 50
 ANCHOR = 20
-LONGEST_RUN = 64
+# places of an anchor in a window, columns of strings aligned at it
+SLIDE = WINDOW - ANCHOR + 1
+COLUMNS = SLIDE - 1 + WINDOW
 CHUNK = 6 << 20
-BLOCK = 8192
-# what a group of the first and of the second shuffle holds: text bytes behind its anchors, windows of its strings
-BYTES_PER_BUCKET = 24 << 20
-WINDOWS_PER_BUCKET = 6 << 20
+BLOCK = 16384
+# what a group holds: text bytes behind the anchors of a bucket, windows of its strings, text bytes of a part of the documents
+BYTES_PER_BUCKET = 16 << 20
+WINDOWS_PER_BUCKET = 3 << 20
+BYTES_PER_PART = 8 << 20
+# ranges that may go to every task, in bytes
+BROADCAST_BYTES = 32 << 20
 HOT_RUNS = 1 << 18
 HOT_ANCHORS = 100_000
 
-_SENT = "bucket int, doc_id long, copy long, body binary"
-_KEPT = "doc_id long, copy long, body binary"
+# a row of a bucket, or ranges of a part of the documents on their way past the buckets
+_SENT = "bucket int, part int, body binary"
+# ranges of a part of the documents, or a hot anchor
+_FOUND = "part int, body binary, anchor long, runs long"
+_ROWS = "doc_id long, copy long, body binary, width long"
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=_U) * _U(2) + _U(1)
@@ -92,24 +100,24 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: max(len(values) - rest, 0)], values[rest:]) if rest else values
 
 
-def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one anchor in texts lying end to end: place, number of windows, anchor."""
-    least = _least(_hashes(data, ANCHOR), WINDOW - ANCHOR + 1)
-    inside = np.arange(len(least)) + WINDOW <= np.repeat(offsets[1:], np.diff(offsets))[: len(least)]
+def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one anchor in texts lying end to end: place, number of windows, place of the anchor, its hash."""
+    hashes = _hashes(data, ANCHOR)
+    # the upper half of a hash and the place: the least is the first of the least
+    low = _U((1 << 32) - 1)
+    anchor = _least((hashes & ~low) | np.arange(len(hashes), dtype=_U), SLIDE) & low
+    inside = np.arange(len(anchor)) + WINDOW <= np.repeat(offsets[1:], np.diff(offsets))[: len(anchor)]
     if not inside.any():
         none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0, _U)
+        return none, none, none, np.zeros(0, _U)
     first = inside.copy()
-    first[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
+    first[1:] &= (anchor[1:] != anchor[:-1]) | ~inside[:-1]
     at = np.flatnonzero(first)
-    # a text of period one has one anchor: runs are cut to a length
     before = np.concatenate(([0], np.cumsum(inside)))
-    windows = before[np.append(at[1:], len(least))] - before[at]
-    parts = -(-windows // LONGEST_RUN)
-    turn = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    at, windows = np.repeat(at, parts) + turn * LONGEST_RUN, np.repeat(windows, parts) - turn * LONGEST_RUN
+    windows = before[np.append(at[1:], len(anchor))] - before[at]
+    anchor = anchor[at].astype(np.int64)
     # least hashes are small numbers: buckets need even ones
-    return at, np.minimum(windows, LONGEST_RUN), _mixed(least[at])
+    return at, windows, anchor, _mixed(hashes[anchor])
 
 
 # --- rows of a group, as bytes ---------------------------------------------------------------------
@@ -166,112 +174,145 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("copy", pa.int64()), ("body", pa.binary())])
-_KEPT_ARROW = pa.schema(list(_SENT_ARROW)[1:])
+_SENT_ARROW = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("body", pa.binary())])
+_FOUND_ARROW = pa.schema([("part", pa.int32()), ("body", pa.binary()), ("anchor", pa.int64()), ("runs", pa.int64())])
+_ROWS_ARROW = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("body", pa.binary()), ("width", pa.int64())])
 
 
-def _per_document(doc: np.ndarray, copy: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """Ranges by document: (doc_id, copy, packed ranges), overlapping ones joined."""
-    order = np.lexsort((start, copy, doc))
-    doc, copy, start, size = doc[order], copy[order], start[order], size[order]
-    change = (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1])
-    number = np.concatenate(([0], np.cumsum(change))) if len(doc) else np.zeros(0, np.int64)
+# --- ranges of documents -----------------------------------------------------------------------------
+
+
+def _joined(doc: np.ndarray, copy: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges by document and start, those that overlap or touch made one: doc_id, copy, start, end."""
+    row = np.unique(doc, return_inverse=True)[1].astype(np.int64)
+    if copy.any():
+        row = np.unique(row * (len(doc) + 1) + np.unique(copy, return_inverse=True)[1], return_inverse=True)[1].astype(np.int64)
+    # places as if the documents lay one behind the other: what is joined never reaches into the next
+    start, end = (row << 32) + start, (row << 32) + end
+    order = np.argsort(start)
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.append(True, start[1:] > reach[:-1])) if len(order) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(order)) - 1
+    low = (1 << 32) - 1
+    return doc[order[first]], copy[order[first]], start[first] & low, reach[last] & low
+
+
+def _by_part(doc: np.ndarray, copy: np.ndarray, start: np.ndarray, end: np.ndarray, parts: int) -> list[tuple[int, bytes]]:
+    """Ranges, joined, as one body per part of the documents."""
+    if not len(doc):
+        return []
+    doc, copy, start, end = _joined(doc, copy, start, end)
+    part = _of(_mixed(doc.view(_U) * _U(_STEP)), parts)
+    order = np.argsort(part, kind="stable")
     return [
-        (int(doc[s.start]), int(copy[s.start]), _pack(*_joined(start[s], start[s] + size[s]))) for _, s in _groups(number)
+        (int(number), _pack(doc[order[s]], copy[order[s]], start[order[s]].astype(np.int32), end[order[s]].astype(np.int32)))
+        for number, s in _groups(part[order])
     ]
 
 
-def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted ranges with those that overlap or touch made one: start and end."""
-    reach = np.maximum.accumulate(end)
-    first = np.append(True, start[1:] > reach[:-1])
-    return start[first].astype(np.int32), reach[np.append(first[1:], True)].astype(np.int32)
+def _join_part(table: pa.Table) -> pa.Table:
+    """All ranges of each document of a part as one row, with their total width."""
+    parts = [_unpack(body.as_py(), "i8", "i8", "i4", "i4")[0] for body in table["body"]]
+    doc, copy, start, end = _joined(*(x.astype(np.int64) for x in map(np.concatenate, zip(*parts))))
+    begins = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (copy[1:] != copy[:-1])))
+    whole = np.stack((start, end), axis=1).astype(np.int32).tobytes()
+    edges = np.append(begins, len(doc)) * 8
+    bodies = [whole[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+    columns = (doc[begins], copy[begins], bodies, np.add.reduceat(end - start, begins))
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ROWS_ARROW)], schema=_ROWS_ARROW)
+
+
+def _pairs(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of a document's ranges."""
+    pairs = np.frombuffer(body, np.int32).reshape(-1, 2).astype(np.int64)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _split(table: pa.Table) -> tuple[list[bytes], list[tuple]]:
+    """A bucket's own rows, and the ranges that only pass it."""
+    own = table.filter(table["part"].is_null())["body"]
+    told = table.filter(table["part"].is_valid())
+    return [b.as_py() for b in own], [(p.as_py(), b.as_py(), None, None) for p, b in zip(told["part"], told["body"])]
+
+
+def _found(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([_batch(rows, _FOUND_ARROW)] if rows else [], _FOUND_ARROW)
 
 
 # --- step 1: anchors that stand in several documents -------------------------------------------------
 
 
-def _send_anchors(buckets: int):
+def _send_anchors(buckets: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in _texts(batches):
-            at, windows, anchor = runs(data, offsets)
+            at, windows, _, anchor = runs(data, offsets)
             if not len(at):
                 continue
             row = np.searchsorted(offsets, at, "right") - 1
+            start = at - offsets[row]
             ids, copies = _long(rows, "doc_id"), _long(rows, "copy")
-            order = np.lexsort((ids[row], anchor))
-            row, windows, anchor, start = row[order], windows[order], anchor[order], (at - offsets[row])[order]
-            begins = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            sizes = np.diff(np.append(begins, len(anchor)))
-            several = ids[row][begins] != ids[row][begins + sizes - 1]
-            inside = np.repeat(several, sizes)
-            out = [
-                (abs(doc) % buckets, doc, copy, body)
-                for doc, copy, body in _per_document(ids[row][inside], copies[row][inside], start[inside], windows[inside])
-            ]
+            doc, copy = ids[row], copies[row]
+            order = np.argsort(anchor)
+            begins, sizes, several = _several(anchor[order], doc[order])
+            inside = np.empty(len(order), bool)
+            inside[order] = np.repeat(several, sizes)
+            told = _by_part(doc[inside], copy[inside], start[inside], (start + windows)[inside], parts)
+            out = [(part % buckets, part, body) for part, body in told]
             # an anchor of several documents is one row without windows, with the number of its runs
+            some = order[begins[several]]
+            start[some], windows[some] = sizes[several], 0
             shown = ~inside
-            shown[begins[several]] = True
-            start[begins[several]], windows[begins[several]] = sizes[several], 0
-            row, start, windows, anchor = row[shown], start[shown], windows[shown], anchor[shown]
+            shown[some] = True
+            order = order[shown[order]]
+            row, start, windows, anchor = row[order], start[order], windows[order], anchor[order]
             for bucket, s in _groups(_of(anchor, buckets)):
-                body = _pack(anchor[s], ids[row][s], copies[row][s], start[s].astype(np.int32), windows[s].astype(np.int8))
-                out.append((int(bucket), None, None, body))
+                body = _pack(anchor[s], ids[row[s]], copies[row[s]], start[s].astype(np.int32), windows[s].astype(np.int8))
+                out.append((int(bucket), None, body))
             yield _batch(out, _SENT_ARROW)
 
     return run
 
 
-def _repeated_anchors(hot: int):
-    """Of a bucket: ranges of windows whose anchor stands in several documents; hot anchors, without a doc_id."""
+def _several(anchor: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows sorted by anchor: where each anchor begins, its number of rows, whether they are of several documents."""
+    begins = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    least, most = np.minimum.reduceat(doc, begins), np.maximum.reduceat(doc, begins)
+    return begins, np.diff(np.append(begins, len(anchor))), least != most
+
+
+def _repeated_anchors(parts: int, hot: int):
+    """Of a bucket: ranges of windows whose anchor stands in several documents; hot anchors."""
 
     def run(table: pa.Table) -> pa.Table:
-        own = table.filter(table["doc_id"].is_null())
-        parts = [_unpack(body.as_py(), "u8", "i8", "i8", "i4", "i1")[0] for body in own["body"]]
-        out = []
-        if parts:
-            anchor, doc, copy, start, windows = map(np.concatenate, zip(*parts))
-            order = np.lexsort((doc, anchor))
-            anchor, doc, copy, start, windows = (x[order] for x in (anchor, doc, copy, start, windows))
-            begins = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            sizes = np.diff(np.append(begins, len(anchor)))
-            several = (doc[begins] != doc[begins + sizes - 1]) | np.logical_or.reduceat(windows == 0, begins)
-            times = np.add.reduceat(np.where(windows == 0, start, 1).astype(np.int64), begins)
+        own, out = _split(table)
+        if own:
+            columns = [_unpack(body, "u8", "i8", "i8", "i4", "i1")[0] for body in own]
+            anchor, doc, copy, start, windows = map(np.concatenate, zip(*columns))
+            order = np.argsort(anchor)
+            anchor, doc, start, windows = anchor[order], doc[order], start[order].astype(np.int64), windows[order]
+            begins, sizes, several = _several(anchor, doc)
+            several |= np.logical_or.reduceat(windows == 0, begins)
+            times = np.add.reduceat(np.where(windows == 0, start, 1), begins)
             inside = np.repeat(several, sizes) & (windows > 0)
-            out = _per_document(doc[inside], copy[inside], start[inside].astype(np.int64), windows[inside])
-            out += [(None, int(a), int(n).to_bytes(8, "big")) for a, n in zip(anchor[begins].view(np.int64), times) if n > hot]
-        told = table.filter(table["doc_id"].is_valid()).select(["doc_id", "copy", "body"]).cast(_KEPT_ARROW)
-        return pa.concat_tables([told, pa.Table.from_batches([_batch(out, _KEPT_ARROW)] if out else [], _KEPT_ARROW)])
+            told = _by_part(doc[inside], copy[order[inside]], start[inside], start[inside] + windows[inside], parts)
+            out += [(part, body, None, None) for part, body in told]
+            out += [(None, None, int(a), int(n)) for a, n in zip(anchor[begins].view(np.int64), times) if n > hot]
+        return _found(out)
 
     return run
 
 
-def _join_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All ranges of a document as one, with their total width."""
-    schema = pa.schema([*_KEPT_ARROW, ("width", pa.int64())])
-    for batch in batches:
-        out = []
-        for doc, copy, bodies in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "copy", "bodies"))):
-            parts = [_unpack(body, "i4", "i4")[0] for body in bodies]
-            start, end = map(np.concatenate, zip(*parts))
-            order = np.argsort(start, kind="stable")
-            start, end = _joined(start[order], end[order])
-            out.append((doc, copy, _pack(start, end), int((end - start).sum())))
-        if out:
-            yield _batch(out, schema)
-
-
 # --- step 2: equal windows among the strings of a bucket ----------------------------------------------
 
 
-def _send_strings(buckets: int, hot: np.ndarray):
+def _send_strings(buckets: int, parts: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in _texts(batches):
             ids, copies = _long(rows, "doc_id"), _long(rows, "copy")
             # the texts of the ranges, end to end: windows of a range need WINDOW - 1 bytes more
             begin, end, row = [], [], []
             for n, body in enumerate(rows.column("body")):
-                (a, b), _ = _unpack(body.as_py(), "i4", "i4")
+                a, b = _pairs(body.as_py())
                 begin.append(a)
                 end.append(b + WINDOW - 1)
                 row.append(np.full(len(a), n))
@@ -279,24 +320,24 @@ def _send_strings(buckets: int, hot: np.ndarray):
             bounds = np.concatenate(([0], np.cumsum(end - begin)))
             place = np.arange(bounds[-1]) + np.repeat(offsets[row] + begin - bounds[:-1], end - begin)
             data = data[place]
-            at, windows, key = runs(data, bounds)
+            at, windows, anchor, key = runs(data, bounds)
             if len(hot):
                 apart = np.isin(key, hot)
                 each = np.where(apart, windows, 1)
                 turn = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
                 single = np.repeat(apart, each)
-                at, key = np.repeat(at, each) + turn, np.repeat(key, each)
+                at, anchor, key = np.repeat(at, each) + turn, np.repeat(anchor, each), np.repeat(key, each)
                 windows = np.where(single, 1, np.repeat(windows, each))
                 key[single] = _hashes(data, WINDOW)[at[single]]
             of = np.searchsorted(bounds, at, "right") - 1
             row, start = row[of], at - bounds[of] + begin[of]
             size = windows + WINDOW - 1
-            yield from _strings(data, at, size, key, ids[row], copies[row], start, buckets)
+            yield from _strings(data, at, size, anchor - at, key, ids[row], copies[row], start, buckets, parts)
 
     return run
 
 
-def _strings(data, at, size, key, doc, copy, start, buckets) -> Iterator[pa.RecordBatch]:
+def _strings(data, at, size, shift, key, doc, copy, start, buckets, parts) -> Iterator[pa.RecordBatch]:
     """Rows of a chunk: strings of their smallest id to their buckets, ranges of larger ids past them."""
     whole = data.tobytes()
     smallest: dict[bytes, int] = {}
@@ -307,78 +348,88 @@ def _strings(data, at, size, key, doc, copy, start, buckets) -> Iterator[pa.Reco
             smallest[text] = number
     least = np.fromiter((smallest[text] for text in texts), np.int64, len(texts))
     gone = doc > least
-    out = [(abs(d) % buckets, d, c, body) for d, c, body in _per_document(doc[gone], copy[gone], start[gone], size[gone])]
+    told = _by_part(doc[gone], copy[gone], start[gone], (start + size)[gone], parts)
+    out = [(part % buckets, part, body) for part, body in told]
     stay = np.flatnonzero(~gone)
     stay = stay[np.argsort(_of(key[stay], buckets), kind="stable")]
     # a part of the hash that the bucket does not follow from tells the block
     part = (key[stay] & _U(255)).astype(np.uint8)
     for bucket, s in _groups(_of(key[stay], buckets)):
         some = stay[s]
-        plain = _pack(size[some].astype(np.uint8), part[s], doc[some], copy[some], start[some].astype(np.int32))
+        plain = _pack(size[some].astype(np.uint8), shift[some].astype(np.uint8), part[s], doc[some], copy[some], start[some].astype(np.int32))
         plain += b"".join(texts[i] for i in some.tolist())
         body = len(plain).to_bytes(8, "big") + pa.compress(plain, "zstd", asbytes=True)
-        out.append((int(bucket), None, None, body))
+        out.append((int(bucket), None, body))
     if out:
         yield _batch(out, _SENT_ARROW)
 
 
-def earlier_windows(texts: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of every string, the smallest owner of an equal window; and where each string's windows begin."""
+def earlier_windows(texts: list[bytes], shift: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every string, the smallest owner of an equal window; and where each string's windows begin.
+
+    ``shift`` is the place of a string's anchor.
+    """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    windows = np.maximum(lengths - WINDOW + 1, 0)
+    windows, column = lengths - WINDOW + 1, SLIDE - 1 - shift.astype(np.int64)
     begins = np.cumsum(windows) - windows
-    transform, common = build(np.frombuffer(b"".join(texts), np.uint8), lengths, WINDOW)
-    places = np.empty(windows.sum(), np.int64)
-    for length, (strings, at) in enumerate(suffix_places(transform, lengths)):
-        if length >= WINDOW:
-            places[begins[strings] + lengths[strings] - length] = at
-    held = np.full(len(transform), np.iinfo(np.int64).max)
-    held[places] = np.repeat(owner, windows)
-    # neighbours that share a window are one set
-    change = common < WINDOW
-    change[0] = True
-    least = np.minimum.reduceat(held, np.flatnonzero(change))
-    return least[np.cumsum(change)[places] - 1], begins
-
-
-def _repeated_windows(table: pa.Table) -> pa.Table:
+    least = np.empty(windows.sum(), np.int64)
+    layout = aligned(np.frombuffer(b"".join(texts), np.uint8), lengths, column, COLUMNS)
+    for at, order, common in rounds(layout, WINDOW):
+        turn = at - column[order]
+        asked = (turn >= 0) & (turn < windows[order])
+        if asked.any():
+            # neighbours that share a window are one set
+            change = common < WINDOW
+            change[0] = True
+            smallest = np.minimum.reduceat(owner[order], np.flatnonzero(change))
+            strings = order[asked]
+            least[begins[strings] + turn[asked]] = smallest[np.cumsum(change)[asked] - 1]
+    return least, begins
+
+
+def _repeated_windows(parts: int):
     """Of a bucket: byte ranges of the windows that stand in a document with a smaller id."""
-    told = table.filter(table["doc_id"].is_valid()).select(["doc_id", "copy", "body"]).cast(_KEPT_ARROW)
-    own = table.filter(table["doc_id"].is_null())
-    columns, texts = [], []
-    for body in own["body"]:
-        packed = body.as_py()
-        plain = pa.decompress(packed[8:], int.from_bytes(packed[:8], "big"), "zstd", asbytes=True)
-        found, rest = _unpack(plain, "u1", "u1", "i8", "i8", "i4")
-        ends = np.cumsum(found[0].astype(np.int64))
-        texts += [rest[a:b] for a, b in zip((ends - found[0]).tolist(), ends.tolist())]
-        columns.append(found)
-    out = []
-    if texts:
-        size, part, doc, copy, start = map(np.concatenate, zip(*columns))
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
-        # whole parts together until they hold a block's worth
-        block = np.unique(cuts // BLOCK, return_index=True)[1]
-        edges = np.append(cuts[block], len(order))
-        for a, b in zip(edges[:-1], edges[1:]):
-            some = order[a:b]
-            number: dict[bytes, int] = {}
-            which = np.fromiter((number.setdefault(texts[i], len(number)) for i in some.tolist()), np.int64, len(some))
-            owner = np.full(len(number), np.iinfo(np.int64).max)
-            np.minimum.at(owner, which, doc[some])
-            least, begins = earlier_windows(list(number), owner)
-            windows = size[some].astype(np.int64) - WINDOW + 1
-            turn = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-            of = np.repeat(np.arange(len(some)), windows)
-            gone = least[begins[which][of] + turn] < doc[some][of]
-            rows = some[of[gone]]
-            out.append((doc[rows], copy[rows], start[rows].astype(np.int64) + turn[gone]))
-    kept = []
-    if out:
-        doc, copy, at = map(np.concatenate, zip(*out))
-        kept = _per_document(doc, copy, at, np.full(len(at), WINDOW))
-    return pa.concat_tables([told, pa.Table.from_batches([_batch(kept, _KEPT_ARROW)] if kept else [], _KEPT_ARROW)])
+
+    def run(table: pa.Table) -> pa.Table:
+        own, out = _split(table)
+        columns, texts, gone = [], [], []
+        for packed in own:
+            plain = pa.decompress(packed[8:], int.from_bytes(packed[:8], "big"), "zstd", asbytes=True)
+            found, rest = _unpack(plain, "u1", "u1", "u1", "i8", "i8", "i4")
+            ends = np.cumsum(found[0].astype(np.int64))
+            texts += [rest[a:b] for a, b in zip((ends - found[0]).tolist(), ends.tolist())]
+            columns.append(found)
+        if texts:
+            size, shift, part, doc, copy, start = map(np.concatenate, zip(*columns))
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
+            # whole parts of the hash together until they hold a block's worth
+            edges = np.append(cuts[np.unique(cuts // BLOCK, return_index=True)[1]], len(order))
+            for a, b in zip(edges[:-1], edges[1:]):
+                some = order[a:b]
+                row, at = _later(texts, some, size[some].astype(np.int64), shift[some], doc[some])
+                gone.append((doc[some[row]], copy[some[row]], start[some[row]].astype(np.int64) + at))
+            doc, copy, start = map(np.concatenate, zip(*gone))
+            out += [(*told, None, None) for told in _by_part(doc, copy, start, start + WINDOW, parts)]
+        return _found(out)
+
+    return run
+
+
+def _later(texts: list[bytes], some: np.ndarray, size: np.ndarray, shift: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's rows: the row and the place in its string of each window that a smaller id has."""
+    number: dict[bytes, int] = {}
+    which = np.fromiter((number.setdefault(texts[i], len(number)) for i in some.tolist()), np.int64, len(some))
+    owner = np.full(len(number), np.iinfo(np.int64).max)
+    np.minimum.at(owner, which, doc)
+    place = np.empty(len(number), np.uint8)
+    place[which] = shift  # equal strings have their anchor in one place
+    least, begins = earlier_windows(list(number), place, owner)
+    windows = size - WINDOW + 1
+    turn = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    row = np.repeat(np.arange(len(some)), windows)
+    gone = least[begins[which][row] + turn] < doc[row]
+    return row[gone], turn[gone]
 
 
 # --- what is left ---------------------------------------------------------------------------------------
@@ -388,7 +439,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc, text, body in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("body").to_pylist()):
-            start, end = _unpack(body, "i4", "i4")[0] if body else (np.zeros(0, np.int32),) * 2
+            start, end = _pairs(body or b"")
             left = [text[a:b] for a, b in zip([0, *end.tolist()], [*start.tolist(), len(text)])]
             kept = b"".join(left)
             spans = [{"begin": a, "end": b} for a, b in zip(start.tolist(), end.tolist())]
@@ -413,9 +464,21 @@ _CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 str
 
 def _hottest(found: DataFrame) -> np.ndarray:
     """Anchors with the most runs, at most ``HOT_ANCHORS`` of them."""
-    runs_of = F.conv(F.hex("body"), 16, 10).cast("long")
-    top = found.filter("doc_id is null").groupBy("copy").agg(F.sum(runs_of).alias("runs")).orderBy(F.desc("runs"), "copy")
-    return np.array([r["copy"] for r in top.limit(HOT_ANCHORS).collect()], np.int64).view(_U)
+    top = found.filter("anchor is not null").groupBy("anchor").agg(F.sum("runs").alias("runs")).orderBy(F.desc("runs"), "anchor")
+    return np.array([r["anchor"] for r in top.limit(HOT_ANCHORS).collect()], np.int64).view(_U)
+
+
+def _per_row(found: DataFrame, label: str, area: StagingArea) -> DataFrame:
+    """Staged: one row per document with all its ranges."""
+    together = found.filter("part is not null").select("part", "body").groupBy("part")
+    return stage(together.applyInArrow(_join_part, _ROWS), label, area)
+
+
+def _beside(ranges: DataFrame) -> DataFrame:
+    """Ranges marked for a join with the texts: to every task while they are few and small, merged beyond."""
+    rows, size = ranges.agg(F.count("*"), F.sum(F.length("body"))).first()
+    small = rows <= BROADCAST_KEYS and (size or 0) <= BROADCAST_BYTES
+    return F.broadcast(ranges) if small else ranges.hint("merge")
 
 
 def remove_repeats(docs: DataFrame, area: StagingArea, hot: int = HOT_RUNS) -> DataFrame:
@@ -429,17 +492,12 @@ def remove_repeats(docs: DataFrame, area: StagingArea, hot: int = HOT_RUNS) -> D
     )
     long = docs.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= WINDOW))
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    sent = long.mapInArrow(_send_anchors(total // BYTES_PER_BUCKET + 1), _SENT)
-    found = stage(sent.groupBy("bucket").applyInArrow(_repeated_anchors(hot), _KEPT), "anchors", area)
-    ranges = _per_row(found.filter("doc_id is not null"), "ranges", area)
+    parts = total // BYTES_PER_PART + 1
+    sent = long.mapInArrow(_send_anchors(total // BYTES_PER_BUCKET + 1, parts), _SENT)
+    found = stage(sent.groupBy("bucket").applyInArrow(_repeated_anchors(parts, hot), _FOUND), "anchors", area)
+    ranges = _per_row(found, "ranges", area)
     width = ranges.agg(F.sum("width")).first()[0] or 0
-    taken = long.join(bounded(ranges), ["doc_id", "copy"]).select("doc_id", "copy", "text", "body")
-    strings = taken.mapInArrow(_send_strings(width // WINDOWS_PER_BUCKET + 1, _hottest(found)), _SENT)
-    spans = _per_row(strings.groupBy("bucket").applyInArrow(_repeated_windows, _KEPT), "spans", area)
-    return docs.join(bounded(spans), ["doc_id", "copy"], "left").select("doc_id", "text", "body").mapInArrow(_cut, _CUT)
-
-
-def _per_row(ranges: DataFrame, label: str, area: StagingArea) -> DataFrame:
-    """Staged: one row per document with all its ranges."""
-    together = ranges.groupBy("doc_id", "copy").agg(F.collect_list("body").alias("bodies"))
-    return stage(together.mapInArrow(_join_ranges, f"{_KEPT}, width long"), label, area)
+    taken = long.join(_beside(ranges.drop("width")), ["doc_id", "copy"]).select("doc_id", "copy", "text", "body")
+    strings = taken.mapInArrow(_send_strings(width // WINDOWS_PER_BUCKET + 1, parts, _hottest(found)), _SENT)
+    spans = _per_row(strings.groupBy("bucket").applyInArrow(_repeated_windows(parts), _FOUND), "spans", area)
+    return docs.join(_beside(spans.drop("width")), ["doc_id", "copy"], "left").select("doc_id", "text", "body").mapInArrow(_cut, _CUT)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from codetide.llm import suffix_dedup
-from codetide.llm.column_bwt import build, suffix_places
+from codetide.llm.column_bwt import aligned, rounds
 from codetide.llm.common import table
 from codetide.session import StagingArea
 
@@ -49,20 +49,21 @@ def area(spark):
     made.release()
 
 
-def test_transform_is_that_of_the_sorted_suffixes():
+def test_rounds_sort_the_suffixes_of_every_column():
     some = random.Random(3)
-    for _ in range(60):
-        strings = [bytes(some.choices(b"abc"[: some.randint(1, 3)], k=some.randint(0, 40))) for _ in range(some.randint(1, 9))]
+    for _ in range(80):
+        strings = [bytes(some.choices(b"abc"[: some.randint(1, 3)], k=some.randint(0, 40))) for _ in range(some.randint(1, 30))]
+        begins = np.array([some.randint(0, 12) for _ in strings])
         lengths, cap = np.array([len(s) for s in strings]), some.randint(2, 25)
-        transform, common = build(np.frombuffer(b"".join(strings), np.uint8), lengths, cap)
-        ends = [(s[at:], n, at) for n, s in enumerate(strings) for at in range(len(s) + 1)]
-        # the end of a string sorts before all bytes, and before the ends of later strings
-        ends.sort(key=lambda e: ([b + 1 for b in e[0]] + [0], e[1]))
-        assert transform.tolist() == [strings[n][at - 1] + 1 if at else 0 for _, n, at in ends]
-        shared = [0] + [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for (a, _, _), (b, _, _) in zip(ends, ends[1:])]
-        assert common.tolist() == [min(n, cap) for n in shared]
-        for length, (owners, places) in enumerate(suffix_places(transform, lengths)):
-            assert all(ends[p][1] == n and len(ends[p][0]) == length for n, p in zip(owners, places))
+        layout = aligned(np.frombuffer(b"".join(strings), np.uint8), lengths, begins, 60)
+        for column, order, common in rounds(layout, cap):
+            # a string without a symbol in a column sorts before those with one
+            rest = [[0] * max(begins[n] - column, 0) + [b + 1 for b in s[max(column - begins[n], 0) :]] for n, s in enumerate(strings)]
+            rest = [r + [0] * (60 - column - len(r)) for r in rest]
+            assert sorted(order.tolist()) == list(range(len(strings)))
+            assert [rest[n] for n in order] == sorted(rest)
+            shared = [next((i for i, (x, y) in enumerate(zip(a, b)) if x != y or x == 0), len(a)) for a, b in zip([rest[n] for n in order], [rest[n] for n in order[1:]])]
+            assert common.tolist() == [0] + [min(n, cap) for n in shared]
 
 
 def odd_rows():
@@ -92,16 +93,21 @@ def test_many_small_buckets_and_blocks(spark, area, monkeypatch):
     assert found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), area) == brute(rows)
 
 
-def test_small_blocks():
+def test_windows_of_a_block():
     texts = [t.encode() for _, t in odd_rows() if t and len(t) < 3000]
-    texts = sorted({t[at : at + 70] for t in texts for at in range(0, len(t) - 70, 7)})
-    owner = np.random.default_rng(2).integers(0, 50, len(texts))
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    at, windows, anchor, _ = suffix_dedup.runs(data, offsets)
+    # every window is in one run, with an anchor that the window's own bytes tell
+    assert sum(windows) == sum(max(len(t) - W + 1, 0) for t in texts) and windows.max() <= suffix_dedup.SLIDE
+    strings = sorted({(data[a : a + n + W - 1].tobytes(), int(p - a)) for a, n, p in zip(at, windows, anchor)})
+    assert len({t for t, _ in strings}) == len(strings)
+    owner = np.random.default_rng(2).integers(0, 50, len(strings))
     first = {}
-    for t, o in zip(texts, owner):
-        for at in range(len(t) - W + 1):
-            first[t[at : at + W]] = min(first.get(t[at : at + W], o), o)
-    least, begins = suffix_dedup.earlier_windows(texts, owner)
-    assert least.tolist() == [first[t[at : at + W]] for t in texts for at in range(len(t) - W + 1)]
+    for (t, _), o in zip(strings, owner):
+        for place in range(len(t) - W + 1):
+            first[t[place : place + W]] = min(first.get(t[place : place + W], o), o)
+    least, begins = suffix_dedup.earlier_windows([t for t, _ in strings], np.array([p for _, p in strings]), owner)
+    assert least.tolist() == [first[t[place : place + W]] for t, _ in strings for place in range(len(t) - W + 1)]
 
 
 def test_given_documents(spark, area):

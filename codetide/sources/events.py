@@ -8,9 +8,12 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from codetide import contract
 from codetide.operators.changelog import message_value
+from codetide.sources.files import address, file_path, rename, tree
 
 # what puts the events of a key in order, with types; carried beside topic and key
 ORDER_FIELDS = {"run_id": "bigint", "phase": "int"}
+# where a message comes from: file and start of the block it was read in, or the broker's partition and offset
+SOURCE_FIELDS = {"source": "string", "block": "bigint", "source_offset": "bigint"}
 
 ENVELOPE_SCHEMA = T.StructType(
     [
@@ -21,12 +24,43 @@ ENVELOPE_SCHEMA = T.StructType(
 )
 
 
-def read_landing(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Stream of envelope lines from a folder.  A revision must land as a new file."""
+def read_landing(spark: SparkSession, path: str, max_files: int | None = None, archive: str | None = None) -> DataFrame:
+    """Stream of envelope lines from a folder, with their file and block.  A revision must land as a new file.
+
+    ``archive`` names a folder outside ``path`` that consumed files are moved to, below their own path, so
+    that each trigger lists what has not been consumed yet; ``sweep`` moves the ones that a stopped query left.
+    """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(path)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return _with_place(reader.load(path))
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The same lines as an ordinary table: to write a batch again, or to look into a file."""
+    return _with_place(spark.read.option("recursiveFileLookup", "true").text(path))
+
+
+def _with_place(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_block_start").alias("block"))
+
+
+def sweep(spark: SparkSession, landing: str, archive: str, consumed: DataFrame) -> int:
+    """Move files of the landing folder that a log has consumed to the archive, as its reader does; returns how many.
+
+    ``consumed`` has their paths in ``source``.  Only what still lies there is listed and looked up.
+    """
+    left = tree(spark, landing)
+    if not left:
+        return 0
+    there = spark.createDataFrame([(path, address(spark, path)) for path in left], "path string, source string")
+    reported = consumed.select(F.regexp_replace("source", "^([^:/]+):///+", "$1:/").alias("source"))
+    done = [r["path"] for r in there.join(reported, "source", "left_semi").collect()]
+    for path in done:
+        rename(spark, path, archive.rstrip("/") + file_path(spark, path))
+    return len(done)
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest") -> DataFrame:
@@ -42,20 +76,22 @@ def read_kafka(spark: SparkSession, servers: str, topics: list[str], starting: s
     header = lambda name: F.get(F.filter("headers", lambda h: h["key"] == name), F.lit(0))["value"].cast("string")
     return source.select("topic", F.col("key").cast("string"), F.col("value").cast("string"),
                          *[header(name).try_cast(kind).alias(name) for name, kind in ORDER_FIELDS.items()],
-                         F.col("partition").alias("source_partition"), F.col("offset").alias("source_offset"))
+                         F.concat_ws("/", "topic", F.col("partition").cast("string")).alias("source"),
+                         F.col("offset").alias("source_offset"))
 
 
 def open_envelopes(lines: DataFrame, column: str = "value", extra: dict[str, str] | None = None) -> DataFrame:
     """Envelope text to (topic, key, value); ``value`` stays JSON text.
 
     ``extra`` names further top-level fields, with their types; left out, the
-    order fields that ``write_lines`` puts there.
+    order fields that ``write_lines`` puts there.  The source fields of ``lines`` come along.
     """
     text = F.col(column).cast("string")
     extra = ORDER_FIELDS if extra is None else extra
     return lines.select(
         *[F.get_json_object(text, f"$.{name}").alias(name) for name in ("topic", "key", "value")],
         *[F.get_json_object(text, f"$.{name}").try_cast(kind).alias(name) for name, kind in extra.items()],
+        *[name for name in SOURCE_FIELDS if name in lines.columns],
     )
 
 
@@ -63,11 +99,11 @@ def decode(messages: DataFrame, schema: T.StructType, column: str = "value") ->
     """JSON text or bytes to the columns of ``schema``.
 
     Unknown fields are dropped, a wrong-typed field becomes null, a malformed
-    message becomes a row of nulls.
+    message becomes a row of nulls.  A field takes the place of a column of its name.
     """
     parsed = F.from_json(F.col(column).cast("string"), schema)
     return messages.withColumn("data", parsed).select(
-        *[c for c in messages.columns if c != column or column not in schema.names], "data.*"
+        *[c for c in messages.columns if c not in schema.names], "data.*"
     )
 
 

@@ -1,109 +1,24 @@
-"""Message stream to log to views.
+"""Views over the message log.
 
-Each micro-batch is written to its own folder of an append-only log, overwriting
-whatever an interrupted attempt left there; that one write carries good and bad
-messages alike, parted by ``topic``.  Views are folds over the log: batch folders
-not yet compacted plus the last snapshot.  A micro-batch therefore costs what
-arrived, however large the view has grown.
+Views are folds over the log: batch folders not yet compacted plus the last
+snapshot.  A micro-batch therefore costs what arrived, however large the view has
+grown, and so does a snapshot: it is parted by buckets of ids, and a compaction
+merges the buckets that arrivals touch and leaves the files of all others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.query import StreamingQuery
 
 from codetide import contract
 from codetide.operators import fold
-from codetide.sources.events import ORDER_FIELDS, bad_message_reason, decode, missing_field
+from codetide.session import StagingArea, stage
+from codetide.sources.events import ORDER_FIELDS, decode
 from codetide.sources.files import delete, exists, names
+from codetide.streaming.log import REQUIRED_FIELDS, MessageLog, start_log, stop
 
-
-class MessageLog:
-    """Batches of (topic, key, value, order fields) messages under one folder."""
-
-    def __init__(self, spark: SparkSession, root: str, extra: dict[str, str] | None = None) -> None:
-        self.spark = spark
-        self.root = root.rstrip("/")
-        fields = {"key": "string", "value": "string", "reason": "string", **(ORDER_FIELDS if extra is None else extra)}
-        self.columns = list(fields)
-        self.schema = ", ".join(f"{name} {kind}" for name, kind in fields.items())
-
-    def write_batch(self, messages: DataFrame, batch_id: int) -> None:
-        # a message of no topic at all still has to land somewhere
-        topic = F.when(F.col("reason").isNotNull(), contract.DEAD_LETTER_TOPIC).otherwise(F.col("topic"))
-        rows = messages.select(*self.columns, topic.alias("topic"), F.col("topic").alias("source_topic"))
-        rows.write.mode("overwrite").partitionBy("topic").parquet(f"{self.root}/batch_id={batch_id}")
-
-    def read(self, topics: list[str] | None = None, after_batch: int | None = None) -> DataFrame:
-        schema = f"{self.schema}, source_topic string, batch_id bigint, topic string"
-        if not exists(self.spark, self.root):
-            return self.spark.createDataFrame([], schema)
-        log = self.spark.read.schema(schema).parquet(self.root)
-        if topics:
-            log = log.filter(F.col("topic").isin(*topics))
-        return log if after_batch is None else log.filter(F.col("batch_id") > after_batch)
-
-    def expire(self, up_to_batch: int) -> list[int]:
-        """Delete batches that a snapshot covers, dead letters too; returns the ones that went.
-
-        Reading lists the folders that are left, so its cost follows what arrived since the snapshot.
-        """
-        found = [int(n.split("=")[1]) for n in names(self.spark, self.root) if n.startswith("batch_id=")]
-        gone = sorted(b for b in found if b <= up_to_batch)
-        for batch in gone:
-            delete(self.spark, f"{self.root}/batch_id={batch}")
-        return gone
-
-    def dead_letters(self) -> DataFrame:
-        return self.read([contract.DEAD_LETTER_TOPIC])
-
-
-def start_log(
-    messages: DataFrame,
-    log: MessageLog,
-    checkpoint: str,
-    *,
-    required: dict[str, dict[str, list[str]]] | None = None,
-    reason: Column | None = None,
-    once: bool = False,
-    interval: str | None = None,
-    name: str | None = None,
-) -> StreamingQuery:
-    """Stream ``messages(topic, key, value)`` into ``log``.
-
-    ``required`` names, per topic and event type, the fields an event cannot do
-    without; left out, those of the contract.
-    """
-    value = F.col("value")
-    if reason is None:
-        fields = missing_field(F.col("topic"), value, REQUIRED_FIELDS if required is None else required)
-        reason = F.when(F.col("topic").isNull(), F.lit("no topic")).otherwise(
-            F.coalesce(bad_message_reason(value, F.lit("")), fields)
-        )
-    tagged = messages.withColumn("reason", reason)
-    writer = tagged.writeStream.foreachBatch(log.write_batch).option("checkpointLocation", checkpoint)
-    if name:
-        writer = writer.queryName(name)
-    if once:
-        writer = writer.trigger(availableNow=True)
-    elif interval:
-        writer = writer.trigger(processingTime=interval)
-    return writer.start()
-
-
-# per topic and event type; an edge cannot be stored without both ends
-REQUIRED_FIELDS = {
-    contract.NODE_TOPIC: {"*": ["node_id"]},
-    contract.EDGE_TOPIC: {"*": ["edge_id"], contract.EDGE_UPSERT: ["src_node_id", "dst_node_id"]},
-    contract.METADATA_TOPIC: {"*": ["file_path"]},
-    contract.ERROR_TOPIC: {"*": ["file_path"]},
-}
-
-
-def stop(query: StreamingQuery) -> None:
-    """Stop after the batch in hand; the checkpoint makes the next start resume."""
-    query.stop()
+__all__ = ["REQUIRED_FIELDS", "MessageLog", "start_log", "stop"]
 
 
 def document_rows(
@@ -129,53 +44,125 @@ def graph_events(messages: DataFrame, order: list[str]) -> tuple[DataFrame, Data
 
 
 class _Snapshots:
-    """Numbered tables under one folder; a pointer row, written last, makes one current."""
+    """Tables parted by buckets of ids; a pointer per table and bucket, written last, makes its files current.
+
+    A compaction writes new files for the buckets that arrivals touch and points to them; the
+    other buckets keep their files and pointers.
+    """
+
+    # table -> the columns that identify its rows; the first one gives the bucket
+    KEYS: dict[str, list[str]] = {}
 
-    def __init__(self, spark: SparkSession, root: str, order: list[str] | None = None) -> None:
+    def __init__(self, spark: SparkSession, root: str, order: list[str] | None = None, buckets: int = 16) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.order = list(ORDER_FIELDS) if order is None else order
+        self._wanted = buckets
 
-    def latest(self) -> int | None:
-        """Batch of the last complete snapshot."""
-        path = f"{self.root}/pointers"
-        if not exists(self.spark, path):
-            return None
-        row = self.spark.read.schema("batch bigint").parquet(path).agg(F.max("batch")).first()
-        return row[0]
+    @property
+    def buckets(self) -> int:
+        """As stored by the first compaction."""
+        path = f"{self.root}/layout"
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            layout = self.spark.range(1).select(F.lit(self._wanted).alias("buckets"))
+            layout.coalesce(1).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("buckets int").parquet(path).first()[0]
 
-    def _write(self, tables: dict[str, DataFrame], batch: int) -> None:
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{name}/at={batch}")
-        self.spark.range(1).select(F.lit(batch).cast("bigint").alias("batch")).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/pointers")
+    def _bucket(self, table: str) -> Column:
+        return F.pmod(F.xxhash64(self.KEYS[table][0]), F.lit(self.buckets)).cast("int")
 
-    def _read(self, name: str, schema: T.StructType, batch: int) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/at={batch}")
+    def _pointers(self) -> DataFrame:
+        path = f"{self.root}/pointers"
+        schema = "name string, bucket int, batch bigint"
+        return self.spark.read.schema(schema).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], schema)
+
+    def latest(self) -> int | None:
+        """Batch of the last complete compaction."""
+        return self._pointers().agg(F.max("batch")).first()[0]
+
+    def current(self) -> dict[str, dict[int, int]]:
+        """Per table and bucket, the batch whose files hold it: at most tables times buckets."""
+        last = self._pointers().filter("name is not null").groupBy("name", "bucket").agg(F.max("batch").alias("batch"))
+        found: dict[str, dict[int, int]] = {}
+        for r in last.collect():
+            found.setdefault(r["name"], {})[r["bucket"]] = r["batch"]
+        return found
+
+    def _folder(self, table: str, bucket: int, batch: int) -> str:
+        return f"{self.root}/{table}/at={batch}/bucket={bucket}"
+
+    def _read(self, table: str, schema: T.StructType, only: list[int] | None = None) -> DataFrame | None:
+        """The stored rows of all buckets or of some; none if there are none."""
+        held = self.current().get(table, {})
+        paths = [self._folder(table, k, at) for k, at in sorted(held.items()) if only is None or k in only]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+
+    def _merge(self, table: str, fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
+        raise NotImplementedError
+
+    def _fresh(self, log: MessageLog | _Until) -> dict[str, DataFrame]:
+        """What arrived since the last compaction, one frame per table."""
+        raise NotImplementedError
+
+    def _tables(self, log: MessageLog) -> dict[str, DataFrame]:
+        """The whole tables as of now: stored rows merged with what arrived since."""
+        return {name: self._merge(name, fresh, self._read(name, fresh.schema)) for name, fresh in self._fresh(log).items()}
+
+    def compact(self, log: MessageLog, batch: int) -> dict[str, list[int]]:
+        """Merge what arrived up to ``batch`` into the buckets it touches, then point to them; returns those buckets."""
+        previous = self.latest()
+        if previous is not None and previous >= batch:
+            return {}
+        area = StagingArea(self.spark)
+        touched: dict[str, list[int]] = {}
+        for name, rows in self._fresh(_Until(log, batch)).items():
+            fresh = stage(rows, name, area)
+            touched[name] = sorted(r[0] for r in fresh.select(self._bucket(name)).distinct().collect())
+            if touched[name]:
+                merged = self._merge(name, fresh, self._read(name, fresh.schema, touched[name]))
+                parted = merged.withColumn("bucket", self._bucket(name)).hint("rebalance", "bucket")
+                parted.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/{name}/at={batch}")
+        # the row without a name says that the batch is in, even if it touched nothing
+        rows = [(name, k, batch) for name, buckets in touched.items() for k in buckets] + [(None, None, batch)]
+        pointers = self.spark.createDataFrame(rows, "name string, bucket int, batch bigint")
+        pointers.coalesce(1).write.mode("append").parquet(f"{self.root}/pointers")
+        area.release()
+        return touched
+
+    def vacuum(self) -> list[str]:
+        """Delete files that no pointer names any more; views made before must have been read."""
+        held, gone = self.current(), []
+        for table in self.KEYS:
+            for at in names(self.spark, f"{self.root}/{table}"):
+                for bucket in names(self.spark, f"{self.root}/{table}/{at}"):
+                    if bucket.startswith("bucket="):
+                        batch, number = int(at.split("=")[1]), int(bucket.split("=")[1])
+                        if held.get(table, {}).get(number, batch) > batch:
+                            gone.append(self._folder(table, number, batch))
+                            delete(self.spark, gone[-1])
+        return gone
 
 
 class DocumentSnapshots(_Snapshots):
     """The stored document view: replaced by key with what arrived since."""
 
+    KEYS = {"documents": ["_id"]}
+
     def __init__(self, spark: SparkSession, root: str, order: list[str] | None = None, topic: str = contract.METADATA_TOPIC,
-                 schema: T.StructType = contract.METADATA_SCHEMA, key: str = "file_path") -> None:
-        super().__init__(spark, root, order)
+                 schema: T.StructType = contract.METADATA_SCHEMA, key: str = "file_path", buckets: int = 16) -> None:
+        super().__init__(spark, root, order, buckets)
         self.topic, self.schema, self.key = topic, schema, key
 
+    def _fresh(self, log: MessageLog | _Until) -> dict[str, DataFrame]:
+        rows = document_rows(log.read([self.topic], self.latest()).select("value", *self.order), self.schema, self.key)
+        return {"documents": document_view(rows, self.order, self.schema.names)}
+
+    def _merge(self, table: str, fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
+        # arrivals are down to one row per document already, and all beat what is stored
+        return fold.replace_documents(stored, fresh.withColumn("rank", F.lit(0)), "_id", ["rank"], self.schema.names)
+
     def view(self, log: MessageLog) -> DataFrame:
-        at = self.latest()
-        rows = document_rows(log.read([self.topic], at).select("value", *self.order), self.schema, self.key)
-        keep = self.schema.names
-        stored = None
-        if at is not None:
-            stored = self._read("documents", document_view(rows, self.order, keep).schema, at)
-        return document_view(rows, self.order, keep, stored)
-
-    def compact(self, log: MessageLog, batch: int) -> None:
-        previous = self.latest()
-        if previous is None or previous < batch:
-            self._write({"documents": self.view(_Until(log, batch))}, batch)
+        return self._tables(log)["documents"]
 
 
 class GraphSnapshots(_Snapshots):
@@ -185,35 +172,26 @@ class GraphSnapshots(_Snapshots):
     the same result as folding everything, late events included.
     """
 
-    PARTS = ("nodes", "edges", "properties")
+    KEYS = {"nodes": ["node_id"], "edges": ["edge_id"], "properties": ["node_id", "property"]}
     MERGE = {
         "nodes": fold.merge_node_accumulators,
         "edges": fold.merge_edge_accumulators,
         "properties": fold.merge_property_accumulators,
     }
 
-    def accumulators(self, log: MessageLog) -> dict[str, DataFrame]:
-        at = self.latest()
-        nodes, edges = graph_events(log.read([contract.NODE_TOPIC, contract.EDGE_TOPIC], at), self.order)
-        fresh = {
+    def _fresh(self, log: MessageLog | _Until) -> dict[str, DataFrame]:
+        nodes, edges = graph_events(log.read([contract.NODE_TOPIC, contract.EDGE_TOPIC], self.latest()), self.order)
+        return {
             "nodes": fold.node_accumulators(nodes, edges, self.order),
             "edges": fold.edge_accumulators(edges, self.order),
             "properties": fold.property_accumulators(nodes, self.order),
         }
-        if at is None:
-            return fresh
-        return {
-            part: self.MERGE[part](
-                fresh[part].unionByName(self._read(part, fresh[part].schema, at))
-            )
-            for part in self.PARTS
-        }
 
-    def compact(self, log: MessageLog, batch: int) -> None:
-        """Fold everything up to ``batch`` into a new snapshot, then point to it."""
-        previous = self.latest()
-        if previous is None or previous < batch:
-            self._write(self.accumulators(_Until(log, batch)), batch)
+    def _merge(self, table: str, fresh: DataFrame, stored: DataFrame | None) -> DataFrame:
+        return fresh if stored is None else self.MERGE[table](fresh.unionByName(stored))
+
+    def accumulators(self, log: MessageLog) -> dict[str, DataFrame]:
+        return self._tables(log)
 
     def view(self, log: MessageLog) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Current nodes, edges and properties."""

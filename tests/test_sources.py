@@ -10,7 +10,7 @@ from codetide import contract
 from codetide.functions import ids, paths, symbols, text
 from codetide.operators import discovery
 from codetide.operators.checks import missing_topics
-from codetide.sources.corpus import check_paths, first_files, list_corpus, one_file, read_corpus, read_files, read_manifest, restrict, select_files
+from codetide.sources.corpus import check_paths, first_files, list_corpus, one_file, read_corpus, read_files, read_manifest, read_manifest_table, restrict, select_files, write_manifest
 from codetide.sources.events import bad_message_reason, decode
 
 
@@ -62,6 +62,52 @@ def test_corpus_scan_manifest_and_discovery(spark, tmp_path):
             read_manifest(spark, str(manifest))
 
 
+def test_manifest_as_a_table(spark, tmp_path):
+    """Written by many tasks, of several repositories, chosen from before anything is read."""
+    kept = spark.range(0, 300, 1, 5).select(
+        F.when(F.col("id") % 2 == 0, "one").otherwise("two").alias("repository"), F.concat(F.lit("d/f"), "id", F.lit(".py")).alias("file_path"), F.lit(1).alias("other"))
+    write_manifest(kept, str(tmp_path / "manifest"))
+    manifest = read_manifest_table(spark, str(tmp_path / "manifest"))
+    assert manifest.columns == ["repository", "file_path"] and manifest.count() == 300
+    listing = spark.createDataFrame([("one", "d/f2.py", "/x", 1, None), ("two", "d/f2.py", "/y", 1, None)],
+                                    "repository string, file_path string, path string, size long, modified timestamp")
+    found = {(r["repository"], r["file_path"]): r["path"] for r in select_files(listing, manifest, "/").collect()}
+    assert len(found) == 300 and found["one", "d/f2.py"] == "/x" and ("two", "d/f2.py") not in found
+    with pytest.raises(ValueError):
+        write_manifest(kept.select(F.lit(1).alias("file_path")), str(tmp_path / "bad"))
+        read_manifest_table(spark, str(tmp_path / "bad"))
+    write_manifest(kept.select(F.lit(None).cast("string").alias("file_path")), str(tmp_path / "none"))
+    with pytest.raises(ValueError):
+        read_manifest_table(spark, str(tmp_path / "none"))
+
+
+def test_a_folder_of_any_size_is_listed_in_little_memory(tmp_path, monkeypatch):
+    import gc
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from codetide.sources import corpus as source
+
+    root = tmp_path / "flat"
+    root.mkdir()
+    (root / "below").mkdir()
+    for i in range(40_000):
+        os.close(os.open(f"{root}/a_rather_long_file_name_{i:06d}.{'py' if i % 4 else 'txt'}", os.O_CREAT))
+    monkeypatch.setattr(source, "LISTED_AT_ONCE", 1000)
+    monkeypatch.setattr(source, "LISTED_PER_TASK", 10)
+    gc.collect()
+    tracemalloc.start()
+    files, folders = 0, []
+    for batch in source._list(str(root), "r", ".py")(iter([pa.RecordBatch.from_pydict({"path": [str(root)]})])):
+        files += batch.num_rows - batch.column(1).null_count
+        folders += [p for p, f in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()) if f is None]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert files == 30_000 and folders == [f"{root}/below"]
+    assert peak < 3 << 20  # one name in a list costs about a hundred bytes, thirty thousand of them more than that
+
+
 def test_unreadable_files_become_read_errors(spark, tmp_path):
     from codetide.plans.extract import extract
 

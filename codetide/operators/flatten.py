@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import ast
 import hashlib
+import itertools
 import json
 import sys
 import time
@@ -105,6 +106,8 @@ SCHEMA = T.StructType(
 # Executors get this one module inside the task, so they need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# every row has every column, in this order: a batch of rows is turned into columns as it stands
+_BLANK = dict.fromkeys(SCHEMA.names)
 _FIELDLESS: dict[str, str] = {}  # hashes of kinds without fields, such as Load()
 _DEFS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.ClassDef)
 _FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.Lambda)
@@ -146,15 +149,83 @@ def dotted_name(expr: ast.AST) -> str:
     return name
 
 
+class _Kind:
+    """What a walk has to know about a syntax class, looked up once per class."""
+
+    def __init__(self, of: type) -> None:
+        self.name = of.__name__
+        self.is_stmt = issubclass(of, ast.stmt)
+        self.in_block = issubclass(of, (ast.stmt, ast.ExceptHandler))
+        self.is_def = issubclass(of, _DEFS)
+        self.is_lambda = issubclass(of, ast.Lambda)
+        self.is_owner = issubclass(of, (*_FUNCTIONS, ast.Module))
+        self.is_scope = issubclass(of, (*_DEFS, ast.Module))
+        self.has_place = "lineno" in of._attributes
+        self.is_shaped = of not in (ast.Constant, ast.Module)
+        # fields, and whether a dump leaves them out when they are None
+        self.fields = [(name, getattr(of, name, ...) is None) for name in of._fields]
+        self.is_leaf = not of._fields and not self.is_stmt
+        self.identify = next((f for c, f in _IDENTITIES.items() if issubclass(of, c)), None)
+
+
+def _of_def(node, row: dict) -> None:
+    row["ident"] = node.name
+    row["decorators"] = [dotted_name(d) for d in node.decorator_list]
+
+
+def _of_name(node, row: dict) -> None:
+    row["ident"], row["ctx"] = node.id, type(node.ctx).__name__
+
+
+def _of_arg(node, row: dict) -> None:
+    row["ident"] = node.arg
+
+
+def _of_attribute(node, row: dict) -> None:
+    row["ident"] = node.attr
+
+
+def _of_alias(node, row: dict) -> None:
+    row["ident"], row["asname"] = node.name, node.asname
+
+
+def _of_constant(node, row: dict) -> None:
+    row["value_type"] = type(node.value).__name__
+    row["value_preview"] = repr(node.value)[:PREVIEW_WIDTH]
+
+
+def _of_call(node, row: dict) -> None:
+    row["callee"] = dotted_name(node.func)
+
+
+def _of_import(node, row: dict) -> None:
+    row["imports"] = [{"name": a.name, "asname": a.asname} for a in node.names]
+
+
+_IDENTITIES = {
+    _DEFS: _of_def, ast.Name: _of_name, ast.arg: _of_arg, ast.Attribute: _of_attribute, ast.alias: _of_alias,
+    ast.Constant: _of_constant, ast.Call: _of_call, (ast.Import, ast.ImportFrom): _of_import,
+}
+_KINDS: dict[type, _Kind] = {}
+
+
+def _kind(node: ast.AST) -> _Kind:
+    known = _KINDS.get(type(node))
+    if known is None:
+        known = _KINDS[type(node)] = _Kind(type(node))
+    return known
+
+
 class _Walk:
     """Pre-order rows of one file; shape texts are built bottom-up on the way back.
 
     Visits are generators on a list of their own, so a tree may be as deep as the
-    parser accepts it.
+    parser accepts it.  ``blank`` is a row with what all rows of the file have.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, blank: dict = _BLANK) -> None:
         self.rows: list[dict] = []
+        self.blank = blank
 
     def visit(self, node) -> str:
         """Rows of a whole tree; its shape text."""
@@ -168,26 +239,18 @@ class _Walk:
                 text = over.value
         return text
 
-    def _leaf(self, node, parent, field, idx, scope, owner, stmt) -> str:
+    def _leaf(self, kind, parent, field, idx, scope, owner, stmt) -> str:
         """Contexts and operators: a quarter of all visits, with nothing below them."""
-        kind = type(node).__name__
-        shape = f"{kind}()"
-        self.rows.append(
-            {
-                "pos": len(self.rows),
-                "parent_pos": parent,
-                "parent_kind": self.rows[parent]["kind"],
-                "field": field,
-                "idx": idx,
-                "kind": kind,
-                "scope": scope,
-                "owner_pos": owner,
-                "stmt_pos": stmt[0],
-                "flow_scope_pos": stmt[1],
-                "flow_ok": stmt[2],
-                "shape_hash": _shape_hash(shape),
-            }
-        )
+        shape = f"{kind.name}()"
+        row = self.blank.copy()
+        row["pos"] = len(self.rows)
+        row["parent_pos"] = parent
+        row["parent_kind"] = self.rows[parent]["kind"]
+        row["field"], row["idx"] = field, idx
+        row["kind"], row["scope"], row["owner_pos"] = kind.name, scope, owner
+        row["stmt_pos"], row["flow_scope_pos"], row["flow_ok"] = stmt
+        row["shape_hash"] = _shape_hash(shape)
+        self.rows.append(row)
         return shape
 
     def _visit(self, node, parent, field, idx, is_last, scope, owner, stmt, block):
@@ -195,107 +258,83 @@ class _Walk:
 
         Yields the visits of children and is sent their shape texts; returns its own.
         """
-        pos = len(self.rows)
-        kind = type(node).__name__
-        is_stmt = isinstance(node, ast.stmt)
-        if is_stmt:
+        pos, kind = len(self.rows), _kind(node)
+        if kind.is_stmt:
             ok = not any(b["role"].startswith(("ExceptHandler", "match_case")) for b in block[1])
             stmt = (pos, block[0], ok)
-        row = {
-            "pos": pos,
-            "parent_pos": parent,
-            "parent_kind": None if parent is None else self.rows[parent]["kind"],
-            "field": field,
-            "idx": idx,
-            "kind": kind,
-            "scope": scope,
-            "stmt_pos": stmt[0],
-            "flow_scope_pos": stmt[1],
-            "flow_ok": stmt[2],
-            "start_line": getattr(node, "lineno", None),
-            "end_line": getattr(node, "end_lineno", None),
-            "start_col": getattr(node, "col_offset", None),
-            "end_col": getattr(node, "end_col_offset", None),
-        }
+        row = self.blank.copy()
+        row["pos"], row["parent_pos"] = pos, parent
+        if parent is not None:
+            row["parent_kind"] = self.rows[parent]["kind"]
+        row["field"], row["idx"] = field, idx
+        row["kind"], row["scope"] = kind.name, scope
+        row["stmt_pos"], row["flow_scope_pos"], row["flow_ok"] = stmt
+        if kind.has_place:
+            row["start_line"], row["end_line"] = node.lineno, node.end_lineno
+            row["start_col"], row["end_col"] = node.col_offset, node.end_col_offset
         self.rows.append(row)
-        if is_stmt or isinstance(node, ast.ExceptHandler):
+        if kind.in_block:
             row["is_last"] = is_last
             row["has_else"] = bool(getattr(node, "orelse", None))
             row["has_final"] = bool(getattr(node, "finalbody", None))
             row["path"] = block[1]
-        if isinstance(node, (*_FUNCTIONS, ast.Module)):
+        if kind.is_owner:
             owner = pos
         row["owner_pos"] = owner
-        self._identify(node, row)
+        if kind.identify is not None:
+            kind.identify(node, row)
 
         below = scope
-        if isinstance(node, _DEFS):
+        if kind.is_def:
             below = node.name if scope == "<module>" else f"{scope}.{node.name}"
-        elif isinstance(node, ast.Lambda):
+        elif kind.is_lambda:
             label = f"<lambda:{node.lineno}>"
             below = label if scope == "<module>" else f"{scope}.{label}"
             stmt = (None, None, False)
 
         parts = []
-        for name in node._fields:
+        for name, optional in kind.fields:
             value = getattr(node, name, None)
-            if value is None and getattr(type(node), name, ...) is None:
-                continue
-            if isinstance(value, ast.AST):
-                if value._fields or isinstance(value, ast.stmt):
-                    text = yield self._visit(value, pos, name, None, True, below, owner, stmt, block)
+            if value is None:
+                if optional:
+                    continue
+                text = "None"
+            elif isinstance(value, ast.AST):
+                child = _kind(value)
+                if child.is_leaf:
+                    text = self._leaf(child, pos, name, None, below, owner, stmt)
                 else:
-                    text = self._leaf(value, pos, name, None, below, owner, stmt)
+                    text = yield self._visit(value, pos, name, None, True, below, owner, stmt, block)
             elif isinstance(value, list):
-                inner = self._enter(node, row, name, value, block)
+                inner = self._enter(kind, row, name, value, block)
                 end, texts = len(value) - 1, []
                 for i, item in enumerate(value):
                     if not isinstance(item, ast.AST):
                         texts.append(repr(item))
-                    elif item._fields or isinstance(item, ast.stmt):
-                        texts.append((yield self._visit(item, pos, name, i, i == end, below, owner, stmt, inner)))
+                        continue
+                    child = _kind(item)
+                    if child.is_leaf:
+                        texts.append(self._leaf(child, pos, name, i, below, owner, stmt))
                     else:
-                        texts.append(self._leaf(item, pos, name, i, below, owner, stmt))
+                        texts.append((yield self._visit(item, pos, name, i, i == end, below, owner, stmt, inner)))
                 text = f"[{', '.join(texts)}]"
             else:
                 text = repr(value)
             parts.append(f"{name}={text}")
-        shape = f"{kind}({', '.join(parts)})"
-        if "ident" not in row and kind not in ("Constant", "Module"):
+        shape = f"{kind.name}({', '.join(parts)})"
+        if row["ident"] is None and kind.is_shaped:
             row["shape_hash"] = _shape_hash(shape)
         return shape
 
     @staticmethod
-    def _enter(node: ast.AST, row: dict, field: str, items: list, block: tuple) -> tuple:
+    def _enter(kind: _Kind, row: dict, field: str, items: list, block: tuple) -> tuple:
         """The block context of a list field: a new scope, one block deeper, or unchanged."""
-        if isinstance(node, (*_DEFS, ast.Module)):
+        if kind.is_scope:
             return (row["pos"], ())
         if not items or not isinstance(items[0], (ast.stmt, ast.ExceptHandler, ast.match_case)):
             return block
         names = ("pos", "parent_pos", "field", "idx", "is_last", "has_else", "has_final")
-        return (block[0], ({"role": f"{row['kind']}.{field}", **{n: row.get(n) for n in names}}, *block[1]))
-
-    @staticmethod
-    def _identify(node: ast.AST, row: dict) -> None:
-        match node:
-            case ast.FunctionDef() | ast.AsyncFunctionDef() | ast.ClassDef():
-                row["ident"] = node.name
-                row["decorators"] = [dotted_name(d) for d in node.decorator_list]
-            case ast.Name():
-                row["ident"], row["ctx"] = node.id, type(node.ctx).__name__
-            case ast.arg():
-                row["ident"] = node.arg
-            case ast.Attribute():
-                row["ident"] = node.attr
-            case ast.alias():
-                row["ident"], row["asname"] = node.name, node.asname
-            case ast.Constant():
-                row["value_type"] = type(node.value).__name__
-                row["value_preview"] = repr(node.value)[:PREVIEW_WIDTH]
-            case ast.Call():
-                row["callee"] = dotted_name(node.func)
-            case ast.Import() | ast.ImportFrom():
-                row["imports"] = [{"name": a.name, "asname": a.asname} for a in node.names]
+        return (block[0], ({"role": f"{kind.name}.{field}", **{n: row[n] for n in names}}, *block[1]))
 
 
 def number_repeats(rows: list[dict]) -> None:
@@ -306,28 +345,28 @@ def number_repeats(rows: list[dict]) -> None:
     """
     seen: dict[tuple, int] = {}
     for row in rows:
-        preview = row.get("value_preview")
+        preview = row["value_preview"]
         like = (
             row["scope"],
             row["kind"],
-            row.get("ident"),
-            row.get("asname"),
-            row.get("ctx"),
-            row.get("value_type"),
+            row["ident"],
+            row["asname"],
+            row["ctx"],
+            row["value_type"],
             preview and preview[:SIGNATURE_WIDTH],
-            row.get("shape_hash"),
+            row["shape_hash"],
         )
         row["occurrence"] = seen[like] = seen.get(like, -1) + 1
 
 
-def file_rows(file_path: str, content: bytes) -> list[dict]:
+def file_rows(file_path: str, content: bytes, blank: dict = _BLANK) -> list[dict]:
     """Rows of one file, or one error row; a bad file never raises."""
     started = time.perf_counter()
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
             tree = ast.parse(content.decode("utf-8"), filename=file_path, type_comments=True)
-        walk = _Walk()
+        walk = _Walk(blank)
         walk.visit(tree)
         walk.rows[0]["parse_duration_ms"] = round((time.perf_counter() - started) * 1000, 3)
         number_repeats(walk.rows)
@@ -335,14 +374,26 @@ def file_rows(file_path: str, content: bytes) -> list[dict]:
     except Exception as error:  # noqa: BLE001 - any failure becomes a row
         classes = [c.__name__ for c in type(error).__mro__]
         message = str(error).encode("utf-8", "backslashreplace").decode("utf-8")
-        return [{"error": {"type": type(error).__name__, "message": message, "classes": classes}}]
+        return [{**blank, "error": {"type": type(error).__name__, "message": message, "classes": classes}}]
+
+
+def _paths(paths: tuple, kind: pa.DataType) -> pa.Array:
+    """Enclosing blocks of each row, from one flat list of blocks: far cheaper than row by row."""
+    ends = list(itertools.accumulate(0 if path is None else len(path) for path in paths))
+    offsets = pa.array([0, *ends], pa.int32())
+    blocks = [block for path in paths if path for block in path]
+    columns = zip(*[block.values() for block in blocks]) if blocks else [()] * len(kind.value_type)
+    children = [pa.array(c, f.type) for c, f in zip(columns, kind.value_type)]
+    flat = pa.StructArray.from_arrays(children, fields=list(kind.value_type))
+    return pa.ListArray.from_arrays(offsets, flat, type=kind, mask=pa.array([path is None for path in paths]))
 
 
 def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = to_arrow_schema(SCHEMA)
 
     def pack(rows: list[dict]) -> pa.RecordBatch:
-        arrays = [pa.array([row.get(n) for row in rows], type=t) for n, t in zip(schema.names, schema.types)]
+        columns = zip(*map(dict.values, rows))
+        arrays = [_paths(c, t) if n == "path" else pa.array(c, type=t) for n, t, c in zip(schema.names, schema.types, columns)]
         return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     pending: list[dict] = []
@@ -352,13 +403,11 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for i in range(batch.num_rows):
             facts = {name: column[i].as_py() for name, column in zip(names, batch.columns)}
             content, unread = facts.pop("content"), facts.pop("read_error")
+            blank = {**_BLANK, "repository": facts["repository"], "file_path": facts["file_path"]}
             if unread is not None:
-                rows = [{"error": {**unread, "classes": [unread["type"], "OSError"]}}]
+                rows = [{**blank, "error": {**unread, "classes": [unread["type"], "OSError"]}}]
             else:
-                rows = file_rows(facts["file_path"], content if content is not None else b"")
-            key = {"repository": facts["repository"], "file_path": facts["file_path"]}
-            for row in rows:
-                row.update(key)
+                rows = file_rows(facts["file_path"], content if content is not None else b"", blank)
             rows[0].update(facts)
             pending += rows
             if len(pending) >= BATCH_ROWS:

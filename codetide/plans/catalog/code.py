@@ -71,10 +71,15 @@ TRY = """class C{k}:
 SHAPES = (STRAIGHT, BRANCH, LOOP, TRY)
 
 
-def code_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One source file per part."""
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
-    shape = F.element_at(F.array(*[F.lit(s) for s in SHAPES]), F.pmod("p_size", F.lit(len(SHAPES))) + 1)
+def code_corpus(spark: SparkSession, sf_dir: str, shapes: tuple[str, ...] = SHAPES) -> DataFrame:
+    """One source file per part.
+
+    The table may lie in one piece: its keys are dealt to the session's tasks, a few bytes a row, and each
+    task builds the contents that it parses.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size").repartition(tasks, "p_partkey")
+    shape = F.element_at(F.array(*[F.lit(s) for s in shapes]), F.pmod("p_size", F.lit(len(shapes))) + 1)
     named = F.replace(shape, F.lit("{k}"), F.col("p_partkey").cast("string"))
     source = F.replace(named, F.lit("{s}"), F.col("p_size").cast("string"))
     return parts.select(

@@ -58,4 +58,6 @@ def extract(corpus: DataFrame, spread: int | None = None, area: StagingArea | No
     files = rows.filter((F.col("pos") == 0) & F.col("error").isNull()).select(
         *FILE, "loc", "size_bytes", "content_sha256", "parse_duration_ms"
     )
-    return Graph(nodes, edges, file_metadata(files, nodes, edges), parse_errors(rows))
+    # counted once; every reader of the metadata would count nodes and edges again
+    metadata = stage(file_metadata(files, nodes, edges), "metadata", area)
+    return Graph(nodes, edges, metadata, parse_errors(rows))

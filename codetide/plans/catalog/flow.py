@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from codetide.functions import ids
 from codetide.operators import calls, checks, edges
-from codetide.operators.carry import carry, next_value, range_pieces
+from codetide.operators.carry import carry, next_value
 from codetide.operators.syntax import link_parents, with_occurrence
 from codetide.plans.catalog.common import hash_sql, table, text
 
@@ -61,8 +61,7 @@ def branch_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Next turn of the same role, else whatever turn comes next."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     values = {f"next_{r}": F.when(F.col("role") == r, F.col("turn")) for r in ROLES}
-    pieces = range_pieces(turns, ["conv_id"], ["turn"])
-    ahead = carry(pieces, ["conv_id"], ["turn"], {**values, "next_any": F.col("turn")}, forward=False)
+    ahead = carry(turns, ["conv_id"], ["turn"], {**values, "next_any": F.col("turn")}, forward=False)
     same = F.coalesce(*[F.when(F.col("role") == r, F.col(f"next_{r}")) for r in ROLES])
     return ahead.select(
         "conv_id", "turn", same.alias("same_role_turn"), F.coalesce(same, "next_any").alias("follow_turn")
@@ -70,8 +69,7 @@ def branch_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return range_pieces(events, ["user_id"], ["ts", "event_id"])
+    return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
 
 
 def def_use(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from codetide.operators import fold
@@ -123,20 +124,39 @@ def test_documents_are_replaced_whole(spark):
     assert {tuple(r) for r in once.collect()} == {tuple(r) for r in twice.collect()}
 
 
-def test_hot_keys_are_carried_across_pieces(spark):
-    """A key with most of the rows, ties on time, and values that must cross pieces."""
-    from codetide.operators.carry import carry, range_pieces
+@pytest.mark.parametrize(("pieces", "batch"), [(1, 10_000), (7, 13), (60, 512)])
+def test_hot_keys_are_carried_across_pieces(spark, pieces, batch):
+    """A key with most of the rows, ties on time, keys and values that are null, and values that must cross pieces and batches."""
+    from codetide.operators.carry import carry
 
     rng = random.Random(3)
-    rows = [(0 if rng.random() < 0.7 else rng.randint(1, 40), rng.randint(0, 50), i, rng.choice([None, None, None, i])) for i in range(4000)]
-    df = spark.createDataFrame(rows, "k int, ts int, id int, v int")
-    pieces = range_pieces(df, ["k"], ["ts", "id"], 7)
-    assert pieces.filter("k = 0").select("piece").distinct().count() > 2
-    for forward in (True, False):
-        got = {r["id"]: r["near"] for r in carry(pieces, ["k"], ["ts", "id"], {"near": F.col("v")}, forward).collect()}
-        want, last = {}, {}
-        for k, ts, i, v in sorted(rows, key=lambda r: (r[1], r[2]), reverse=not forward):
-            want[i] = last.get(k)
-            if v is not None:
-                last[k] = v
-        assert got == want
+    key = lambda: rng.choice([None, "hot", "hot", "hot", "hot", f"k{rng.randint(1, 40)}"])
+    rows = [(key(), rng.randint(0, 3), rng.randint(0, 50), i, rng.choice([None, None, None, f"v{i}"])) for i in range(4000)]
+    rows = [(k, p if k != "hot" else 1, ts, i, v) for k, p, ts, i, v in rows]
+    df = spark.createDataFrame(rows, "k string, p int, ts int, id int, v string")
+    values = {"near": F.col("v"), "pair": F.when(F.col("id") % 17 == 0, F.struct("id", "v"))}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for forward in (True, False):
+            found = carry(df, ["k", "p"], ["ts", "id"], values, forward, pieces).collect()
+            got = {r["id"]: (r["near"], r["pair"] and tuple(r["pair"])) for r in found}
+            want, last, pairs = {}, {}, {}
+            for k, p, ts, i, v in sorted(rows, key=lambda r: (r[2], r[3]), reverse=not forward):
+                want[i] = last.get((k, p)), pairs.get((k, p))
+                if v is not None:
+                    last[k, p] = v
+                if i % 17 == 0:
+                    pairs[k, p] = (i, v)
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_carrying_shuffles_whole_rows_once(spark):
+    from codetide.operators.carry import carry
+
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k"))
+    plan = carry(df, ["k"], ["id"], {"near": F.col("id")})._jdf.queryExecution().executedPlan().toString()
+    # the staged rows are joined to one row per key and piece: the only window is over those
+    assert "rangepartitioning" not in plan and plan.count("+- Window [") == 1

@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codetide.plans.catalog import code, delta, discovery, flow, folds, messages, runs, streams
+from codetide.plans.catalog import code, constructs, delta, discovery, flow, folds, messages, runs, streams
 
-MODULES = (messages, discovery, flow, delta, folds, streams, code, runs)
+MODULES = (messages, discovery, flow, delta, folds, streams, code, constructs, runs)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -35,7 +35,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,7 +45,7 @@ from codetide.llm.components import components
 from codetide.session import StagingArea, stage
 
 WORDS = 5
-FREQUENT = 50
+FREQUENT = 16
 MOST_FREQUENT = 500_000
 STAR_ROUNDS = 8
 WORTHWHILE = 50  # a round that links this many times fewer than the first is the last
@@ -278,26 +277,40 @@ def _across(placed: DataFrame) -> DataFrame:
     return met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m")).filter(REACH).drop("m")
 
 
+class _Table:
+    """Rows added round by round: one folder, read as one scan however many rounds there were."""
+
+    def __init__(self, label: str, schema: str, area: StagingArea) -> None:
+        self.path, self.schema, self.spark = area.path(label), schema, area.spark
+
+    def add(self, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 class _Segments:
     """Segments of the classes that candidate pairs have named so far, fetched when first needed."""
 
     def __init__(self, texts: DataFrame, classes: DataFrame, frequent: np.ndarray, area: StagingArea) -> None:
         self.texts, self.classes, self.frequent, self.area = texts, classes, frequent, area
-        self.parts: list[DataFrame] = []
-        self.known: DataFrame | None = None
+        self.made = _Table("segments", "class long, fragment int, grams array<long>", area)
+        self.known = _Table("known", "class long, doc_id long", area)
+        self.rounds = 0
 
     def of(self, pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        if self.known is not None:
-            wanted = wanted.join(self.known, "class", "left_anti")
+        if self.rounds:
+            wanted = wanted.join(self.known.read().select("class"), "class", "left_anti")
         wanted = stage(wanted.join(self.classes, "class").select("class", F.col("rep").alias("doc_id")), "wanted", self.area)
         fetched = _chosen(self.texts, wanted.select("doc_id"))
         made = fetched.mapInPandas(_per_batch(_segments(self.frequent)), "class long, fragment int, grams array<long>")
         # rows of one id may have other texts, and rows of one text come once each
-        made = made.join(bounded(wanted.select("class")), "class", "left_semi").dropDuplicates(["class", "fragment"])
-        self.parts.append(stage(made, "segments", self.area))
-        self.known = wanted.select("class") if self.known is None else self.known.union(wanted.select("class"))
-        return reduce(DataFrame.union, self.parts)
+        self.made.add(made.join(bounded(wanted.select("class")), "class", "left_semi").dropDuplicates(["class", "fragment"]))
+        self.known.add(wanted)
+        self.rounds += 1
+        return self.made.read()
 
 
 def overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -416,19 +429,19 @@ def join(docs: DataFrame, area: StagingArea, count_links: bool = True, keep_text
     segments = _Segments(texts, classes, frequent, area)
 
     central = stage(classes.join(_centrality(postings), "class"), "central", area)
-    links, roots, held = None, None, None
+    links, roots, held = _Table("all-links", "a long, b long", area), None, None
 
     def more(pairs: DataFrame) -> int:
         """Check candidate pairs and merge the components that they link; the number of links."""
-        nonlocal links, roots, held
+        nonlocal roots, held
         pairs = stage(pairs, "pairs", area)
         found = stage(overlapping(pairs, segments.of(pairs)), "links", area)
-        links = found if links is None else links.union(found)
         count = found.count()
         if count or roots is None:
+            links.add(found)
             if held:
                 held.release()
-            roots, held = components(links)
+            roots, held = components(links.read())
         return count
 
     first = 0

@@ -1,8 +1,9 @@
 """Incremental runs over two revisions of the documents.
 
 Revision 1 is the table as it is.  In revision 2 every German document of more
-than one line has lost its first line; of these, the ones under 300 characters
-are treated as unreadable, so they fail and keep their old state.
+than one line has lost its first line, and where that had an odd number of characters a byte
+that is no text has come in at the end.  The run finds such files by their bytes; they fail
+and keep their old state.
 """
 
 from __future__ import annotations
@@ -24,17 +25,22 @@ from codetide.sources.state import StateTables
 EVENT_TIME = "2024-02-01T00:00:00.000Z"
 
 
-def _corpus(spark: SparkSession, sf_dir: str, revision: int) -> DataFrame:
-    body = F.col("text")
+def _corpus(spark: SparkSession, sf_dir: str, revision: int, damaged: bool = False) -> DataFrame:
+    """Documents as files; ``damaged`` lets the byte in that is no text."""
+    body = content = F.col("text")
     if revision == 2:
-        after = F.substring(body, F.locate("\n", body) + 1, F.length(body))
-        body = F.when((F.col("lang") == "de") & body.contains("\n"), after).otherwise(body)
+        at = F.locate("\n", body)
+        cut = (F.col("lang") == "de") & (at > 0)
+        content = F.when(cut, F.substring(body, at + 1, F.length(body))).otherwise(body)
+        if damaged:
+            odd = cut & (F.pmod(at - 1, F.lit(2)) == 1)
+            whole = F.encode(content, "utf-8")
+            content = F.when(odd, F.concat(whole, F.unhex(F.lit("FF")))).otherwise(whole).cast("string")
     return table(spark, sf_dir, "documents").select(
         F.col("source").alias("repository"),
         F.concat("lang", F.lit("/"), "doc_id", F.lit(".txt")).alias("file_path"),
-        body.alias("content"),
+        content.alias("content"),
         "lang",
-        "doc_id",
     )
 
 
@@ -93,19 +99,19 @@ class Run:
 
 def _run(spark: SparkSession, sf_dir: str) -> Run:
     """The incremental run from revision 1 to revision 2."""
-    before, after = _corpus(spark, sf_dir, 1), _corpus(spark, sf_dir, 2)
+    before, after = _corpus(spark, sf_dir, 1), _corpus(spark, sf_dir, 2, damaged=True)
     state = before.select(*FILE, ids.content_sha256(F.col("content")).alias("content_sha256"))
     compared = delta.compare_content(after, state)
     todo = delta.changed_only(after, compared)
-    unreadable = F.pmod("doc_id", F.lit(11)) == 3
-    failures = todo.filter(unreadable).select(
+    readable = F.is_valid_utf8("content")
+    failures = todo.filter(~readable).select(
         *FILE,
         ids.content_sha256(F.col("content")).alias("content_sha256"),
-        F.lit("SyntaxError").alias("error_type"),
-        F.lit("broken").alias("error_message"),
-        F.array(F.lit("SyntaxError"), F.lit("Exception")).alias("error_classes"),
+        F.lit("UnicodeDecodeError").alias("error_type"),
+        F.lit("invalid byte").alias("error_message"),
+        F.array(F.lit("UnicodeDecodeError"), F.lit("UnicodeError"), F.lit("ValueError")).alias("error_classes"),
     )
-    processed = todo.filter(~unreadable)
+    processed = todo.filter(readable)
     old = _line_graph(before)
     new = _line_graph(processed)
     files = processed.select(
@@ -129,7 +135,7 @@ def _run(spark: SparkSession, sf_dir: str) -> Run:
 
 
 def skip_unchanged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, after = _corpus(spark, sf_dir, 1), _corpus(spark, sf_dir, 2)
+    before, after = _corpus(spark, sf_dir, 1), _corpus(spark, sf_dir, 2, damaged=True)
     state = before.select(*FILE, ids.content_sha256(F.col("content")).alias("content_sha256"))
     return delta.compare_content(after, state).select(*FILE, "content_sha256", "unchanged")
 
@@ -193,7 +199,7 @@ def error_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents sorted into error classes by plain predicates."""
     c = F.col
     classes = (
-        F.when(F.pmod("doc_id", F.lit(13)) == 5, F.array(F.lit("IndentationError"), F.lit("SyntaxError")))
+        F.when(c("text").contains("|"), F.array(F.lit("IndentationError"), F.lit("SyntaxError")))
         .when(~c("text").contains("\n"), F.array(F.lit("UnicodeDecodeError"), F.lit("UnicodeError"), F.lit("ValueError")))
         .when(c("lang") == "de", F.array(F.lit("PermissionError"), F.lit("OSError")))
         .when(c("lang") == "es", F.array(F.lit("RecursionError"), F.lit("RuntimeError")))
@@ -244,9 +250,11 @@ def _revision(n: int) -> str:
 _BASE = f"""
 with docs as (
   select source as repository, lang || '/' || doc_id || '.txt' as file_path, lang, doc_id, text as t1,
-    case when lang = 'de' and contains(text, chr(10)) then substr(text, strpos(text, chr(10)) + 1) else text end as t2
+    case when lang = 'de' and contains(text, chr(10)) then substr(text, strpos(text, chr(10)) + 1) else text end as t2,
+    lang = 'de' and contains(text, chr(10)) and (strpos(text, chr(10)) - 1) % 2 = 1 as damaged
   from documents),
-  facts as (select *, sha256(t1) <> sha256(t2) as changed, sha256(t1) <> sha256(t2) and doc_id % 11 = 3 as failed from docs),
+  bytes as (select *, case when damaged then sha256(encode(t2) || '\\xFF'::blob) else sha256(t2) end as sha2 from docs),
+  facts as (select *, sha256(t1) <> sha2 as changed, damaged as failed from bytes),
   done as (select * from facts where changed and not failed),
   {_revision(1)}, {_revision(2)},
   nn as (select n2.* from n2 semi join done using (repository, file_path)),
@@ -289,8 +297,8 @@ _LOG = f"""{_BASE},
            (select count(*) from en where en.repository = d.repository and en.file_path = d.file_path) as n_edges
          from done d),
   er as (select *, {_ERROR_ID} as error_id, {_STACK} as stack_hash from (
-           select repository, file_path, sha256(t2) as content_sha256, 'SyntaxError' as error_type, 'broken' as error_message,
-                  'ast_parse' as stage from facts where failed)),
+           select repository, file_path, sha2 as content_sha256, 'UnicodeDecodeError' as error_type, 'invalid byte' as error_message,
+                  'decode' as stage from facts where failed)),
   log as (
     select repository, file_path, 0 as phase, null as pos, edge_id as id, 'cpg.edge.events' as topic, src_node_id as key,
       {_message('edge_delete', _json('edge_id', 'edge_id'), _json('src_node_id', 'src_node_id'))} as value from re
@@ -326,7 +334,7 @@ _OUTCOMES = f"""{_BASE},
     select f.repository, f.file_path,
       case when not changed then 'skipped' when failed then 'failed' else 'succeeded' end as status,
       coalesce(nc, 0) as nodes, coalesce(ec, 0) as edges, coalesce(dn, 0) as deleted_nodes, coalesce(de, 0) as deleted_edges,
-      case when failed then 'broken' end as error
+      case when failed then 'invalid byte' end as error
     from facts f
     left join (select repository, file_path, count(*) as nc from nn group by all) using (repository, file_path)
     left join (select repository, file_path, count(*) as ec from en group by all) using (repository, file_path)
@@ -335,7 +343,7 @@ _OUTCOMES = f"""{_BASE},
 """
 
 ORACLES = {
-    "skip_unchanged": f"{_BASE} select repository, file_path, sha256(t2) as content_sha256, not changed as unchanged from facts",
+    "skip_unchanged": f"{_BASE} select repository, file_path, sha2 as content_sha256, not changed as unchanged from facts",
     "id_diff": f"""{_BASE}
         select 'node' as what, 'removed' as change, repository, file_path, node_id as id from ({_absent('n', 'node_id', 1, 2)})
         union all select 'node', 'added', repository, file_path, node_id from ({_absent('n', 'node_id', 2, 1)})
@@ -370,9 +378,9 @@ ORACLES = {
         from (
           select source as repository, doc_id::varchar as file_path, sha256(text) as content_sha256,
             lang || ' ' || n_chars as error_message,
-            case when doc_id % 13 = 5 then 'IndentationError' when not contains(text, chr(10)) then 'UnicodeDecodeError'
+            case when contains(text, '|') then 'IndentationError' when not contains(text, chr(10)) then 'UnicodeDecodeError'
                  when lang = 'de' then 'PermissionError' when lang = 'es' then 'RecursionError' end as error_type,
-            case when doc_id % 13 = 5 then 'ast_parse' when not contains(text, chr(10)) then 'decode'
+            case when contains(text, '|') then 'ast_parse' when not contains(text, chr(10)) then 'decode'
                  when lang = 'de' then 'read_source' when lang = 'es' then 'parser_service' end as stage
           from documents)
         where error_type is not null""",

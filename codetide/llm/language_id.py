@@ -6,8 +6,13 @@ where it lies.  The log-probability matrix that goes to the scoring tasks has at
 ``MATRIX_CELLS`` entries: with many languages there are fewer hash buckets, never fewer languages.
 Scoring turns a batch of texts into one sparse count matrix and multiplies it with the dense one.
 
+The posterior says which language fits best, not whether any does: over a whole text it runs to 1.
+``Spread`` holds that against the training texts: what their n-grams' mean log-probability is in their
+own language, and how far it strays from text to text and from n-gram to n-gram.  ``recognise`` calls a text strange
+whose mean lies ``STRANGE`` such deviations below; a short one has too few n-grams to be strange.
+
 Defined results: a text that is null or holds no letter is ``und`` with score 0; so is every text
-when nothing could be learned.  Rows with a null language, a null text or a null id teach nothing.
+when nothing could be learned; neither is recognised.  Rows with a null language, a null text or a null id teach nothing.
 Columns beside id, text and language are never looked at.
 """
 
@@ -29,6 +34,9 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 SPACE = 32
 FLUSH_LANGUAGES = 64
+# deviations below the training texts that make a text strange; n-grams that overlap count for one
+STRANGE = 15.0
+OVERLAP = 3.0
 
 _LETTERS: np.ndarray | None = None
 
@@ -163,6 +171,71 @@ def predict(model: Model, text: str = "text") -> Column:
     return scored(F.col(text))
 
 
+@dataclass(frozen=True)
+class Spread:
+    """Per language of a model: mean log-probability of the training texts, its variance between texts and between n-grams."""
+
+    mean: np.ndarray
+    between: np.ndarray
+    within: np.ndarray
+
+    def strange(self, fit: np.ndarray, size: np.ndarray, language: np.ndarray) -> np.ndarray:
+        """Whether texts of ``size`` n-grams with mean log-probability ``fit`` are unlike their language."""
+        deviation = np.sqrt(self.between[language] + OVERLAP * self.within[language] / np.maximum(size, 1))
+        return fit < self.mean[language] - STRANGE * deviation
+
+
+def _fit(text: str | None, model: Model, language: int) -> tuple[int, float, float]:
+    """Number of n-grams, and sum and sum of squares of their log-probabilities in a language."""
+    found = model.log_prob[grams(text, model.bits), language]
+    return len(found), float(found.sum()), float((found**2).sum())
+
+
+def spread(examples: DataFrame, model: Model) -> Spread:
+    """How well the training texts (text, language) fit their own language; one row of sums per task and language."""
+    place = {name: i for i, name in enumerate(model.languages)}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((len(place), 6))
+        for batch in batches:
+            for language, text in zip(batch["language"], batch["text"]):
+                size, total, squares = _fit(text, model, place[language])
+                if size:
+                    mean = total / size
+                    sums[place[language]] += (1, mean, mean * mean, size, total, squares)
+        yield pd.DataFrame(sums, columns=list("abcdef")).assign(language=range(len(place)))
+
+    whole = np.zeros((len(place), 6))
+    if place:
+        added = examples.mapInPandas(run, "language int, a double, b double, c double, d double, e double, f double")
+        for r in added.groupBy("language").agg(*[F.sum(c).alias(c) for c in "abcdef"]).collect():
+            whole[r["language"]] = [r[c] for c in "abcdef"]
+    texts, grams_ = np.maximum(whole[:, 0], 1), np.maximum(whole[:, 3], 1)
+    mean, inner = whole[:, 1] / texts, whole[:, 4] / grams_
+    return Spread(mean, np.maximum(whole[:, 2] / texts - mean**2, 0), np.maximum(whole[:, 5] / grams_ - inner**2, 0))
+
+
+def recognise(model: Model, known: Spread, text: str = "text") -> Column:
+    """Whether a text is of a learned language, and like the texts it was learned from."""
+
+    @F.pandas_udf("boolean")
+    def judged(texts: pd.Series) -> pd.Series:
+        out = []
+        for at in range(0, len(texts), 256):
+            some = list(texts.iloc[at : at + 256])
+            best, _ = score_batch(some, model)
+            for one, name in zip(some, best):
+                if name == UNKNOWN:
+                    out.append(False)
+                    continue
+                language = model.languages.index(name)
+                size, total, _ = _fit(one, model, language)
+                out.append(not known.strange(np.array(total / size), np.array(size), np.array(language)))
+        return pd.Series(out, dtype=bool)
+
+    return judged(F.col(text))
+
+
 def identify(docs: DataFrame, held_out: Column, learn_from: Column) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score.
 

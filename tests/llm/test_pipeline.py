@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import pathlib
+import random
 import zlib
 
 import pytest
@@ -33,10 +34,35 @@ def stages(spark, tmp_path_factory):
 def test_columns_and_languages(spark, stages):
     for rows in stages[1:5]:
         assert list(rows[0]) == ["doc_id", "text", "lang", "source", "n_chars"]
+    # the given documents are all of a learned language, but for those without letters
     kept = {r["doc_id"] for r in stages[1]}
     assert kept == {r["doc_id"] for r in stages[0] if any(c.isalpha() for c in r["text"])}
 
 
+def test_strange_texts_go(spark):
+    """Scripts and languages that were not learned and letters at random go; clean texts stay, short ones too."""
+    some = random.Random(5)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    first = docs.orderBy("doc_id").limit(1).collect()[0]
+    noise = ["".join(some.choices("abcdefghijklmnopqrstuvwxyz", k=some.randint(2, 9))) for _ in range(120)]
+    strange = {
+        10**9: "Это предложение написано на русском языке, и оно достаточно длинное. " * 4,
+        10**9 + 1: "これは日本語で書かれた文章です。この文章は十分に長いです。" * 4,
+        10**9 + 2: " ".join(noise),
+        10**9 + 3: "zxqv kjwx qqz vkx zzj " * 30,
+        10**9 + 4: "1234 5678 !!",
+        10**9 + 5: None,
+    }
+    words = first["text"].split()
+    clean = {2 * 10**9: words[3], 2 * 10**9 + 1: " ".join(words[:4]), 2 * 10**9 + 2: " ".join(words[5:60])}
+    # ids in the held-out fold teach nothing
+    planted = spark.createDataFrame([(i, t, None, "s", 1) for i, t in {**strange, **clean}.items()], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.by_language(spark, docs.unionByName(planted), str(DATA)).collect()}
+    assert kept & set(strange) == set() and set(clean) <= kept
+    assert len(kept) == len(clean) + sum(any(c.isalpha() for c in r["text"]) for r in docs.collect())
+    assert corpus_pipeline.by_language(spark, docs.limit(0), str(DATA)).count() == 0
+
+
 def test_quality(spark, stages):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{DATA}/labels.parquet").collect()}
     texts = {r["doc_id"]: r["text"] for r in stages[1]}

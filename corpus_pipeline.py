@@ -8,18 +8,18 @@ from codetide.llm import language_id, mixing, ngram_join, packing, quality
 from codetide.llm.common import HELD_OUT, bounded, fold, table
 from codetide.session import StagingArea, stage
 
-MIN_LANGUAGE_SCORE = 0.5
-
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is recognised; texts without letters and unsure ones go."""
-    columns = docs.columns
-    model = language_id.learn(
-        docs.filter((fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").alias("language"))
-    )
-    found = docs.withColumn("__found", language_id.predict(model))
-    sure = (F.col("__found.lang_pred") != language_id.UNKNOWN) & (F.col("__found.score") >= MIN_LANGUAGE_SCORE)
-    return found.filter(sure).select(*columns)
+    """Keep documents of a learned language that are like its training texts.
+
+    Texts without letters go, and those whose n-grams are far less likely in their best language than the training texts'
+    are: other scripts, other languages, letters at random.  Short texts have too few n-grams to be told by them and stay.
+    Null texts go; rows of a null or repeated id are judged by their text like others; an empty table stays empty.
+    """
+    taught = docs.filter((fold() != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    taught = taught.select("text", F.col("lang").alias("language"))
+    model = language_id.learn(taught)
+    return docs.filter(language_id.recognise(model, language_id.spread(taught, model)))
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

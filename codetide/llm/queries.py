@@ -112,9 +112,7 @@ with low as (
   select unnest([{", ".join(repr(k) for k in licenses.TEMPLATES)}]) as label,
          unnest([{", ".join(repr(sorted(set(t.split()))) for t in licenses.TEMPLATES.values())}]) as held
 ), blocks as (
-  select row, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '[.!?][ 	
-]+|
-')), '{WORD}')) as held from worded
+  select row, list_distinct(regexp_extract_all(unnest(regexp_split_to_array(low, '{licenses.BLOCK_END}')), '{WORD}')) as held from worded
 ), hits as (
   select b.row, list(distinct t.label) as labels, max(len(list_intersect(b.held, t.held)) / len(t.held)) as share
   from blocks b, templates t

@@ -1,6 +1,6 @@
 """Near-duplicate vectors by lattice hashing, verified by cosine.
 
-Equal vectors are one class; classes are compared through their smallest id.  Each class is projected at
+Equal vectors are one class, named by a number of its own, since one id may have several vectors.  Each class is projected at
 random to eight dimensions, once per table, and decoded to the nearest point of the E8 lattice, its
 own cell.  It also asks in the ``PROBES`` neighbouring cells that lie closest to it.  Two classes that
 meet in a cell of one of them are compared.  ``tests/llm`` measures the recall against brute force.
@@ -221,7 +221,8 @@ def deduplicate(embeddings: DataFrame, area: StagingArea) -> DataFrame:
     rows = embeddings.select("vec_id", F.col("embedding").alias("vector"))
     good = F.col("vec_id").isNotNull() & usable("vector")
     sound = rows.filter(good)
-    classes = stage(sound.groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes", area)
+    by_vector = sound.groupBy("vector").agg(F.min("vec_id").alias("first"), F.count("*").alias("n"))
+    classes = stage(by_vector.withColumn("rep", F.monotonically_increasing_id()), "classes", area)
     pairs = stage(links(classes, area), "links", area)
 
     sides = pairs.union(pairs.select("b", "a")).toDF("node", "other")
@@ -230,10 +231,14 @@ def deduplicate(embeddings: DataFrame, area: StagingArea) -> DataFrame:
     roots, held = components(pairs)
     roots = stage(roots, "roots", area)
     held.release()
+    # the smallest id of each component that has links
+    inside = classes.select(F.col("rep").alias("node"), "first").join(roots, "node")
+    smallest = inside.groupBy("root").agg(F.min("first").alias("smallest"))
+    placed = roots.join(smallest, "root").select("node", "smallest")
     facts = (
         classes.join(linked, F.col("rep") == linked["node"], "left").drop("node")
-        .join(roots, F.col("rep") == roots["node"], "left").drop("node")
-        .select("vector", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
+        .join(placed, F.col("rep") == placed["node"], "left").drop("node")
+        .select("vector", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("smallest", "first").alias("component_id"))
     )
     found = sound.join(facts, "vector").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~good).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

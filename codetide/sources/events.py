@@ -8,7 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from codetide import contract
 from codetide.operators.changelog import message_value
-from codetide.sources.files import address, file_path, rename, tree
+from codetide.sources.files import address, file_path, is_empty, rename, tree
 
 # what puts the events of a key in order, with types; carried beside topic and key
 ORDER_FIELDS = {"run_id": "bigint", "phase": "int"}
@@ -50,7 +50,8 @@ def _with_place(lines: DataFrame) -> DataFrame:
 def sweep(spark: SparkSession, landing: str, archive: str, consumed: DataFrame) -> int:
     """Move files of the landing folder that a log has consumed to the archive, as its reader does; returns how many.
 
-    ``consumed`` has their paths in ``source``.  Only what still lies there is listed and looked up.
+    ``consumed`` has their paths in ``source``.  Only what still lies there is listed and looked up.  An empty file
+    holds no message that a log could tell of; it goes too, as files land whole and so it stays empty.
     """
     left = tree(spark, landing)
     if not left:
@@ -58,6 +59,7 @@ def sweep(spark: SparkSession, landing: str, archive: str, consumed: DataFrame)
     there = spark.createDataFrame([(path, address(spark, path)) for path in left], "path string, source string")
     reported = consumed.select(F.regexp_replace("source", "^([^:/]+):///+", "$1:/").alias("source"))
     done = [r["path"] for r in there.join(reported, "source", "left_semi").collect()]
+    done += [path for path in sorted({*left} - {*done}) if is_empty(spark, path)]
     for path in done:
         rename(spark, path, archive.rstrip("/") + file_path(spark, path))
     return len(done)

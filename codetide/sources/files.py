@@ -35,6 +35,11 @@ def tree(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def is_empty(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(target).getLen() == 0
+
+
 def file_path(spark: SparkSession, path: str) -> str:
     """A path without its scheme and host."""
     return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().getPath()

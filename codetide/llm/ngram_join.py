@@ -8,17 +8,19 @@ into one segment per fragment.  For a candidate pair each fragment counts its pa
 itself, and the sums over fragments decide exactly.
 
 Candidates: sets of similarity 0.8 share an n-gram within their first ``size - ceil(0.8 size) + 1``, and
-so many of them that what follows can make up the rest.  Equal sets are one class and are compared
-once.  Groups of near copies are not multiplied out: in rounds every class is compared with one leading
-class of another component that shares most of its prefix, first with the one whose n-grams most
-classes have, then with others drawn by hash, until a round links few.  Only pairs from different
-components are candidates after that.  No link between components is lost, so they are exact.
-
-Links are counted inside the components, which hold all of them: a component's classes are put in order
-of size and cut into blocks, and every two blocks whose sizes allow a link are compared as a whole, each
-pair of them in a group of its own.  Overlaps of all pairs come from products of 0/1 matrices, so no pair is
-a row and no component is held whole.  Sets are copied once per block they meet, so that a component of k
-classes costs up to k * k / 2 comparisons, as its links may be so many.
+so many of them, so early, that what follows can make up the rest.  Equal sets are one class and are
+compared once.  Candidates are not verified pair by pair: they make groups, and what is in one group is
+compared there.  First every class is taken with the leading classes of its n-grams: the one whose
+n-grams most classes have, and others drawn by hash.  Only pairs from different groups are candidates
+after that, so groups of near copies are not multiplied out, linked or not.  Every pair that can link
+lies in one group then.
+
+A group's classes are put in order of size and cut into blocks, and every two blocks whose sizes allow a
+link are compared, each pair of them and each fragment in a task group of its own.  Partial overlaps of
+all their classes come from products of 0/1 matrices, whose sum over the fragments tells the links: how
+many each class has, and the components.  No pair is a row and no group is held whole.  Segments
+are copied once per block they meet, so that a group of k classes costs up to k * k / 2
+comparisons, as its links may be so many.
 
 Work is spread by n-gram, by class and by fragment.  N-grams of ordinary frequency are grouped by a
 window, whose groups the frequency bounds; frequent ones are aggregated and joined, where run-time
@@ -47,8 +49,7 @@ from codetide.session import StagingArea, stage
 WORDS = 5
 FREQUENT = 16
 MOST_FREQUENT = 500_000
-STAR_ROUNDS = 8
-WORTHWHILE = 50  # a round that links this many times fewer than the first is the last
+TURNS = 3  # leading classes of an n-gram
 BATCH = 128  # texts hashed together
 BLOCK_CLASSES = 256  # classes compared with others as one block,
 BLOCK_GRAMS = 2_000_000  # and their n-grams together
@@ -171,36 +172,38 @@ def _sets(frequent: np.ndarray):
 
 
 def _prefixes(frequent: np.ndarray, late: bool):
-    """Rows (gram, class) of the prefixes: the frequent n-grams in them, or the others."""
+    """Rows (gram, class, pos) of the prefixes: the frequent n-grams in them, or the others; pos from 0."""
 
     def make(ids: list, sets: list[np.ndarray]) -> dict:
-        grams, names = [], []
+        grams, names, places = [], [], []
         for own in sets:
             ordered, ordinary = in_order(own, frequent)
             size = prefix_size(len(own))
-            part = ordered[ordinary:size] if late else ordered[: min(size, ordinary)]
-            if len(own) and len(part):
-                grams.append(part)
-                names.append(np.full(len(part), class_of(own)))
-        return {"gram": _joined(grams), "class": _joined(names)}
+            first, end = (ordinary, size) if late else (0, min(size, ordinary))
+            if len(own) and first < end:
+                grams.append(ordered[first:end])
+                names.append(np.full(end - first, class_of(own)))
+                places.append(np.arange(first, end))
+        return {"gram": _joined(grams), "class": _joined(names), "pos": _joined(places)}
 
     return make
 
 
 def _segments(frequent: np.ndarray):
-    """Rows (class, fragment, grams)."""
+    """Rows (class, fragment, grams), one for every fragment."""
     bounds = np.arange(1, FRAGMENTS - 1, dtype=np.uint64) << np.uint64(64 - FRAGMENT_BITS)
 
     def make(ids: list, sets: list[np.ndarray]) -> dict:
         names, fragments, held = [], [], []
         for own in sets:
-            ordered, ordinary = in_order(own, frequent)
+            if not len(own):
+                continue
+            name, (ordered, ordinary) = class_of(own), in_order(own, frequent)
             cuts = np.searchsorted(ordered[:ordinary], bounds)
             for k, part in enumerate(np.split(ordered, [*cuts, ordinary])):
-                if len(part):
-                    names.append(class_of(own))
-                    fragments.append(k)
-                    held.append(part.view(np.int64))
+                names.append(name)
+                fragments.append(k)
+                held.append(part.view(np.int64))
         return {"class": names, "fragment": fragments, "grams": held}
 
     return make
@@ -221,12 +224,12 @@ def _chosen(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _postings(texts: DataFrame, sets: DataFrame, frequent: np.ndarray, area: StagingArea) -> DataFrame:
-    """Rows (gram, class) of prefix n-grams that two classes share."""
-    rows = lambda some, late: some.mapInPandas(_per_batch(_prefixes(frequent, late)), "gram long, class long")
+    """Rows (gram, class, pos) of prefix n-grams that two classes share."""
+    rows = lambda some, late: some.mapInPandas(_per_batch(_prefixes(frequent, late)), "gram long, class long, pos int")
     inside = Window.partitionBy("gram")
     ordinary = (
         rows(texts, False).withColumns({"lo": F.min("class").over(inside), "hi": F.max("class").over(inside)})
-        .filter("lo < hi").select("gram", "class").distinct()
+        .filter("lo < hi").select("gram", "class", "pos").distinct()
     )
     of_frequent = stage(sets.filter("late").select("doc_id").distinct(), "late-ids", area)
     late = stage(rows(_chosen(texts, of_frequent), True).distinct(), "late", area)
@@ -234,51 +237,19 @@ def _postings(texts: DataFrame, sets: DataFrame, frequent: np.ndarray, area: Sta
     return stage(ordinary.union(late.join(ends, "gram")), "postings", area)
 
 
+# elements that sets of these sizes share if they link
+NEEDED = "(4 * (n_a + n_b) + 8) div 9"
 # what lies behind the prefixes can add no more than the larger set has there
-REACH = "m + (4 * greatest(n_a, n_b) + 4) div 5 - 1 >= (4 * (n_a + n_b) + 8) div 9"
+REACH = f"m + (4 * greatest(n_a, n_b) + 4) div 5 - 1 >= {NEEDED}"
+# nor what lies behind the last n-gram they share in the prefixes
+BEHIND = f"m + least(n_a - last_a, n_b - last_b) - 1 >= {NEEDED}"
+# what lies before one shared n-gram, itself and what lies behind it
+AROUND = f"least(pos_a, pos_b) + least(n_a - pos_a, n_b - pos_b) >= {NEEDED}"
 SIMILAR_SIZE = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
 
 
-def _placed(postings: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Postings (gram, class, root, n) of n-grams that lie in more than one component."""
-    sized = postings.join(classes.select("class", "n", "common"), "class")
-    if roots is None:
-        return sized.withColumn("root", F.col("class"))
-    placed = sized.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("gram")
-    return placed.join(mixed, "gram")
-
-
-def _centrality(postings: DataFrame) -> DataFrame:
-    """Per class, how many classes have its prefix n-grams, on average: the text that others were made from leads."""
-    spread = postings.groupBy("gram").agg(F.count("*").alias("df"))
-    return postings.join(spread, "gram").groupBy("class").agg(F.avg("df").alias("common"))
-
-
-def _stars(placed: DataFrame, turn: int) -> DataFrame:
-    """For each class (b) the leading class (a) of another component that shares most n-grams.
-
-    An n-gram's leading class is in the first turn the most common one, then the
-    one with the smallest hash of class and ``turn``.
-    """
-    rank = F.struct(-F.col("common"), F.col("class")) if turn == 0 else F.struct(F.xxhash64("class", F.lit(turn)), F.col("class"))
-    leads = placed.groupBy("gram").agg(F.min_by(F.struct("class", "root", "n"), rank).alias("lead"))
-    met = placed.join(leads, "gram").filter("root != lead.root").select(
-        F.col("lead.class").alias("a"), F.col("class").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b")
-    )
-    counted = met.filter(SIMILAR_SIZE).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m")).filter(REACH)
-    return counted.groupBy("b", "n_b").agg(F.max(F.struct("m", "a", "n_a")).alias("best")).select("best.a", "b", "best.n_a", "n_b")
-
-
-def _across(placed: DataFrame) -> DataFrame:
-    """All candidate pairs between components."""
-    side = lambda s: placed.select("gram", F.col("class").alias(s), F.col("root").alias(f"root_{s}"), F.col("n").alias(f"n_{s}"))
-    met = side("a").join(side("b"), "gram").filter(f"a < b and root_a != root_b and {SIMILAR_SIZE}")
-    return met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m")).filter(REACH).drop("m")
-
-
 class _Table:
-    """Rows added round by round: one folder, read as one scan however many rounds there were."""
+    """Rows added step by step: one folder, read as one scan."""
 
     def __init__(self, label: str, schema: str, area: StagingArea) -> None:
         self.path, self.schema, self.spark = area.path(label), schema, area.spark
@@ -290,46 +261,41 @@ class _Table:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
 
-class _Segments:
-    """Segments of the classes that candidate pairs have named so far, fetched when first needed."""
+def _candidates(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) that can link, by their shared n-grams (a, b, n_a, n_b, pos_a, pos_b)."""
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("m"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b"))
+    return counted.filter(REACH).filter(BEHIND).select("a", "b")
 
-    def __init__(self, texts: DataFrame, classes: DataFrame, frequent: np.ndarray, area: StagingArea) -> None:
-        self.texts, self.classes, self.frequent, self.area = texts, classes, frequent, area
-        self.made = _Table("segments", "class long, fragment int, grams array<long>", area)
-        self.known = _Table("known", "class long, doc_id long", area)
-        self.rounds = 0
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-        if self.rounds:
-            wanted = wanted.join(self.known.read().select("class"), "class", "left_anti")
-        wanted = stage(wanted.join(self.classes, "class").select("class", F.col("rep").alias("doc_id")), "wanted", self.area)
-        fetched = _chosen(self.texts, wanted.select("doc_id"))
-        made = fetched.mapInPandas(_per_batch(_segments(self.frequent)), "class long, fragment int, grams array<long>")
-        # rows of one id may have other texts, and rows of one text come once each
-        self.made.add(made.join(bounded(wanted.select("class")), "class", "left_semi").dropDuplicates(["class", "fragment"]))
-        self.known.add(wanted)
-        self.rounds += 1
-        return self.made.read()
+def _centrality(postings: DataFrame) -> DataFrame:
+    """Per class, how many classes have its prefix n-grams, on average: the text that others were made from leads."""
+    spread = postings.groupBy("gram").agg(F.count("*").alias("df"))
+    return postings.join(spread, "gram").groupBy("class").agg(F.avg("df").alias("common"))
 
 
-def overlapping(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Those of the staged pairs (a, b, n_a, n_b) whose similarity is 0.8 or more.
+def _stars(placed: DataFrame) -> DataFrame:
+    """Candidate pairs of a class (b) and a leading class (a) of its n-grams; some shared n-grams may not be counted.
 
-    Each fragment counts the partial overlap of its two segments; the counts are summed per pair.
+    An n-gram's leading classes are the most common one and those with the
+    smallest hashes of class and turn.
     """
-    right = segments.withColumnRenamed("class", "b").join(bounded(pairs), "b")
-    led = segments.join(bounded(pairs.select(F.col("a").alias("class")).distinct()), "class", "left_semi")
-    left = led.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("others"))
-    partial = right.join(left, ["a", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("grams", "others")).alias("shared"))
-    summed = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    return summed.filter("180 * shared >= 80 * (n_a + n_b)").select("a", "b")
+    ranks = [F.struct(-F.col("common"), F.col("class"))] + [F.struct(F.xxhash64("class", F.lit(t)), F.col("class")) for t in range(1, TURNS)]
+    leads = placed.groupBy("gram").agg(*[F.min_by(F.struct("class", "n", "pos"), rank).alias(f"lead{t}") for t, rank in enumerate(ranks)])
+    met = placed.join(leads, "gram").select("class", "n", "pos", F.explode(F.array_distinct(F.array(*[f"lead{t}" for t in range(TURNS)]))).alias("lead"))
+    met = met.select(
+        F.col("lead.class").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.pos").alias("pos_a"),
+        F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"),
+    )
+    return _candidates(met.filter("a != b").filter(SIMILAR_SIZE).filter(AROUND))
 
 
-def _class_sets(ids: list, sets: list[np.ndarray]) -> dict:
-    """Rows (class, grams)."""
-    kept = [own for own in sets if len(own)]
-    return {"class": [class_of(own) for own in kept], "grams": [own.view(np.int64) for own in kept]}
+def _across(placed: DataFrame, groups: DataFrame) -> DataFrame:
+    """All candidate pairs between ``groups`` (node, root)."""
+    rooted = placed.join(groups.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    mixed = rooted.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("gram")
+    rooted = rooted.join(mixed, "gram")
+    side = lambda s: rooted.select("gram", F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("root", "n", "pos")])
+    return _candidates(side("a").join(side("b"), "gram").filter(f"a < b and root_a != root_b and {SIMILAR_SIZE} and {AROUND}"))
 
 
 def overlaps(sets: list[np.ndarray], rows: int, own: bool) -> np.ndarray:
@@ -364,23 +330,41 @@ def overlaps(sets: list[np.ndarray], rows: int, own: bool) -> np.ndarray:
     return total
 
 
-def _block_links(group: pd.DataFrame) -> pd.DataFrame:
-    """Rows (class, linked): the documents in classes of the other block that a class links with."""
-    group = group.sort_values("right", kind="stable")
+def _partial(group: pd.DataFrame) -> pd.DataFrame:
+    """One fragment of two blocks, or of one with itself: the classes in order, and how much each two share there."""
+    group = group.sort_values(["right", "class"], kind="stable")
     right = group["right"].to_numpy(bool)
-    rows, own = int((~right).sum()), not right.any()
-    sets = [np.asarray(s, np.int64) for s in group["grams"]]
-    n, size, names = np.array([len(s) for s in sets]), group["size"].to_numpy(np.int64), group["class"].to_numpy(np.int64)
-    others = slice(0, rows) if own else slice(rows, None)
-    linked = 180 * overlaps(sets, rows, own) >= 80 * (n[:rows, None] + n[None, others])
-    if own:
-        np.fill_diagonal(linked, False)
-        return pd.DataFrame({"class": names, "linked": linked @ size})
-    return pd.DataFrame({"class": names, "linked": np.concatenate((linked @ size[others], linked.T @ size[:rows]))})
+    shared = overlaps([np.asarray(s, np.int64) for s in group["grams"]], int((~right).sum()), not right.any())
+    at = group.iloc[0]
+    # the classes are the same in every fragment, and told by the first
+    told = {c: [group[c].to_numpy() if at["fragment"] == 0 else np.empty(0, np.int64)] for c in ("class", "n", "size")}
+    return pd.DataFrame({"i": [at["i"]], "j": [at["j"]], "rows": [len(shared)], **told, "shared": [shared.astype("<i4").tobytes()]})
 
 
-def _linked(texts: DataFrame, grouped: DataFrame, area: StagingArea) -> DataFrame:
-    """Per class of ``grouped`` (class, root, rep, n, size) that has links to others: class, linked (documents)."""
+def _block_links(group: pd.DataFrame) -> pd.DataFrame:
+    """Rows (class, linked, near): the documents in linked classes of the other block, and a class it is connected to."""
+    told = group[group["class"].map(len) > 0].iloc[0]
+    names, n, size = (np.asarray(told[c], np.int64) for c in ("class", "n", "size"))
+    rows, own = int(told["rows"]), told["i"] == told["j"]
+    total = sum(np.frombuffer(s, "<i4").astype(np.int64) for s in group["shared"]).reshape(rows, -1)
+    others = slice(0, rows) if own else slice(rows, None)
+    linked = np.zeros((len(names), len(names)), bool)
+    linked[:rows, others] = 180 * total >= 80 * (n[:rows, None] + n[None, others])
+    linked |= linked.T
+    np.fill_diagonal(linked, False)
+    near, before = np.arange(len(names)), None
+    while before is None or (near != before).any():
+        before = near
+        near = np.minimum(near, np.where(linked, near[None, :], len(names)).min(axis=1))
+    return pd.DataFrame({"class": names, "linked": linked @ size, "near": names[near]})
+
+
+def _compared(texts: DataFrame, grouped: DataFrame, frequent: np.ndarray, area: StagingArea) -> DataFrame:
+    """Staged rows (class, linked, near) of the classes of ``grouped`` (class, root, rep, n, size) with others in their group.
+
+    A class comes once per block it met: with the number of documents it links with there, and the
+    first class there that it is connected to.
+    """
     several = grouped.groupBy("root").agg(F.count("*").alias("k")).filter("k > 1").select("root")
     inside = grouped.join(several, "root")
     placed = numbered(inside.withColumn("weight", F.greatest("n", F.lit(BLOCK_GRAMS // BLOCK_CLASSES))), ["root", "n", "class"], area)
@@ -390,6 +374,7 @@ def _linked(texts: DataFrame, grouped: DataFrame, area: StagingArea) -> DataFram
     blocked = weighed.withColumn("block", F.expr(f"(__before + __inside) div {BLOCK_GRAMS}"))
     blocked = stage(blocked.select("class", "root", "rep", "n", "size", "block"), "blocked", area)
 
+    # blocks of one group; several small ones may share a block and are compared there in one go
     spans = blocked.groupBy("root", "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     side = lambda s: spans.select("root", *[F.col(c).alias(f"{c}_{s}") for c in ("block", "lo", "hi")])
     met = side("a").join(side("b"), "root").filter("block_a < block_b and 5 * hi_a >= 4 * lo_b")
@@ -402,10 +387,13 @@ def _linked(texts: DataFrame, grouped: DataFrame, area: StagingArea) -> DataFram
     turns = bounded(stage(turns, "turns", area))
 
     wanted = stage(blocked.select(F.col("rep").alias("doc_id")).distinct(), "block-ids", area)
-    sets = _chosen(texts, wanted).mapInPandas(_per_batch(_class_sets), "class long, grams array<long>").dropDuplicates(["class"])
-    rows = sets.join(blocked.select("class", "root", "block", "size"), "class").join(turns, ["root", "block"])
-    counted = rows.select("i", "j", "right", "class", "size", "grams").groupBy("i", "j").applyInPandas(_block_links, "class long, linked long")
-    return counted.groupBy("class").agg(F.sum("linked").alias("linked"))
+    segments = _chosen(texts, wanted).mapInPandas(_per_batch(_segments(frequent)), "class long, fragment int, grams array<long>")
+    # rows of one id may have other texts, and rows of one text come once each
+    segments = segments.join(blocked.select("class", "root", "block", "n", "size"), "class").dropDuplicates(["class", "fragment"])
+    rows = segments.join(turns, ["root", "block"]).select("i", "j", "right", "fragment", "class", "n", "size", "grams")
+    told = "i long, j long, rows int, class array<long>, n array<long>, size array<long>, shared binary"
+    partial = rows.groupBy("i", "j", "fragment").applyInPandas(_partial, told)
+    return stage(partial.groupBy("i", "j").applyInPandas(_block_links, "class long, linked long, near long"), "compared", area)
 
 
 def text_key() -> Column:
@@ -426,34 +414,23 @@ def join(docs: DataFrame, area: StagingArea, count_links: bool = True, keep_text
         by_class.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.count("*").alias("size")), "classes", area
     )
     postings = _postings(texts, sets, frequent, area)
-    segments = _Segments(texts, classes, frequent, area)
-
-    central = stage(classes.join(_centrality(postings), "class"), "central", area)
-    links, roots, held = _Table("all-links", "a long, b long", area), None, None
-
-    def more(pairs: DataFrame) -> int:
-        """Check candidate pairs and merge the components that they link; the number of links."""
-        nonlocal roots, held
-        pairs = stage(pairs, "pairs", area)
-        found = stage(overlapping(pairs, segments.of(pairs)), "links", area)
-        count = found.count()
-        if count or roots is None:
-            links.add(found)
-            if held:
-                held.release()
-            roots, held = components(links.read())
-        return count
-
-    first = 0
-    for turn in range(STAR_ROUNDS):
-        count = more(_stars(_placed(postings, central, roots), turn))
-        first = first or count
-        if count * WORTHWHILE < first or not count:
-            break  # what is left is little, and found below
-    more(_across(_placed(postings, central, roots)))
+    sized = classes.select("class", "n").join(_centrality(postings), "class")
+    placed = stage(postings.join(sized, "class"), "placed", area)
+
+    pairs = _Table("candidates", "a long, b long", area)
+    pairs.add(_stars(placed))
+    groups, held = components(pairs.read())
+    pairs.add(_across(placed, groups))
+    held.release()
+    groups, held = components(pairs.read())
+    grouped = classes.join(groups.withColumnRenamed("node", "class"), "class").select("class", "root", "rep", "n", "size")
+    compared = _compared(texts, grouped, frequent, area)
+    held.release()
+
+    roots, held = components(compared.select(F.col("class").alias("a"), F.col("near").alias("b")))
     named = stage(
         classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .select("class", "rep", "n", "size", F.coalesce("root", "class").alias("root")), "roots", area
+        .select("class", "rep", "size", F.coalesce("root", "class").alias("root")), "roots", area
     )
     held.release()
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -461,7 +438,7 @@ def join(docs: DataFrame, area: StagingArea, count_links: bool = True, keep_text
     kept = ["text_key"] if keep_text_key else []
     empty = sets.filter("class is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), *kept)
     if count_links:
-        linked = stage(_linked(texts, named, area), "linked", area)
+        linked = compared.groupBy("class").agg(F.sum("linked").alias("linked"))
         found = found.join(linked, "class", "left").withColumn("n_links", F.col("size") - 1 + F.coalesce("linked", F.lit(0)))
         empty = empty.withColumn("n_links", F.lit(0).cast("long"))
     found = stage(found.drop("size", "linked"), "components", area)

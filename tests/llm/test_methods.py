@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -284,3 +285,21 @@ def test_components_of_a_long_path(spark):
     roots, area = components(spark.createDataFrame(links, "a long, b long"))
     assert {r["node"]: r["root"] for r in roots.collect()} == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
     area.release()
+
+
+def test_block_links_are_summed_over_fragments():
+    """A group's links are told from blocks and fragments; pairs of it are never rows."""
+    texts = [t for t in near_groups(3, 60) if t]
+    grams = {ngram_join.class_of(g): g for g in ngram_join.ngrams(texts)}
+    names = sorted(grams)
+    segments = ngram_join._segments(np.sort(np.unique(np.concatenate(list(grams.values())))[::7]))([], [grams[c] for c in names])
+    rows = pd.DataFrame(segments).assign(i=0, j=1, size=1)
+    rows["n"] = [len(grams[c]) for c in rows["class"]]
+    similar = lambda a, b: a != b and 180 * len(np.intersect1d(grams[a], grams[b])) >= 80 * (len(grams[a]) + len(grams[b]))
+    for j, left in ((0, names), (1, names[:20])):
+        rows["j"], rows["right"] = j, ~rows["class"].isin(left)
+        partial = pd.concat([ngram_join._partial(part) for _, part in rows.groupby("fragment")])
+        found = ngram_join._block_links(partial)
+        others = lambda c: names if j == 0 else [x for x in names if (x in left) != (c in left)]
+        assert dict(zip(found["class"], found["linked"])) == {c: sum(similar(c, x) for x in others(c)) for c in names}
+        assert found["linked"].sum() and all(near == c for c, n, near in found.itertuples(index=False) if not n)
